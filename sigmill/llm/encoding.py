@@ -11,6 +11,7 @@ all rows.
 
 from __future__ import annotations
 
+import base64
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ GERMAN = "äöüßÄÖÜ"
 #: What can stand for a sign lost to "?" at the end of a word.
 LOST = "äöüßéøåçłñã"
 #: A value without any of these needs no look.
-SUSPICIOUS = r"[^\x00-\x7FäöüÄÖÜß]|\?"
+SUSPICIOUS = r"[^\x00-\x7FäöüÄÖÜß]|\?|\+[A-Za-z0-9+/]{2,}-"
 #: Signs that may stand inside a word.
 JOINERS = set("-'’`´.&/+,:;*()|_@#\"“”„»«!–—·…") - set("„”“…")
 
@@ -88,9 +89,20 @@ def _spans(text: str, encoding: str) -> tuple[str, bool]:
     return "".join(out), hit
 
 
+def _utf7(m: re.Match) -> str:
+    try:
+        out = base64.b64decode(m[1] + "=" * (-len(m[1]) % 4)).decode("utf-16-be")
+    except ValueError:
+        return m[0]
+    return out if out and all(c.isalpha() and not c.isascii() or 0x2010 <= ord(c) < 0x2200 for c in out) else m[0]
+
+
 def restore_spans(text: str, rounds: int = 3) -> tuple[str, bool]:
     """(text with all multibyte spans decoded, whether there was one)."""
     found = False
+    if "+" in text:
+        new = UTF7.sub(_utf7, text)
+        text, found = new, new != text
     for _ in range(rounds):
         best = None
         for enc in SHOWN_AS:
@@ -108,6 +120,8 @@ def _script(c: str) -> str:
     return "x" if 0x370 <= n < 0x530 and c.isalpha() else "l" if c.isalpha() else ""
 
 
+#: A span of UTF-7, which pure ASCII readers leave as it is.
+UTF7 = re.compile(r"\+([A-Za-z0-9+/]{2,})-")
 WORD = re.compile(r"[^\s\-/(),.&|]+")
 
 
@@ -229,7 +243,7 @@ def damaged_values(values: DataFrame, column: str = "value", margin: float = 3.0
 
 
 def _restore_quick(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: v if v is None or v.isascii() else quick(v))
+    return s.map(lambda v: v if v is None or v.isascii() and "+" not in v else quick(v))
 
 
 @lru_cache(maxsize=100_000)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .canonical import town_map, trade_map
 from .encoding import damaged_values
 
 QUERIES: dict = {}
@@ -33,3 +34,21 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 def p3_restored(spark: SparkSession, folder: str) -> DataFrame:
     """The damaged values beside what could be restored of them."""
     return _damaged_fields(spark, folder).select("seed_id", "field_name", F.col("value").alias("damaged"), "restored")
+
+
+@query
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every typed town or trade that isn't letter for letter an entry, with the entry meant or "unmatched"."""
+    seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "city", "category")
+    sites = table(spark, folder, "sites", "id", "gemeinde")
+    zipcodes, trades = table(spark, folder, "zipcodes"), table(spark, folder, "gewerke")
+    towns = seeds.select(F.lit("site_source_seeds.city").alias("field_name"), F.col("id").alias("row_id"), F.col("city").alias("value")).unionByName(
+        sites.select(F.lit("sites.gemeinde").alias("field_name"), F.col("id").alias("row_id"), F.col("gemeinde").alias("value"))
+    ).where("value is not null")
+    named = towns.join(F.broadcast(zipcodes.select(F.col("place").alias("value")).distinct()), "value", "left_anti")
+    kinds = seeds.select(F.lit("site_source_seeds.category").alias("field_name"), F.col("id").alias("row_id"), F.col("category").alias("value")).where("value is not null")
+    kinds = kinds.join(F.broadcast(trades.select(F.col("gewerk_name").alias("value")).distinct()), "value", "left_anti")
+    town_of = town_map(named.select("value").distinct(), zipcodes)
+    trade_of = trade_map(seeds.select(F.col("site_id").alias("group"), F.col("category").alias("value")), trades)
+    out = named.join(town_of, "value", "left").unionByName(kinds.join(trade_of, "value", "left"))
+    return out.select("field_name", "row_id", F.coalesce("entry", F.lit("unmatched")).alias("canonical_value"))
