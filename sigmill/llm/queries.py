@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .address import address_classes, pairs_within
 from .canonical import town_map, trade_map
 from .encoding import damaged_values
 
@@ -52,3 +53,20 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     trade_of = trade_map(seeds.select(F.col("site_id").alias("group"), F.col("category").alias("value")), trades)
     out = named.join(town_of, "value", "left").unionByName(kinds.join(trade_of, "value", "left"))
     return out.select("field_name", "row_id", F.coalesce("entry", F.lit("unmatched")).alias("canonical_value"))
+
+
+def _buildings(spark: SparkSession, folder: str) -> DataFrame:
+    seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "street_address", "postal_code", "city")
+    return address_classes(seeds, "id", "site_id", table(spark, folder, "zipcodes"), "street_address", "postal_code", "city")
+
+
+@query
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of seed rows whose address is the same building."""
+    return pairs_within(_buildings(spark, folder), "id", "building", "seed_id_a", "seed_id_b")
+
+
+@query
+def p2_buildings(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per seed row with its building's class; copies aren't expanded into pairs."""
+    return _buildings(spark, folder).select(F.col("id").alias("seed_id"), "building", F.col("_town").alias("town"), F.col("_street").alias("street"), F.col("_number").alias("house_number"))

@@ -38,31 +38,28 @@ def edits_allowed(length: Column) -> Column:
     return F.when(length >= 7, 2).when(length >= 4, 1).otherwise(0)
 
 
-def repair_words(words: DataFrame, vocabulary: DataFrame, word: str = "word", term: str = "term", weight: str | None = None) -> DataFrame:
+def repair_words(words: DataFrame, vocabulary: DataFrame, word: str = "word", term: str = "term", slack: int = 0) -> DataFrame:
     """(word, term, distance): the nearest vocabulary terms of each word, ties included.
 
     ``words`` and ``vocabulary`` hold distinct strings. Exact members map to
     themselves. Others meet over shared deletion forms (an equi-join, no cross
     join), so every term within one (short words) or two edits is found, a
-    swap of neighbours counting as one. ``weight``: of equally near terms only
-    the heaviest stay. Words without a near term don't appear.
+    swap of neighbours counting as one. ``slack``: terms up to that much
+    farther than the nearest stay too. Words without a near term don't appear.
     """
-    keep = [term] + ([weight] if weight else [])
-    v = vocabulary.select(*[F.col(k) for k in keep])
-    exact = words.join(v, F.col(word) == F.col(term)).select(word, *keep, F.lit(0).alias("distance"))
+    v = vocabulary.select(term)
+    exact = words.join(v, F.col(word) == F.col(term)).select(word, term, F.lit(0).alias("distance"))
     rest = words.join(v, F.col(word) == F.col(term), "left_anti").where(F.length(word).between(4, 40) & ~F.col(word).rlike(r"\d"))
     left = rest.select(word, F.explode(deletions(F.col(word), edits_allowed(F.length(word)))).alias("_k"))
-    right = v.where(F.length(term).between(3, 40)).select(*keep, F.explode(deletions(F.col(term), edits_allowed(F.length(term) + 1))).alias("_k"))
+    right = v.where(F.length(term).between(3, 40)).select(term, F.explode(deletions(F.col(term), edits_allowed(F.length(term) + 1))).alias("_k"))
     near = (
-        left.join(right, "_k").select(word, *keep).distinct()
+        left.join(right, "_k").select(word, term).distinct()
         .withColumn("distance", F.levenshtein(word, term))
         .where(F.col("distance") <= F.when(F.length(word) >= 9, 4).otherwise(2))
     )
-    best = near.groupBy(word).agg(F.min("distance").alias("_d"), *([F.max(F.struct(-F.col("distance"), F.col(weight))).alias("_w")] if weight else []))
-    near = near.join(best, word).where(F.col("distance") == F.col("_d"))
-    if weight:
-        near = near.where(F.col(weight) == F.col("_w")[weight])
-    return exact.unionByName(near.select(word, *keep, "distance")).select(word, term, "distance")
+    best = near.groupBy(word).agg(F.min("distance").alias("_d"))
+    near = near.join(best, word).where(F.col("distance") <= F.col("_d") + slack)
+    return exact.unionByName(near.select(word, term, "distance"))
 
 
 def phone_key(c) -> Column:
