@@ -34,9 +34,9 @@ PLACEHOLDER = r"^(?:-+|k\.?\s*a\.?|n/?a|auf anfrage|siehe website|keine angabe|u
 
 
 def postcode(c) -> Column:
-    """The usual five digits of a German postal code, else null."""
-    d = F.regexp_extract(F.upper(F.trim(c)), r"^(?:D(?:E)?[\s-]*)?(\d{5})$", 1)
-    return F.when((d != "") & (d != "00000"), d)
+    """The usual five digits of a German postal code (a lost leading zero restored), else null."""
+    d = F.regexp_extract(F.upper(F.trim(c)), r"^(?:D(?:E)?[\s-]*)?(\d{4,5})$", 1)
+    return F.when((d != "") & (d != "00000"), F.lpad(d, 5, "0"))
 
 
 def parse_address(df: DataFrame, street: str, postal: str | None, city: str | None) -> DataFrame:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
-from .address import address_classes, pairs_within
+from ..session import cut
+from ..sources.tables import bounded_broadcast, table
+from .address import address_classes, pairs_within, postcode
 from .canonical import town_map, trade_map
 from .encoding import damaged_values
+from .survivor import NO_NAME, closest_value, consensus, establishments, single_blanks
+from .text import phone_key
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -70,3 +73,72 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 def p2_buildings(spark: SparkSession, folder: str) -> DataFrame:
     """One row per seed row with its building's class; copies aren't expanded into pairs."""
     return _buildings(spark, folder).select(F.col("id").alias("seed_id"), "building", F.col("_town").alias("town"), F.col("_street").alias("street"), F.col("_number").alias("house_number"))
+
+
+#: Catalogues of sources are a hand-kept list.
+MAX_CATALOGS = 10_000
+#: All postal codes of a country (Germany has about 8,200).
+MAX_ZIPCODES = 100_000
+#: Rank of a catalogue that the list doesn't name.
+UNRANKED = 1_000_000
+
+
+def seed_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, site_id, phone, building, town, group): the establishment of every seed row; cut from its lineage."""
+    places = _buildings(spark, folder).select("id", "building", F.col("_town").alias("town"))
+    seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "phone", "postal_code", "city")
+    towns = table(spark, folder, "zipcodes", "zipcode", "place").dropDuplicates(["zipcode"])
+    named = town_map(seeds.select(F.col("city").alias("value")).where("value is not null").distinct(), table(spark, folder, "zipcodes"))
+    rows = (
+        seeds.withColumn("zipcode", postcode(F.col("postal_code"))).join(bounded_broadcast(towns, MAX_ZIPCODES), "zipcode", "left")
+        .join(named.select(F.col("value").alias("city"), "entry"), "city", "left")
+        .join(places, "id", "left")
+        .select("id", "site_id", phone_key("phone").alias("phone"), "building", F.coalesce("town", "place", "entry").alias("town"))
+    )
+    return cut(establishments(cut(rows)))
+
+
+def _survivors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(records with group, rank and damage marks; scored distinct names)."""
+    groups = seed_groups(spark, folder).select("id", "group")
+    seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "source_path", "business_name", "postal_code", "created_at")
+    ranks = bounded_broadcast(table(spark, folder, "source_catalogs", "catalog", "trust_rank").dropDuplicates(["catalog"]), MAX_CATALOGS)
+    rows = seeds.join(groups, "id").withColumn("catalog", F.split("source_path", "/")[0]).join(ranks, "catalog", "left")
+    rows = rows.withColumn("rank", F.coalesce("trust_rank", F.lit(UNRANKED))).withColumn("name", single_blanks("business_name"))
+    rows = cut(rows.select("id", "site_id", "group", "rank", "created_at", "business_name", "name", "postal_code"))
+    real = rows.where(F.col("name").isNotNull() & ~F.lower("name").rlike(NO_NAME))
+    scored = cut(consensus(real.select("group", F.col("name").alias("value"), (1 / (F.lit(1.0) + F.col("rank"))).alias("w"))))
+    spoilt = damaged_values(rows.select("business_name"), "business_name").where("bad").select(F.col("value").alias("business_name"), F.lit(True).alias("spoilt"))
+    rows = rows.join(spoilt, "business_name", "left").join(scored.select("group", F.col("value").alias("name"), "cut_short"), ["group", "name"], "left")
+    return rows, scored
+
+
+@query
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The surviving record of every establishment that two or more seed rows describe.
+
+    The consensus of the group tells which names are cut short; among the
+    undamaged values of each field the most trusted catalogue, then the latest
+    row decides, as the problem demands.
+    """
+    rows, _ = _survivors(spark, folder)
+    codes = bounded_broadcast(table(spark, folder, "zipcodes", F.col("zipcode").alias("code")).distinct().withColumn("listed", F.lit(True)), MAX_ZIPCODES)
+    rows = rows.withColumn("code", postcode(F.col("postal_code"))).join(codes, "code", "left")
+    order = F.struct(F.col("rank"), -F.unix_micros(F.col("created_at").cast("timestamp")), F.col("id"))
+    whole = F.col("name").isNotNull() & ~F.lower("name").rlike(NO_NAME) & F.col("spoilt").isNull() & ~F.coalesce("cut_short", F.lit(False)) & ~F.col("name").rlike(r"(?:\u2026|\.\.\.)$")
+    return (
+        rows.groupBy("group").agg(
+            F.min("id").alias("first_seed_id"), F.min("site_id").alias("site_id"), F.count("*").alias("n"),
+            F.min_by("code", F.when(F.col("listed"), order)).alias("postal_code"),
+            F.min_by("name", F.when(whole, order)).alias("business_name"),
+        )
+        .where("n >= 2").select("first_seed_id", "site_id", "postal_code", "business_name")
+    )
+
+
+@query
+def p1_consensus(spark: SparkSession, folder: str) -> DataFrame:
+    """The existing name closest to each group's consensus, whatever its source."""
+    rows, scored = _survivors(spark, folder)
+    size = rows.groupBy("group").agg(F.min("id").alias("first_seed_id"), F.count("*").alias("n_rows"))
+    return size.join(closest_value(scored), "group").select("first_seed_id", "n_rows", F.col("value").alias("business_name"))
