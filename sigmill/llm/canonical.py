@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .encoding import restore_udf
+from .matcher import collect_wordings, rank_small
 from .text import repair_words, skeleton, tokens
 
 #: Written short forms of town words, folded, and their long forms.
 TOWN_SHORT = (
-    (r"\bgr\b\.?", "gross"), (r"\bkl\b\.?", "klein"), (r"^\s*b\.", "bad "), (r"^\s*n\.", "neu "),
+    (r"\bgr\.?(?=\s)", "gross"), (r"\bkl\.?(?=\s)", "klein"), (r"^\s*b\.", "bad "), (r"^\s*n\.", "neu "),
     (r"\ba\.\s*d\.?\s", "an der "), (r"\bi\.\s*d\.?\s", "in der "), (r"\ba\.\s", "am "),
 )
 #: Parts of a town's name that name no town of their own.
@@ -81,10 +82,18 @@ def rank_entries(values: DataFrame, entries: DataFrame, coverage: float = 0.5, a
     return best.select("value", F.col("b.entry").alias("entry"), (-F.col("b.col1")).alias("score"))
 
 
+def best_entries(values: DataFrame, entries: DataFrame, coverage: float, agreement: float) -> DataFrame:
+    """(value, entry) by ``rank_entries``; a list of proven small size is matched in the workers instead of joined."""
+    known = collect_wordings(entries)
+    if known is None:
+        return rank_entries(values, entries, coverage, agreement).select("value", "entry")
+    return rank_small(values, known, coverage, agreement)
+
+
 def town_map(values: DataFrame, zipcodes: DataFrame) -> DataFrame:
     """(value, entry) for the distinct non-null strings in ``values.value`` that name a listed town or a part of one."""
     entries = zipcodes.where("place is not null").select("place").distinct().select(F.col("place").alias("entry"), town_words("place").alias("words"))
-    return rank_entries(values.select("value", town_words("value").alias("words")), entries).select("value", "entry")
+    return cut(best_entries(values.select("value", town_words("value").alias("words")), entries, 0.5, 0.0))
 
 
 def trade_map(rows: DataFrame, trades: DataFrame, least: int = 2, purity: float = 0.6) -> DataFrame:
@@ -99,14 +108,16 @@ def trade_map(rows: DataFrame, trades: DataFrame, least: int = 2, purity: float
     entries = trade_wordings(trades)
     pairs = rows.where("value is not null").select("group", "value").distinct()
     values = cut(pairs.select("value").distinct().select("value", trade_words("value").alias("words")).where(F.size("words") > 0))
-    direct = cut(rank_entries(values, entries, 0.85, 1.0).select("value", "entry"))
-    told = pairs.join(direct, "value").select("group", "entry").distinct()
-    single = told.groupBy("group").agg(F.count("*").alias("n"), F.min("entry").alias("entry")).where("n = 1").select("group", "entry")
-    wording = pairs.join(values, "value").join(direct, "value", "left_anti").select("group", F.array_join("words", " ").alias("w")).distinct()
-    votes = wording.join(single, "group").groupBy("w", "entry").agg(F.count("*").alias("k"))
+    direct = cut(best_entries(values, entries, 0.85, 1.0))
+    named = cut(pairs.join(values.join(direct, "value", "left").select("value", "entry", F.array_join("words", " ").alias("w")), "value").select("group", "entry", "w").distinct())
+    single = named.groupBy("group").agg(F.min("entry").alias("entry"), F.max("entry").alias("_hi")).where("entry = _hi").select("group", "entry")
+    votes = named.where("entry is null").select("group", "w").distinct().join(single, "group").groupBy("w", "entry").agg(F.count("*").alias("k"))
     learnt = (
         votes.groupBy("w").agg(F.max_by("entry", F.struct("k", "entry")).alias("entry"), F.max("k").alias("k"), F.sum("k").alias("n"))
         .where((F.col("k") >= least) & (F.col("k") >= purity * F.col("n"))).select("entry", F.split("w", " ").alias("words"))
     )
-    ranked = rank_entries(values, cut(entries.unionByName(learnt)), 0.75, 0.67).select("value", "entry")
-    return ranked.unionByName(direct.join(ranked, "value", "left_anti"))
+    seen = named.where("entry is not null and w != ''").groupBy("w", "entry").agg(F.countDistinct("group").alias("k")).where(F.col("k") >= least)
+    learnt = learnt.unionByName(seen.select("entry", F.split("w", " ").alias("words")))
+    ranked = best_entries(values, cut(entries.unionByName(learnt)), 0.75, 0.67).withColumnRenamed("entry", "_ranked")
+    both = values.select("value").join(ranked, "value", "left").join(direct, "value", "left")
+    return cut(both.select("value", F.coalesce("_ranked", "entry").alias("entry")).where("entry is not null"))

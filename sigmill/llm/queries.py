@@ -10,8 +10,9 @@ from ..sources.tables import bounded_broadcast, table
 from .address import address_classes, pairs_within, postcode
 from .canonical import town_map, trade_map
 from .encoding import damaged_values
+from .linkage import firm_level, firm_words, score_pairs
 from .survivor import NO_NAME, closest_value, consensus, establishments, single_blanks
-from .text import phone_key
+from .text import phone_key, web_host
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -142,3 +143,101 @@ def p1_consensus(spark: SparkSession, folder: str) -> DataFrame:
     rows, scored = _survivors(spark, folder)
     size = rows.groupBy("group").agg(F.min("id").alias("first_seed_id"), F.count("*").alias("n_rows"))
     return size.join(closest_value(scored), "group").select("first_seed_id", "n_rows", F.col("value").alias("business_name"))
+
+
+#: A web host that more firms than this name is a portal and tells nothing about one of them.
+MAX_FIRMS_OF_HOST = 3
+MATCH = 0.9
+
+
+def _contact_address(contacts: DataFrame) -> DataFrame:
+    """Splits the one-line address into street, code and town: parts stand in any order behind , | · or a dash."""
+    t = F.regexp_replace("address_text", r"\s+", " ")
+    code = r"(?:^|[,|·]|\s-)\s*(?:D[- ]\s?)?(\d{5})\s+([^,|·]*?)\s*(?:$|[,|·]|\s-\s)"
+    zipcode = F.nullif(F.regexp_extract(t, code, 1), F.lit(""))
+    halves = F.split(t, r"\s+[·|]\s+|\s+-\s+")
+    with_number = F.filter(halves, lambda x: x.rlike(r"\d"))
+    without = F.filter(halves, lambda x: ~x.rlike(r"\d") & ~x.rlike("(?i)gewerbe|hof$|haus$"))
+    town = F.when(zipcode.isNotNull(), F.nullif(F.regexp_extract(t, code, 2), F.lit(""))).otherwise(F.get(without, F.lit(0)))
+    street = F.when(zipcode.isNotNull(), t).otherwise(F.coalesce(F.get(with_number, F.lit(0)), t))
+    return contacts.select(
+        F.col("contact_id").alias("id"), F.lit(None).cast("long").alias("site_id"), street.alias("street_address"), zipcode.alias("postal_code"), town.alias("city"),
+    )
+
+
+def _matches(spark: SparkSession, folder: str) -> DataFrame:
+    zipcodes = table(spark, folder, "zipcodes")
+    seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "business_name", "street_address", "postal_code", "city", "phone", "website_url")
+    contacts = table(spark, folder, "imprint_contacts", "contact_id", "firm_text", "address_text", "phone_text", "web_text")
+    both = seeds.select("id", "site_id", "street_address", "postal_code", "city").unionByName(_contact_address(contacts))
+    places = cut(address_classes(both, "id", "site_id", zipcodes, "street_address", "postal_code", "city").select("id", "building", "_town"))
+    lines = cut(_contact_address(contacts))
+    town_names = town_map(lines.select(F.col("city").alias("value")).where("value is not null").distinct(), zipcodes)
+    z = zipcodes.select(F.col("zipcode").alias("postal_code"), "place").dropDuplicates(["postal_code"])
+    groups = seed_groups(spark, folder).select("id", "group", F.col("town").alias("_stown"))
+
+    s = (
+        seeds.select("id", firm_words("business_name").alias("firm_s"), phone_key("phone").alias("phone_s"), web_host("website_url").alias("host"))
+        .join(groups, "id").join(places, "id", "left")
+        .select(F.col("id").alias("seed_id"), "group", "firm_s", "phone_s", "host", F.col("building").alias("building_s"), F.coalesce("_town", "_stown").alias("town_s"))
+    )
+    central = F.col("phone_text").rlike(r"\d\s*[-/]\s*0\s*$")
+    c = (
+        contacts.select("contact_id", firm_words("firm_text").alias("firm_c"), phone_key("phone_text").alias("phone_c"), F.coalesce(central, F.lit(False)).alias("central"), web_host("web_text").alias("host"))
+        .join(lines.join(town_names.select(F.col("value").alias("city"), "entry"), "city", "left").join(z, "postal_code", "left").select(F.col("id").alias("contact_id"), F.coalesce("place", "entry").alias("_ctown")), "contact_id", "left")
+        .join(places.withColumnRenamed("id", "contact_id"), "contact_id", "left")
+        .select("contact_id", "firm_c", "phone_c", "central", "host", F.col("building").alias("building_c"), F.coalesce("_town", "_ctown").alias("town_c"))
+    )
+    hosts = s.where("host is not null").groupBy("host").agg(F.approx_count_distinct("group").alias("g"), F.countDistinct(F.array_join("firm_s", " ")).alias("f"))
+    users = c.where("host is not null").groupBy("host").agg(F.countDistinct(F.array_join("firm_c", " ")).alias("fc"))
+    portal = users.where(F.col("fc") > MAX_FIRMS_OF_HOST).select("host").join(hosts.select("host"), "host", "left_anti").withColumn("portal", F.lit(True))
+    s = cut(s.withColumnRenamed("host", "host_s"))
+    c = cut(c.join(portal, "host", "left").withColumn("host_c", F.when(F.col("portal").isNull(), F.col("host"))).drop("portal", "host"))
+
+    # Establishments stand for their rows: distinct profiles meet, copies don't multiply.
+    e = cut(s.groupBy("group", "firm_s", "phone_s", "host_s", "building_s", "town_s").agg(F.min("seed_id").alias("rep")))
+    main = F.substring("phone_s", 1, 10)
+    single = e.where("host_s is not null").groupBy("host_s").agg(F.min("group").alias("g1"), F.max("group").alias("g2")).where("g1 = g2").select(F.col("host_s").alias("host"))
+    passes = [
+        (e.where("phone_s is not null").select("rep", F.col("phone_s").alias("k")), c.where("phone_c is not null").select("contact_id", F.col("phone_c").alias("k"))),
+        (e.where("phone_s is not null").select("rep", main.alias("k")), c.where("central").select("contact_id", F.expr("left(phone_c, length(phone_c) - 1)").alias("k"))),
+        (e.where("building_s is not null").select("rep", F.col("building_s").alias("k")), c.where("building_c is not null").select("contact_id", F.col("building_c").alias("k"))),
+        (e.where("host_s is not null and town_s is not null").select("rep", F.concat_ws("|", "host_s", "town_s").alias("k")), c.where("host_c is not null and town_c is not null").select("contact_id", F.concat_ws("|", "host_c", "town_c").alias("k"))),
+        (e.join(single.withColumnRenamed("host", "host_s"), "host_s").select("rep", F.col("host_s").alias("k")), c.where("host_c is not null").select("contact_id", F.col("host_c").alias("k"))),
+        (e.where("size(firm_s) > 0 and town_s is not null").select("rep", F.concat_ws("|", F.array_join("firm_s", " "), "town_s").alias("k")), c.where("size(firm_c) > 0 and town_c is not null").select("contact_id", F.concat_ws("|", F.array_join("firm_c", " "), "town_c").alias("k"))),
+    ]
+    cand = None
+    for a, b in passes:
+        p = a.join(b, "k").select("rep", "contact_id")
+        cand = p if cand is None else cand.unionByName(p)
+    cand = cand.distinct()
+    known = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull()
+    levels = cand.join(e, "rep").join(c, "contact_id").select(
+        "group", "contact_id", "phone_c", "building_c",
+        F.when(~known("phone_s", "phone_c"), -1).when(F.col("phone_s") == F.col("phone_c"), 2)
+        .when(F.col("central") & (main == F.expr("left(phone_c, length(phone_c) - 1)")), 1).otherwise(0).alias("phone"),
+        F.when(known("building_s", "building_c") & (F.col("building_s") == F.col("building_c")), 2)
+        .when(~known("town_s", "town_c"), -1).when(F.col("town_s") != F.col("town_c"), 0).when(known("building_s", "building_c"), 1).otherwise(-1).alias("place"),
+        firm_level("firm_s", "firm_c").alias("firm"),
+        F.when(~known("host_s", "host_c"), -1).when(F.col("host_s") == F.col("host_c"), 1).otherwise(0).alias("web"),
+    )
+    scored = score_pairs(cut(levels))
+    # What shares the name or the web site alone is a branch or a namesake: another town needs the phone,
+    # and a pair without common phone and building needs the web site.
+    scored = scored.where((F.col("phone") >= 1) | (F.col("place") == 2) | (F.col("place") != 0) & (F.col("web") == 1))
+    best = scored.groupBy("group", "contact_id").agg(
+        F.max("confidence").alias("confidence"), F.max("phone").alias("phone"), F.max("place").alias("place"), F.max("firm").alias("firm"), F.max("web").alias("web"),
+    )
+    return s.select("seed_id", "group").join(best.where(F.col("confidence") >= MATCH), "group")
+
+
+@query
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of seed and contact rows of one establishment."""
+    return _matches(spark, folder).select("seed_id", "contact_id")
+
+
+@query
+def p7_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with the posterior and the levels behind it."""
+    return _matches(spark, folder).select("seed_id", "contact_id", "confidence", "phone", "place", "firm", "web")
