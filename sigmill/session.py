@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -53,3 +55,20 @@ def cut(df):
     """Cut the lineage through the shared checkpoint folder; survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once per application; they needn't have it on their own path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="sigmill-ship-")
+    copy = Path(folder) / "src"
+    shutil.copytree(package, copy / package.name, ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", copy))
+    shutil.rmtree(copy)
+    _shipped.add(sc.applicationId)

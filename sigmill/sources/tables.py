@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """Scan ``folder/name.parquet``; with ``columns``, only those are read."""
+    ship(spark)
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     return df.select(*columns) if columns else df
 
