@@ -10,6 +10,7 @@ from ..sources.tables import bounded_broadcast, table
 from .address import address_classes, pairs_within, postcode
 from .canonical import town_map, trade_map
 from .encoding import damaged_values
+from .leakage import leaked_items
 from .linkage import firm_level, firm_words, score_pairs
 from .survivor import NO_NAME, closest_value, consensus, establishments, single_blanks
 from .text import phone_key, web_host
@@ -241,3 +242,21 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 def p7_confidence(spark: SparkSession, folder: str) -> DataFrame:
     """The same pairs with the posterior and the levels behind it."""
     return _matches(spark, folder).select("seed_id", "contact_id", "confidence", "phone", "place", "firm", "web")
+
+
+def _leaks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", F.col("doc_id").alias("doc"), "text")
+    items = table(spark, folder, "eval_items", F.col("item_id").alias("item"), "text")
+    return leaked_items(docs, items).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "share")
+
+
+@query
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with at least half of an item's words in their order in one place."""
+    return _leaks(spark, folder).select("doc_id", "item_id")
+
+
+@query
+def p8_share(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with the share of the item that stands in the document."""
+    return _leaks(spark, folder)
