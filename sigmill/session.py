@@ -72,3 +72,10 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", copy))
     shutil.rmtree(copy)
     _shipped.add(sc.applicationId)
+
+
+def spread(df, *columns):
+    """Even partitions for a Python stage, which costs far more per byte than AQE's byte sizes assume."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *columns)
