@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..session import cut, spread
+
 #: Encodings in which UTF-8 bytes may have been read.
 SHOWN_AS = ("cp1252", "cp437", "cp850", "cp1251", "mac_roman")
 #: (true encoding, encoding it was read as) of one-byte confusions.
@@ -210,7 +212,8 @@ def damaged_values(values: DataFrame, column: str = "value", margin: float = 3.0
     v = values.select(F.col(column).alias("value")).where("value is not null and value != ''")
     counted = v.groupBy("value").agg(F.count("*").alias("n"))
     doubt = counted.where(F.col("value").rlike(SUSPICIOUS)).select("value")
-    seen = doubt.mapInPandas(_inspect_batches, "value string, text string, bad boolean, ask array<struct<word:string,cand:string>>")
+    seen = spread(doubt, "value").mapInPandas(_inspect_batches, "value string, text string, bad boolean, ask array<struct<word:string,cand:string>>")
+    seen = cut(seen)
     words = counted.select(F.explode(F.split(F.lower("value"), r"[\s\-/(),.&|]+")).alias("w"), "n").where("w != ''").groupBy("w").agg(F.sum("n").alias("n"))
     asked = seen.select(F.explode("ask").alias("a")).select("a.word", "a.cand").distinct()
     asked = (

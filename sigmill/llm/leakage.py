@@ -9,14 +9,13 @@ tells how much of the item stands there in its order.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from ..sources.tables import bounded_broadcast
-from .matcher import levenshtein
 from .text import skeleton, tokens
 
 #: Masks over token positions: 1 is hashed, 0 ignored.
@@ -47,40 +46,47 @@ def seeds_of(words: str, key: str, df: DataFrame) -> DataFrame:
     return df.select(key, F.posexplode(F.concat(*[F.transform(p, lambda h, i: F.struct(i.alias("pos"), h.alias("h"))) for p in parts])).alias("_n", "s")).select(key, "s.pos", "s.h")
 
 
-@lru_cache(maxsize=200_000)
-def _same(a: str, b: str) -> bool:
-    """Equal up to one edit or a swap, for words of five letters or more."""
-    if len(a) < 5 or len(b) < 5 or abs(len(a) - len(b)) > 1:
-        return False
-    if levenshtein(a, b, 1) <= 1:
-        return True
-    d = [i for i in range(min(len(a), len(b))) if a[i] != b[i]]
-    return len(a) == len(b) and len(d) == 2 and d[1] == d[0] + 1 and a[d[0]] == b[d[1]] and a[d[1]] == b[d[0]]
+def _forms(word: str) -> set[str]:
+    """The word and, from five letters on, its forms with one letter deleted."""
+    return {word} | ({word[:i] + word[i + 1 :] for i in range(len(word))} if len(word) >= 5 else set())
 
 
 def contained(item: list[str], doc: list[str]) -> float:
-    """Share of the item's words that the best local alignment covers; a single changed word counts as covered."""
+    """Share of the item's words that the best local alignment covers; a single changed word counts as covered.
+
+    Words of five letters or more are the same up to one edit or swap (they
+    share a form with at most one letter deleted).
+    """
     n = len(doc)
-    score, start, good = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
-    best = (0, 0)
-    for i, x in enumerate(item, 1):
-        ds, dst, dg = 0, 0, 0
+    by_form: dict[str, set[str]] = {}
+    for y in set(doc):
+        for f in _forms(y):
+            by_form.setdefault(f, set()).add(y)
+    same = {x: set().union(*(by_form.get(f, ()) for f in _forms(x))) for x in set(item)}
+    score, good = [0] * (n + 1), [0] * (n + 1)
+    best, share = 0, 0
+    for x in item:
+        hits = same[x]
+        ds = dg = ls = lg = 0
+        new_s, new_g = [0] * (n + 1), [0] * (n + 1)
         for j in range(1, n + 1):
-            us, ust, ug = score[j], start[j], good[j]
-            y = doc[j - 1]
-            hit = x == y or _same(x, y)
-            s, st, g = (ds + (2 if hit else -1), dst if ds else i, dg + 1) if hit or ds else (0, 0, 0)
+            if doc[j - 1] in hits:
+                s, g = ds + 2, dg + 1
+            elif ds > 1:
+                s, g = ds - 1, dg + 1
+            else:
+                s = g = 0
+            us = score[j]
             if us - 1 > s:
-                s, st, g = us - 1, ust, ug
-            if score[j - 1] - 1 > s:
-                s, st, g = score[j - 1] - 1, start[j - 1], good[j - 1]
-            if s <= 0:
-                s, st, g = 0, 0, 0
-            ds, dst, dg = us, ust, ug
-            score[j], start[j], good[j] = s, st, g
-            if s > best[0]:
-                best = (s, g)
-    return best[1] / len(item) if item else 0.0
+                s, g = us - 1, good[j]
+            if ls - 1 > s:
+                s, g = ls - 1, lg
+            ds, dg = us, good[j]
+            new_s[j], new_g[j] = ls, lg = s, g
+            if s > best:
+                best, share = s, g
+        score, good = new_s, new_g
+    return share / len(item) if item else 0.0
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,4 +117,4 @@ def leaked_items(docs: DataFrame, items: DataFrame, share: float = 0.5, hits: fl
         .join(sizes, "item").where(F.col("k") >= F.col("n") * hits).select("doc", "item", "lo", "hi")
     )
     full = cand.join(dw, "doc").join(iw, "item")
-    return full.mapInPandas(_verify, f"doc {docs.schema['doc'].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, share double").where(F.col("share") >= share)
+    return spread(full, "doc", "item").mapInPandas(_verify, f"doc {docs.schema['doc'].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, share double").where(F.col("share") >= share)

@@ -11,7 +11,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from ..session import spread
 
 #: Longest reference list (wordings) that is sent to the workers; about 20 MB with its index.
 MAX_WORDINGS = 20_000
@@ -112,7 +113,7 @@ def rank_small(values: DataFrame, wordings: list[tuple[str, tuple[str, ...]]], c
             out = pd.DataFrame({"value": pdf["value"], "entry": [m.rank(list(w), coverage, agreement) if w is not None else None for w in pdf["words"]]})
             yield out[out["entry"].notna()]
 
-    return values.select("value", "words").mapInPandas(run, "value string, entry string")
+    return spread(values.select("value", "words"), "value").mapInPandas(run, "value string, entry string")
 
 
 def collect_wordings(entries: DataFrame) -> list[tuple[str, tuple[str, ...]]] | None:

@@ -260,3 +260,29 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 def p8_share(spark: SparkSession, folder: str) -> DataFrame:
     """The same pairs with the share of the item that stands in the document."""
     return _leaks(spark, folder)
+
+
+def _truncated(spark: SparkSession, folder: str) -> DataFrame:
+    from .truncation import truncated_documents
+
+    return truncated_documents(table(spark, folder, "documents", F.col("doc_id").alias("doc"), "source", "text"))
+
+
+@query
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents whose text stops before its last sentence is complete."""
+    return _truncated(spark, folder).where("cut").select(F.col("doc").alias("doc_id"))
+
+
+@query
+def p10_tails(spark: SparkSession, folder: str) -> DataFrame:
+    """The last body segment of every document and whether it was cut."""
+    return _truncated(spark, folder).select(F.col("doc").alias("doc_id"), "source", "tail", "cut")
+
+
+@query
+def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each source truncates."""
+    return _truncated(spark, folder).groupBy("source").agg(
+        F.count("*").alias("n_docs"), F.count_if("cut").alias("n_cut"), (F.floor(F.count_if("cut") / F.count("*") * 10000 + 0.5) / 10000).alias("rate")
+    )
