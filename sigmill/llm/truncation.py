@@ -61,8 +61,8 @@ def truncated_documents(docs: DataFrame, few: int = 3) -> DataFrame:
       ``CONTEXT`` ones, or
     * open, and segments with the same ``LEAD`` words mostly end closed or
       don't occur elsewhere, or
-    * closed, but its last words are followed by more words in nearly all
-      other places (a cut behind an abbreviation).
+    * closed behind a short word, but its last words are followed by more
+      words in nearly all other places (a cut behind an abbreviation).
 
     Counts cover all documents; a document's own tail is no evidence for
     itself. Null and empty texts are not cut; texts of trailers only neither.
@@ -109,6 +109,6 @@ def truncated_documents(docs: DataFrame, few: int = 3) -> DataFrame:
     ends = F.col("ends") - F.when(F.col("closed"), 1).otherwise(0)
     prefix_of_longer = (F.col("goes_on") > ends) | (F.col("longer_words") > 0)
     usual_open = (F.col("lead_n") >= few) & (F.col("closed_n") * 2 < F.col("lead_n"))
-    is_cut = F.when(F.col("marked"), True).when(F.col("closed"), (F.col("goes_on") >= few) & (F.col("goes_on") > 10 * ends)).otherwise(prefix_of_longer | ~usual_open)
+    is_cut = F.when(F.col("marked"), True).when(F.col("closed"), (F.length("last") <= 4) & (F.col("goes_on") >= few) & (F.col("goes_on") > 10 * ends)).otherwise(prefix_of_longer | ~usual_open)
     out = judged.select("doc", F.col("bare").alias("tail"), is_cut.alias("cut"))
     return body.select("doc", "source").join(out, "doc", "left").select("doc", "source", "tail", F.coalesce("cut", F.lit(False)).alias("cut"))
