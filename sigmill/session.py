@@ -23,6 +23,7 @@ def build_session(master: str = "local[*]", app: str = "sigmill", shuffle_partit
         .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
