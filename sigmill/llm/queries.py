@@ -286,3 +286,80 @@ def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
     return _truncated(spark, folder).groupBy("source").agg(
         F.count("*").alias("n_docs"), F.count_if("cut").alias("n_cut"), (F.floor(F.count_if("cut") / F.count("*") * 10000 + 0.5) / 10000).alias("rate")
     )
+
+
+PERCENTS = [0.1, 0.25, 0.5, 0.75, 0.9]
+#: Rank error that compression may add to each summary; under 10,000 values the result is exact.
+EPS = 1e-4
+
+
+def _score_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """(group, part, value): scores by cohort and by the state of their asset, parts are days.
+
+    Of rows delivered twice for one (run, site) the latest counts, of these
+    the greatest id. Null, NaN and negative scores are no scores.
+    """
+    from ..operators.history import fold_label, state_codes
+
+    scores = table(spark, folder, "scores", "id", "scoring_run_id", "site_id", "cohort_id", "overall_score", "scored_at")
+    last = scores.groupBy("scoring_run_id", "site_id").agg(F.max_by(F.struct("cohort_id", "overall_score", "scored_at"), F.struct("scored_at", "id")).alias("s"))
+    valid = last.select("site_id", "s.*").where("overall_score is not null and not isnan(overall_score) and overall_score >= 0")
+    codes = bounded_broadcast(state_codes(table(spark, folder, "zipcodes", "state_code", "state")), MAX_ZIPCODES)
+    states = table(spark, folder, "asset_states", "domain", "bundesland", "valid_from", "recorded_at", "asset_id")
+    newest = states.where("domain is not null").groupBy("domain").agg(F.max_by("bundesland", F.struct("valid_from", "recorded_at", "asset_id", "bundesland")).alias("bundesland"))
+    newest = newest.withColumn("spelling", fold_label("bundesland")).join(codes, "spelling", "left").select("domain", "code")
+    sites = table(spark, folder, "sites", F.col("id").alias("site_id"), "domain")
+    by_site = valid.join(sites, "site_id", "left").join(newest, "domain", "left")
+    day = F.date_format("scored_at", "yyyy-MM-dd")
+    groups = F.array(F.concat(F.lit("cohort:"), "cohort_id"), F.concat(F.lit("bundesland:"), "code"))
+    return by_site.select(F.explode(groups).alias("group"), day.alias("part"), F.col("overall_score").alias("value")).where("group is not null")
+
+
+@query
+def p6_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles per cohort and per federal state, merged from summaries of single days, with proven error bounds."""
+    from .quantiles import merged, percentiles, summaries
+
+    parts = cut(summaries(_score_groups(spark, folder), EPS))
+    out = percentiles(merged(parts, EPS), PERCENTS)
+    kind = F.split("group", ":", 2)
+    return out.select(kind[0].alias("dimension"), kind[1].alias("key"), "n", "p", "value", "rank_error")
+
+
+_P6_SQL = r"""
+WITH codes AS (
+  SELECT DISTINCT regexp_replace(replace(replace(replace(replace(lower(s),'ä','ae'),'ö','oe'),'ü','ue'),'ß','ss'),'[^a-z0-9]','','g') AS spelling, state_code AS code
+  FROM (SELECT state AS s, state_code FROM zipcodes UNION ALL SELECT state_code, state_code FROM zipcodes)
+), sc AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY scoring_run_id, site_id ORDER BY scored_at DESC NULLS LAST, id DESC) AS rn FROM scores)
+  WHERE rn = 1 AND overall_score IS NOT NULL AND NOT isnan(overall_score) AND overall_score >= 0
+), st AS (
+  SELECT domain, regexp_replace(replace(replace(replace(replace(regexp_replace(lower(bundesland),'^\s*de\s*[-_]\s*',''),'ä','ae'),'ö','oe'),'ü','ue'),'ß','ss'),'[^a-z0-9]','','g') AS spelling
+  FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY valid_from DESC NULLS LAST, recorded_at DESC NULLS LAST, asset_id DESC NULLS LAST, bundesland DESC NULLS LAST) AS rn FROM asset_states WHERE domain IS NOT NULL) WHERE rn = 1
+), v AS (
+  SELECT 'cohort' AS dimension, cohort_id AS key, overall_score AS x FROM sc WHERE cohort_id IS NOT NULL
+  UNION ALL
+  SELECT 'bundesland', code, overall_score FROM sc JOIN sites ON sites.id = sc.site_id JOIN st ON st.domain = sites.domain JOIN codes ON codes.spelling = st.spelling
+), r AS (SELECT *, row_number() OVER (PARTITION BY dimension, key ORDER BY x) AS i, count(*) OVER (PARTITION BY dimension, key) AS n FROM v)
+SELECT dimension, key, n, p, x AS value, CAST(0 AS BIGINT) AS rank_error
+FROM r, (VALUES (0.1::DOUBLE),(0.25::DOUBLE),(0.5::DOUBLE),(0.75::DOUBLE),(0.9::DOUBLE)) q(p) WHERE i = greatest(1, least(n, ceil(p * n - 1e-9)))
+"""
+ORACLE["p6_percentiles"] = _P6_SQL
+
+
+def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    from .mixing import mix
+
+    return mix(table(spark, folder, "documents", "doc_id", "source", "text"), table(spark, folder, "mix_targets"))
+
+
+@query
+def p9_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and actual share of every source in the largest mix that the repeats allow."""
+    return _mix(spark, folder)[1]
+
+
+@query
+def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The drawn documents with their repeats."""
+    return _mix(spark, folder)[0]
