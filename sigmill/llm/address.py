@@ -151,8 +151,8 @@ def fill_town(df: DataFrame, site: str) -> DataFrame:
     return df.join(known, [site, "_street", "_number"], "left").withColumn("_town", F.coalesce("_town", "_t1")).drop("_t1")
 
 
-def address_classes(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street: str, postal: str | None, city: str | None) -> DataFrame:
-    """(id, site, building, _town, _street, _number): the class of every row whose address names a building.
+def locate(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street: str, postal: str | None, city: str | None) -> DataFrame:
+    """(id, site, building, town, _street, _number) of every row: the class of its building, and its town.
 
     Rows are collapsed to distinct (street, number, town), so copies never
     multiply. House numbers with their letters must agree, the town must be the
@@ -160,17 +160,24 @@ def address_classes(df: DataFrame, id: str, site: str | None, zipcodes: DataFram
     against usual names, candidates of the same block first). Rows without any
     town take it from rows of the same ``site`` with the same street and
     number, else they form a class of their own within the site. Null or
-    placeholder streets and streets without a number have no class.
+    placeholder streets and streets without a number have no building.
     """
     df = df.withColumn("_site", F.col(site) if site else F.col(id)).withColumn("_id", F.col(id))
     parsed = cut(parse_address(df, street, postal, city).select("_id", "_site", "_street", "_number", "_zip", "_zip2", "_town_text", "_town_text2"))
-    rows = add_town(parsed, zipcodes).where("_street is not null").select("_id", "_site", "_street", "_number", "_town")
-    rows = expand_short_lane(rows, usual_streets(rows))
-    rows = cut(rows)
+    every = cut(add_town(parsed, zipcodes).select("_id", "_site", "_street", "_number", "_town"))
+    rows = every.where("_street is not null")
+    rows = cut(expand_short_lane(rows, usual_streets(rows)))
     rows = cut(resolve_streets(rows, usual_streets(rows)))
     rows = fill_town(rows, "_site")
     building = F.sha2(F.concat_ws("|", F.coalesce("_town", F.concat(F.lit("?"), F.col("_site").cast("string"))), "_street", "_number"), 256)
-    return rows.select(F.col("_id").alias(id), F.col("_site").alias("site"), building.alias("building"), "_town", "_street", "_number")
+    rows = rows.select("_id", "_site", building.alias("building"), "_town", "_street", "_number")
+    rest = every.where("_street is null").select("_id", "_site", F.lit(None).cast("string").alias("building"), "_town", "_street", "_number")
+    return cut(rows.unionByName(rest).select(F.col("_id").alias(id), F.col("_site").alias("site"), "building", F.col("_town").alias("town"), "_street", "_number"))
+
+
+def address_classes(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street: str, postal: str | None, city: str | None) -> DataFrame:
+    """The rows of ``locate`` whose address names a building."""
+    return locate(df, id, site, zipcodes, street, postal, city).where("building is not null")
 
 
 def pairs_within(classes: DataFrame, id: str, key: str, a: str, b: str) -> DataFrame:

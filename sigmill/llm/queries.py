@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from ..sources.tables import bounded_broadcast, table
-from .address import address_classes, pairs_within, postcode
+from .address import address_classes, locate, pairs_within, postcode
 from .canonical import town_map, trade_map
 from .encoding import damaged_values
 from .leakage import leaked_items
@@ -74,7 +74,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p2_buildings(spark: SparkSession, folder: str) -> DataFrame:
     """One row per seed row with its building's class; copies aren't expanded into pairs."""
-    return _buildings(spark, folder).select(F.col("id").alias("seed_id"), "building", F.col("_town").alias("town"), F.col("_street").alias("street"), F.col("_number").alias("house_number"))
+    return _buildings(spark, folder).select(F.col("id").alias("seed_id"), "building", "town", F.col("_street").alias("street"), F.col("_number").alias("house_number"))
 
 
 #: Catalogues of sources are a hand-kept list.
@@ -85,19 +85,13 @@ MAX_ZIPCODES = 100_000
 UNRANKED = 1_000_000
 
 
-def seed_groups(spark: SparkSession, folder: str) -> DataFrame:
+def seed_groups(spark: SparkSession, folder: str, places: DataFrame | None = None) -> DataFrame:
     """(id, site_id, phone, building, town, group): the establishment of every seed row; cut from its lineage."""
-    places = _buildings(spark, folder).select("id", "building", F.col("_town").alias("town"))
-    seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "phone", "postal_code", "city")
-    towns = table(spark, folder, "zipcodes", "zipcode", "place").dropDuplicates(["zipcode"])
-    named = town_map(seeds.select(F.col("city").alias("value")).where("value is not null").distinct(), table(spark, folder, "zipcodes"))
-    rows = (
-        seeds.withColumn("zipcode", postcode(F.col("postal_code"))).join(bounded_broadcast(towns, MAX_ZIPCODES), "zipcode", "left")
-        .join(named.select(F.col("value").alias("city"), "entry"), "city", "left")
-        .join(places, "id", "left")
-        .select("id", "site_id", phone_key("phone").alias("phone"), "building", F.coalesce("town", "place", "entry").alias("town"))
-    )
-    return cut(establishments(cut(rows)))
+    seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "street_address", "postal_code", "city")
+    if places is None:
+        places = locate(seeds, "id", "site_id", table(spark, folder, "zipcodes"), "street_address", "postal_code", "city")
+    phones = table(spark, folder, "site_source_seeds", "id", "site_id", phone_key("phone").alias("phone"))
+    return cut(establishments(phones.join(places.select("id", "building", "town"), "id", "left")))
 
 
 def _survivors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -171,23 +165,18 @@ def _matches(spark: SparkSession, folder: str) -> DataFrame:
     seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "business_name", "street_address", "postal_code", "city", "phone", "website_url")
     contacts = table(spark, folder, "imprint_contacts", "contact_id", "firm_text", "address_text", "phone_text", "web_text")
     both = seeds.select("id", "site_id", "street_address", "postal_code", "city").unionByName(_contact_address(contacts))
-    places = cut(address_classes(both, "id", "site_id", zipcodes, "street_address", "postal_code", "city").select("id", "building", "_town"))
-    lines = cut(_contact_address(contacts))
-    town_names = town_map(lines.select(F.col("city").alias("value")).where("value is not null").distinct(), zipcodes)
-    z = zipcodes.select(F.col("zipcode").alias("postal_code"), "place").dropDuplicates(["postal_code"])
-    groups = seed_groups(spark, folder).select("id", "group", F.col("town").alias("_stown"))
+    places = locate(both, "id", "site_id", zipcodes, "street_address", "postal_code", "city").select("id", "building", "town")
+    groups = seed_groups(spark, folder, places).select("id", "group", F.col("building").alias("building_s"), F.col("town").alias("town_s"))
 
     s = (
         seeds.select("id", firm_words("business_name").alias("firm_s"), phone_key("phone").alias("phone_s"), web_host("website_url").alias("host"))
-        .join(groups, "id").join(places, "id", "left")
-        .select(F.col("id").alias("seed_id"), "group", "firm_s", "phone_s", "host", F.col("building").alias("building_s"), F.coalesce("_town", "_stown").alias("town_s"))
+        .join(groups, "id").select(F.col("id").alias("seed_id"), "group", "firm_s", "phone_s", "host", "building_s", "town_s")
     )
     central = F.col("phone_text").rlike(r"\d\s*[-/]\s*0\s*$")
     c = (
         contacts.select("contact_id", firm_words("firm_text").alias("firm_c"), phone_key("phone_text").alias("phone_c"), F.coalesce(central, F.lit(False)).alias("central"), web_host("web_text").alias("host"))
-        .join(lines.join(town_names.select(F.col("value").alias("city"), "entry"), "city", "left").join(z, "postal_code", "left").select(F.col("id").alias("contact_id"), F.coalesce("place", "entry").alias("_ctown")), "contact_id", "left")
         .join(places.withColumnRenamed("id", "contact_id"), "contact_id", "left")
-        .select("contact_id", "firm_c", "phone_c", "central", "host", F.col("building").alias("building_c"), F.coalesce("_town", "_ctown").alias("town_c"))
+        .select("contact_id", "firm_c", "phone_c", "central", "host", F.col("building").alias("building_c"), F.col("town").alias("town_c"))
     )
     hosts = s.where("host is not null").groupBy("host").agg(F.approx_count_distinct("group").alias("g"), F.countDistinct(F.array_join("firm_s", " ")).alias("f"))
     users = c.where("host is not null").groupBy("host").agg(F.countDistinct(F.array_join("firm_c", " ")).alias("fc"))
