@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .encoding import restore_udf
-from .matcher import collect_wordings, rank_small
+from .matcher import TOP, collect_wordings, rank_small
 from .text import repair_words, skeleton, tokens
 
 #: Written short forms of town words, folded, and their long forms.
@@ -56,8 +56,9 @@ def rank_entries(values: DataFrame, entries: DataFrame, coverage: float = 0.5, a
 
     ``values``: distinct (value, words array); ``entries``: (entry, words
     array), an entry may appear in several wordings. A value maps only if the
-    repaired tokens carry ``coverage`` of the entry's IDF mass and, of the
-    value's words, a share ``agreement``. Ties go to the first entry in
+    repaired tokens carry ``coverage`` of the entry's IDF mass, among them one
+    about as rare as the entry's rarest, and a share ``agreement`` of the
+    value's words. Ties go to the first entry in
     binary order. Values without words don't appear.
     """
     wording = entries.select("entry", "words", F.array_join("words", " ").alias("wording")).distinct()
@@ -65,17 +66,17 @@ def rank_entries(values: DataFrame, entries: DataFrame, coverage: float = 0.5, a
     n = wording.agg(F.countDistinct("entry").alias("n"))
     idf = terms.groupBy("term").agg(F.countDistinct("entry").alias("df")).crossJoin(F.broadcast(n)).select("term", F.log1p(F.col("n") / F.col("df")).alias("idf"))
     weighted = terms.join(idf, "term")
-    mass = weighted.groupBy("entry", "wording").agg(F.sum(F.col("idf") * F.col("idf")).alias("mass"))
+    mass = weighted.groupBy("entry", "wording").agg(F.sum(F.col("idf") * F.col("idf")).alias("mass"), F.max("idf").alias("top"))
     words = values.select("value", F.explode(F.array_distinct("words")).alias("word"), F.size(F.array_distinct("words")).alias("n_words"))
     words = cut(words)
     fixed = repair_words(words.select("word").distinct(), idf.select("term"))
     fixed = fixed.withColumn("sim", 1 - F.col("distance") / F.greatest(F.length("word"), F.length("term")))
     hit = words.join(fixed, "word").join(weighted, "term").groupBy("value", "entry", "wording", "term", "idf", "n_words").agg(F.max("sim").alias("sim"))
     scored = (
-        hit.groupBy("value", "entry", "wording", "n_words").agg(F.sum(F.col("idf") * F.col("idf") * F.col("sim")).alias("got"), F.count("*").alias("n_hit"))
+        hit.groupBy("value", "entry", "wording", "n_words").agg(F.sum(F.col("idf") * F.col("idf") * F.col("sim")).alias("got"), F.count("*").alias("n_hit"), F.max("idf").alias("top_hit"))
         .join(mass, ["entry", "wording"])
         .withColumn("cover", F.col("got") / F.col("mass"))
-        .where((F.col("cover") >= coverage) & (F.col("n_hit") >= agreement * F.col("n_words")))
+        .where((F.col("cover") >= coverage) & (F.col("n_hit") >= agreement * F.col("n_words")) & (F.col("top_hit") >= TOP * F.col("top")))
         .withColumn("score", F.col("got") / F.sqrt(F.col("mass")))
     )
     best = scored.groupBy("value").agg(F.min(F.struct(-F.col("score"), -F.col("cover"), "entry")).alias("b"))

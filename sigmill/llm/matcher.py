@@ -16,6 +16,8 @@ from ..session import spread
 
 #: Longest reference list (wordings) that is sent to the workers; about 20 MB with its index.
 MAX_WORDINGS = 20_000
+#: The rarest word shared must have this share of the weight of the wording's rarest word.
+TOP = 0.7
 
 
 def _cuts(word: str, most: int) -> set[str]:
@@ -55,6 +57,7 @@ class Matcher:
             for w in ws:
                 of[w].add(e)
         self.idf = {w: math.log1p(n / len(es)) for w, es in of.items()}
+        self.top = [max((self.idf[w] for w in ws), default=0.0) for _, ws in self.wordings]
         self.mass = [sum(self.idf[w] ** 2 for w in ws) for _, ws in self.wordings]
         self.holds = defaultdict(list)
         for k, (_, ws) in enumerate(self.wordings):
@@ -90,13 +93,14 @@ class Matcher:
         for w in words:
             for t, s in self.repair(w):
                 sims[t] = max(s, sims.get(t, 0.0))
-        got: dict[int, list[float]] = defaultdict(lambda: [0.0, 0])
+        got: dict[int, list[float]] = defaultdict(lambda: [0.0, 0, 0.0])
         for t, s in sims.items():
             for k in self.holds[t]:
                 got[k][0] += self.idf[t] ** 2 * s
                 got[k][1] += 1
+                got[k][2] = max(got[k][2], self.idf[t])
         best = min(
-            ((-g / math.sqrt(self.mass[k]), -g / self.mass[k], self.wordings[k][0]) for k, (g, n) in got.items() if g / self.mass[k] >= coverage and n >= agreement * len(words)),
+            ((-g / math.sqrt(self.mass[k]), -g / self.mass[k], self.wordings[k][0]) for k, (g, n, top) in got.items() if g / self.mass[k] >= coverage and n >= agreement * len(words) and top >= TOP * self.top[k]),
             default=None,
         )
         return best and best[2]
