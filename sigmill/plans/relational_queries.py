@@ -570,3 +570,11 @@ def stream_tumbling_counts(spark, d):
     from ..streaming.ingest import tumbling_counts
 
     return tumbling_counts(table(spark, d, "events", "ts", "event_type"), "ts", "event_type", "1 hour")
+
+
+@q()
+def page_signals_udf(spark, d):
+    """All page signals of every document, one parse a page (no SQL can express them)."""
+    from ..functions.page_signals import page_signals
+
+    return page_signals(table(spark, d, "documents", "doc_id", "text", F.concat(F.lit("https://"), "domain", F.coalesce("url_path", F.lit("/"))).alias("url")), "doc_id", "text", "url", 2026)
