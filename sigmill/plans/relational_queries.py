@@ -578,3 +578,50 @@ def page_signals_udf(spark, d):
     from ..functions.page_signals import page_signals
 
     return page_signals(table(spark, d, "documents", "doc_id", "text", F.concat(F.lit("https://"), "domain", F.coalesce("url_path", F.lit("/"))).alias("url")), "doc_id", "text", "url", 2026)
+
+
+@q("SELECT id, '{\"kat\":' || coalesce(to_json(raw_json->>'$.kat')::VARCHAR, 'null') || ',\"pos\":' || (raw_json->>'$.pos') || ',\"tel\":' || coalesce(to_json(raw_json->>'$.tel')::VARCHAR, 'null') || '}' AS j FROM site_source_seeds")
+def json_canonical(spark, d):
+    from ..functions.canonical_json import canonical_json
+
+    return table(spark, d, "site_source_seeds", "id", "raw_json").select("id", canonical_json("raw_json").alias("j"))
+
+
+@q("""SELECT id, CASE WHEN category IS NOT NULL AND contains(lower(category), lower(replace(g.gewerk_name,'handwerk',''))) THEN 0.95 WHEN category IS NOT NULL AND s.hwo_uid IS NOT NULL THEN 0.75 WHEN s.hwo_uid IS NOT NULL THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence
+FROM (SELECT sites.id, sites.hwo_uid, c.category FROM sites LEFT JOIN (SELECT site_id, min(category) AS category FROM site_source_seeds GROUP BY 1) c ON c.site_id = sites.id) s LEFT JOIN gewerke g ON g.hwo_uid = s.hwo_uid""")
+def classify_ladder(spark, d):
+    """Confidence of a site's trade by the strongest evidence that holds."""
+    c = table(spark, d, "site_source_seeds", "site_id", "category").groupBy("site_id").agg(F.min("category").alias("category"))
+    g = bounded_broadcast(table(spark, d, "gewerke", "hwo_uid", F.lower(F.replace("gewerk_name", F.lit("handwerk"), F.lit(""))).alias("alias")), MAX_LIST)
+    s = table(spark, d, "sites", "id", "hwo_uid").join(c, F.col("id") == F.col("site_id"), "left").join(g, "hwo_uid", "left")
+    there = F.col("category").isNotNull()
+    ladder = F.when(there & F.contains(F.lower("category"), "alias"), 0.95).when(there & F.col("hwo_uid").isNotNull(), 0.75).when(F.col("hwo_uid").isNotNull(), 0.5).otherwise(0.0)
+    return s.select("id", ladder.alias("confidence"))
+
+
+@q("SELECT user_id, sum(CASE WHEN event_type='error' THEN coalesce((props->>'$.k')::BIGINT, 1) ELSE 0 END)::BIGINT AS weighted_errors, count_if(event_type='error') AS errors FROM events GROUP BY 1")
+def violation_counts(spark, d):
+    """Node-weighted counts; a missing number of nodes counts as one."""
+    nodes = F.coalesce(F.get_json_object("props", "$.k").try_cast("long"), F.lit(1))
+    bad = F.col("event_type") == "error"
+    return table(spark, d, "events", "user_id", "event_type", "props").groupBy("user_id").agg(F.sum(F.when(bad, nodes).otherwise(0)).alias("weighted_errors"), F.count_if(bad).alias("errors"))
+
+
+@q("WITH m AS (SELECT cohort_id, floor(sum(floor(overall_score*100+0.5))::DOUBLE/count(*)+0.5)/100 AS mean FROM scores WHERE overall_score >= 0 AND NOT isnan(overall_score) AND cohort_id IS NOT NULL GROUP BY 1) SELECT cohort_id, mean, row_number() OVER (ORDER BY mean DESC, cohort_id) AS pos FROM m")
+def rank_by_mean(spark, d):
+    """Rank of every cohort by its mean; the window spans one row per cohort."""
+    m = _scores(spark, d, "cohort_id").where("cohort_id is not null").groupBy("cohort_id").agg((F.floor(F.sum(F.floor(F.col("overall_score") * 100 + 0.5)) / F.count("*") + 0.5) / 100.0).alias("mean"))
+    return m.select("cohort_id", "mean", F.row_number().over(Window.orderBy(F.desc("mean"), "cohort_id")).alias("pos"))
+
+
+@q("SELECT id, postal_code, city FROM site_source_seeds WHERE (postal_code IS NOT NULL AND postal_code <> '' OR city IS NOT NULL AND city <> '') AND source_path LIKE 'branchenkranz/%' AND city NOT IN ('', 'Unknown') AND length(trim(business_name)) > 0")
+def filter_chain(spark, d):
+    t = table(spark, d, "site_source_seeds", "id", "postal_code", "city", "source_path", "business_name")
+    there = lambda c: F.col(c).isNotNull() & (F.col(c) != "")
+    return t.where((there("postal_code") | there("city")) & F.col("source_path").startswith("branchenkranz/") & ~F.col("city").isin("", "Unknown") & (F.length(F.trim("business_name")) > 0)).select("id", "postal_code", "city")
+
+
+@q("SELECT id, coalesce(nullif(trim(s.city), ''), z.place) AS city FROM site_source_seeds s LEFT JOIN zipcodes z ON z.zipcode = s.postal_code")
+def update_from_lookup(spark, d):
+    z = bounded_broadcast(table(spark, d, "zipcodes", F.col("zipcode").alias("postal_code"), "place"), MAX_LIST)
+    return table(spark, d, "site_source_seeds", "id", "city", "postal_code").join(z, "postal_code", "left").select("id", F.coalesce(F.nullif(F.trim("city"), F.lit("")), "place").alias("city"))
