@@ -143,6 +143,8 @@ def p1_consensus(spark: SparkSession, folder: str) -> DataFrame:
 #: A web host that more firms than this name is a portal and tells nothing about one of them.
 MAX_FIRMS_OF_HOST = 3
 MATCH = 0.9
+#: Digits of a number that name the line: area code and main number.
+MAIN_LINE = 10
 
 
 def _contact_address(contacts: DataFrame) -> DataFrame:
@@ -166,31 +168,33 @@ def _matches(spark: SparkSession, folder: str) -> DataFrame:
     contacts = table(spark, folder, "imprint_contacts", "contact_id", "firm_text", "address_text", "phone_text", "web_text")
     both = seeds.select("id", "site_id", "street_address", "postal_code", "city").unionByName(_contact_address(contacts))
     places = locate(both, "id", "site_id", zipcodes, "street_address", "postal_code", "city").select("id", "building", "town")
-    groups = seed_groups(spark, folder, places).select("id", "group", F.col("building").alias("building_s"), F.col("town").alias("town_s"))
+    listed = zipcodes.select(F.col("place").alias("town")).distinct().withColumn("_listed", F.lit(True))
+    places = places.join(bounded_broadcast(listed, MAX_ZIPCODES), "town", "left").withColumn("known", F.when(F.col("_listed"), F.col("town"))).drop("_listed")
+    groups = seed_groups(spark, folder, places).join(places.select("id", "known"), "id").select("id", "group", F.col("building").alias("building_s"), F.col("known").alias("town_s"))
 
     s = (
         seeds.select("id", firm_words("business_name").alias("firm_s"), phone_key("phone").alias("phone_s"), web_host("website_url").alias("host"))
         .join(groups, "id").select(F.col("id").alias("seed_id"), "group", "firm_s", "phone_s", "host", "building_s", "town_s")
     )
-    central = F.col("phone_text").rlike(r"\d\s*[-/]\s*0\s*$")
     c = (
-        contacts.select("contact_id", firm_words("firm_text").alias("firm_c"), phone_key("phone_text").alias("phone_c"), F.coalesce(central, F.lit(False)).alias("central"), web_host("web_text").alias("host"))
+        contacts.select("contact_id", firm_words("firm_text").alias("firm_c"), phone_key("phone_text").alias("phone_c"), web_host("web_text").alias("host"))
         .join(places.withColumnRenamed("id", "contact_id"), "contact_id", "left")
-        .select("contact_id", "firm_c", "phone_c", "central", "host", F.col("building").alias("building_c"), F.col("town").alias("town_c"))
+        .select("contact_id", "firm_c", "phone_c", "host", F.col("building").alias("building_c"), F.col("known").alias("town_c"))
     )
-    hosts = s.where("host is not null").groupBy("host").agg(F.approx_count_distinct("group").alias("g"), F.countDistinct(F.array_join("firm_s", " ")).alias("f"))
     users = c.where("host is not null").groupBy("host").agg(F.countDistinct(F.array_join("firm_c", " ")).alias("fc"))
-    portal = users.where(F.col("fc") > MAX_FIRMS_OF_HOST).select("host").join(hosts.select("host"), "host", "left_anti").withColumn("portal", F.lit(True))
+    portal = users.where(F.col("fc") > MAX_FIRMS_OF_HOST).select("host").join(s.select("host").where("host is not null").distinct(), "host", "left_anti").withColumn("portal", F.lit(True))
     s = cut(s.withColumnRenamed("host", "host_s"))
     c = cut(c.join(portal, "host", "left").withColumn("host_c", F.when(F.col("portal").isNull(), F.col("host"))).drop("portal", "host"))
 
     # Establishments stand for their rows: distinct profiles meet, copies don't multiply.
     e = cut(s.groupBy("group", "firm_s", "phone_s", "host_s", "building_s", "town_s").agg(F.min("seed_id").alias("rep")))
-    main = F.substring("phone_s", 1, 10)
+    # Numbers of unlike length with the same first ten digits are one line with another extension.
+    main = lambda c: F.substring(c, 1, MAIN_LINE)
     single = e.where("host_s is not null").groupBy("host_s").agg(F.min("group").alias("g1"), F.max("group").alias("g2")).where("g1 = g2").select(F.col("host_s").alias("host"))
     passes = [
         (e.where("phone_s is not null").select("rep", F.col("phone_s").alias("k")), c.where("phone_c is not null").select("contact_id", F.col("phone_c").alias("k"))),
-        (e.where("phone_s is not null").select("rep", main.alias("k")), c.where("central").select("contact_id", F.expr("left(phone_c, length(phone_c) - 1)").alias("k"))),
+        (e.where(F.length("phone_s") >= MAIN_LINE).select("rep", F.concat_ws("|", main("phone_s"), "host_s").alias("k")), c.where(F.length("phone_c") >= MAIN_LINE).select("contact_id", F.concat_ws("|", main("phone_c"), "host_c").alias("k"))),
+        (e.where((F.length("phone_s") >= MAIN_LINE) & F.col("town_s").isNotNull()).select("rep", F.concat_ws("|", main("phone_s"), "town_s").alias("k")), c.where((F.length("phone_c") >= MAIN_LINE) & F.col("town_c").isNotNull()).select("contact_id", F.concat_ws("|", main("phone_c"), "town_c").alias("k"))),
         (e.where("building_s is not null").select("rep", F.col("building_s").alias("k")), c.where("building_c is not null").select("contact_id", F.col("building_c").alias("k"))),
         (e.where("host_s is not null and town_s is not null").select("rep", F.concat_ws("|", "host_s", "town_s").alias("k")), c.where("host_c is not null and town_c is not null").select("contact_id", F.concat_ws("|", "host_c", "town_c").alias("k"))),
         (e.join(single.withColumnRenamed("host", "host_s"), "host_s").select("rep", F.col("host_s").alias("k")), c.where("host_c is not null").select("contact_id", F.col("host_c").alias("k"))),
@@ -202,19 +206,21 @@ def _matches(spark: SparkSession, folder: str) -> DataFrame:
         cand = p if cand is None else cand.unionByName(p)
     cand = cand.distinct()
     known = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull()
-    levels = cand.join(e, "rep").join(c, "contact_id").select(
-        "group", "contact_id", "phone_c", "building_c",
+    one_line = (F.length("phone_s") != F.length("phone_c")) & (F.length("phone_c") >= MAIN_LINE) & (main("phone_s") == main("phone_c"))
+    levels = cand.join(e, "rep").join(c, "contact_id").join(single.select(F.col("host").alias("host_s"), F.lit(True).alias("only")), "host_s", "left").select(
+        "group", "contact_id", F.coalesce("only", F.lit(False)).alias("only"),
         F.when(~known("phone_s", "phone_c"), -1).when(F.col("phone_s") == F.col("phone_c"), 2)
-        .when(F.col("central") & (main == F.expr("left(phone_c, length(phone_c) - 1)")), 1).otherwise(0).alias("phone"),
+        .when(one_line, 1).otherwise(0).alias("phone"),
         F.when(known("building_s", "building_c") & (F.col("building_s") == F.col("building_c")), 2)
         .when(~known("town_s", "town_c"), -1).when(F.col("town_s") != F.col("town_c"), 0).when(known("building_s", "building_c"), 1).otherwise(-1).alias("place"),
         firm_level("firm_s", "firm_c").alias("firm"),
         F.when(~known("host_s", "host_c"), -1).when(F.col("host_s") == F.col("host_c"), 1).otherwise(0).alias("web"),
     )
     scored = score_pairs(cut(levels))
-    # What shares the name or the web site alone is a branch or a namesake: another town needs the phone,
-    # and a pair without common phone and building needs the web site.
-    scored = scored.where((F.col("phone") >= 1) | (F.col("place") == 2) | (F.col("place") != 0) & (F.col("web") == 1))
+    # What shares the name alone is a namesake, and what shares the web site of a chain is a branch: without a common
+    # phone or building a pair needs the web site, and with it the town or that only one establishment has that site.
+    shared_site = (F.col("web") == 1) & ((F.col("place") == 1) | F.col("only") & (F.col("firm") >= 2))
+    scored = scored.where((F.col("phone") >= 1) | (F.col("place") == 2) | shared_site)
     best = scored.groupBy("group", "contact_id").agg(
         F.max("confidence").alias("confidence"), F.max("phone").alias("phone"), F.max("place").alias("place"), F.max("firm").alias("firm"), F.max("web").alias("web"),
     )
