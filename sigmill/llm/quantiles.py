@@ -17,8 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Values of one group that a task buffers before it summarises them.
-CHUNK = 100_000
+#: Values that a task buffers before it summarises them.
+CHUNK = 500_000
 #: Summaries merged in one call: bounds what a task holds.
 FAN_IN = 64
 SCHEMA = "group string, part string, n long, v array<double>, lo array<long>, hi array<long>"
@@ -32,6 +32,10 @@ def exact(values: np.ndarray) -> Summary:
     return v, r, r.copy()
 
 
+def is_exact(s: Summary) -> bool:
+    return not len(s[0]) or s[2][-1] == len(s[0]) and bool((s[1] == s[2]).all())
+
+
 def merge(a: Summary, b: Summary) -> Summary:
     """Summary of the union; rank intervals add up."""
     (av, al, ah), (bv, bl, bh) = a, b
@@ -47,21 +51,33 @@ def merge(a: Summary, b: Summary) -> Summary:
     b_lo, b_hi = shift(bv, av, al, ah, "right")
     v = np.concatenate([av, bv])
     order = np.argsort(v, kind="stable")
-    return v[order], np.concatenate([al + a_lo, bl + b_lo])[order], np.concatenate([ah + a_hi, bh + b_hi])[order]
+    lo, hi = np.concatenate([al + a_lo, bl + b_lo])[order], np.concatenate([ah + a_hi, bh + b_hi])[order]
+    # Ranks rise along the values, which can only narrow the intervals.
+    return v[order], np.maximum.accumulate(lo), np.minimum.accumulate(hi[::-1])[::-1]
+
+
+def merge_all(rows: list[tuple[int, Summary]]) -> tuple[int, Summary]:
+    """(n, summary) of the union: exact ones are sorted together, the others merged in pairs."""
+    sure = [s[0] for _, s in rows if is_exact(s)]
+    rest = sorted(((n, s) for n, s in rows if not is_exact(s)), key=lambda r: (r[0], r[1][0].tobytes()))
+    if sure:
+        v = np.concatenate(sure)
+        rest.append((len(v), exact(v)))
+    while len(rest) > 1:
+        rest = [(rest[i][0] + rest[i + 1][0], merge(rest[i][1], rest[i + 1][1])) if i + 1 < len(rest) else rest[i] for i in range(0, len(rest), 2)]
+    return rest[0]
 
 
 def compress(s: Summary, n: int, eps: float) -> Summary:
-    """Drop tuples whose neighbours leave a gap of at most 2*eps*n ranks; ends stay."""
+    """Keep as few tuples as leave gaps of at most 2*eps*n ranks between neighbours; ends stay."""
     v, lo, hi = s
     room = 2 * eps * n
     if len(v) < 3 or room < 2:
         return s
-    keep, last = [0], 0
-    for i in range(1, len(v) - 1):
-        if hi[i + 1] - lo[last] > room:
-            keep.append(i)
-            last = i
-    keep.append(len(v) - 1)
+    keep, last, end = [0], 0, len(v) - 1
+    while last < end:
+        last = min(end, max(last + 1, int(np.searchsorted(hi, lo[last] + room, side="right")) - 1))
+        keep.append(last)
     k = np.array(keep)
     return v[k], lo[k], hi[k]
 
@@ -87,18 +103,30 @@ def summaries(values: DataFrame, eps: float = 1e-4) -> DataFrame:
     summary, as a share of its size; summaries under 1/eps values stay exact.
     """
 
+    def flush(names: list, codes: list, held: list) -> pd.DataFrame:
+        c, v = np.concatenate(codes), np.concatenate(held)
+        order = np.lexsort((v, c))
+        c, v = c[order], v[order]
+        at = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+        rows = []
+        for i, j in zip(at, np.r_[at[1:], len(c)]):
+            r = np.arange(1, j - i + 1, dtype=np.int64)
+            rows.append(_row(*names[c[i]], j - i, compress((v[i:j], r, r), j - i, eps)))
+        return pd.DataFrame(rows)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = {}
-        size = 0
+        number: dict = {}
+        codes, held, size = [], [], 0
         for pdf in batches:
-            for key, x in pdf.groupby(["group", "part"], dropna=False, sort=False)["value"]:
-                held.setdefault(key, []).append(x.to_numpy())
+            local, keys = pd.factorize(pd.MultiIndex.from_arrays([pdf["group"], pdf["part"]]))
+            codes.append(np.array([number.setdefault(k, len(number)) for k in keys])[local])
+            held.append(pdf["value"].to_numpy())
             size += len(pdf)
             if size >= CHUNK:
-                yield pd.DataFrame([_row(g, p, n, compress(exact(a), n, eps)) for (g, p), a, n in ((k, c, len(c)) for k, c in ((k, np.concatenate(x)) for k, x in held.items()))])
-                held, size = {}, 0
-        if held:
-            yield pd.DataFrame([_row(g, p, n, compress(exact(a), n, eps)) for (g, p), a, n in ((k, c, len(c)) for k, c in ((k, np.concatenate(x)) for k, x in held.items()))])
+                yield flush(list(number), codes, held)
+                number, codes, held, size = {}, [], [], 0
+        if size:
+            yield flush(list(number), codes, held)
 
     clean = values.where("group is not null and value is not null and not isnan(value)").select(F.col("group").cast("string").alias("group"), F.coalesce(F.col("part").cast("string"), F.lit("")).alias("part"), F.col("value").cast("double").alias("value"))
     return clean.mapInPandas(run, SCHEMA)
@@ -108,22 +136,22 @@ def merged(parts: DataFrame, eps: float = 1e-4, by_part: bool = False) -> DataFr
     """One summary per group (or per group and part) by a tree of merges of ``FAN_IN`` at a time."""
     keys = ["group", "part"] if by_part else ["group"]
     most = parts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 1
-    levels = max(1, math.ceil(math.log(max(2, most), FAN_IN)))
+    steps = []
+    while most > 1:
+        most = math.ceil(most / FAN_IN)
+        steps.append(most)
+    steps = steps or [1]
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = [(int(n), (np.asarray(v, float), np.asarray(a, np.int64), np.asarray(b, np.int64))) for n, v, a, b in zip(pdf["n"], pdf["v"], pdf["lo"], pdf["hi"])]
-        rows.sort(key=lambda r: (r[0], r[1][0].tobytes()))
-        while len(rows) > 1:  # in pairs, so that every tuple is shifted about log2 times
-            rows = [(rows[i][0] + rows[i + 1][0], merge(rows[i][1], rows[i + 1][1])) if i + 1 < len(rows) else rows[i] for i in range(0, len(rows), 2)]
-        n, s = rows[0]
-        return pd.DataFrame([_row(pdf["group"].iloc[0], pdf["part"].iloc[0], n, compress(s, n, eps / levels))])
-
-    out = parts.withColumn("_slot", F.pmod(F.xxhash64("part", "n", "v"), F.lit(FAN_IN**levels)))
-    for level in range(levels, 0, -1):
-        out = out.withColumn("_bucket", F.floor(F.col("_slot") / FAN_IN ** (levels - level + 1)).cast("long"))
-        done = out.select(*SCHEMA_COLUMNS, "_bucket").groupBy(*keys, "_bucket").applyInPandas(lambda pdf: fold(pdf).assign(_slot=int(pdf["_bucket"].iloc[0])), SCHEMA + ", _slot long")
-        out = done.withColumn("_slot", F.col("_slot") * FAN_IN ** (levels - level + 1))
-    return out.select(*SCHEMA_COLUMNS)
+        n, s = merge_all(rows)
+        return pd.DataFrame([_row(pdf["group"].iloc[0], pdf["part"].iloc[0], n, compress(s, n, eps / len(steps)))])
+
+    out = parts
+    for buckets in steps:  # each step leaves about 1/FAN_IN of the summaries
+        slot = F.pmod(F.xxhash64("part", "n", "v"), F.lit(buckets)) if buckets > 1 else F.lit(0)
+        out = out.select(*SCHEMA_COLUMNS, slot.alias("_bucket")).groupBy(*keys, "_bucket").applyInPandas(fold, SCHEMA)
+    return out
 
 
 SCHEMA_COLUMNS = ["group", "part", "n", "v", "lo", "hi"]
