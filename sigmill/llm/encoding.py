@@ -117,6 +117,11 @@ def restore_spans(text: str, rounds: int = 3) -> tuple[str, bool]:
     return text.replace("﻿", ""), found
 
 
+def _symbol(c: str) -> bool:
+    """No letter of a script: signs, and modifier letters, which no word is spelt with."""
+    return not c.isalpha() or unicodedata.category(c) == "Lm"
+
+
 def _script(c: str) -> str:
     n = ord(c)
     return "x" if 0x370 <= n < 0x530 and c.isalpha() else "l" if c.isalpha() else ""
@@ -150,7 +155,7 @@ def _word_state(word: str) -> str:
         meant = {m[c] for m in map(lambda p: _letters(*p), CONFUSED) if c in m}
         if not meant:
             continue
-        if not c.isalpha() and inner and c not in JOINERS and any(m.islower() or left.isupper() and right.isupper() for m in meant):
+        if _symbol(c) and inner and c not in JOINERS and any(m.islower() or left.isupper() and right.isupper() for m in meant):
             return "bad"
         ask = True
     return "ask" if ask else ""
@@ -262,7 +267,7 @@ def quick(value: str) -> str:
         for pair in CONFUSED:
             t = _letters(*pair)
             odd = [c for c in word if not c.isascii() and c not in GERMAN]
-            if odd and all(t.get(c, "") and t[c] in GERMAN for c in odd) and (_word_state(word) == "bad" or all(not c.isalpha() or c in "õšŠŸáŽ" for c in odd)):
+            if odd and all(t.get(c, "") and t[c] in GERMAN for c in odd) and (_word_state(word) == "bad" or all(_symbol(c) or c in "õšŠŸáŽﬂ" for c in odd)):
                 new = "".join(t.get(c, c) if c in odd else c for c in word)
                 if any(a.islower() and b in "ÄÖÜ" for a, b in zip(new, new[1:])):
                     continue
