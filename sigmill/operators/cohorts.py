@@ -10,6 +10,9 @@ from ..functions.num import js_round, summary
 #: Half-open bands; the last includes 100.
 BANDS = (("0-20", 0, 20), ("20-40", 20, 40), ("40-60", 40, 60), ("60-80", 60, 80), ("80-100", 80, 101))
 
+#: Periods of a series: 250 years of quarters.
+MAX_PERIODS = 1000
+
 
 def slices(df: DataFrame, key: str, value: str, k: int = 5, digits: int = 1) -> DataFrame:
     """Summary per key, groups under ``k`` and null or "unknown" keys left out."""
@@ -32,9 +35,9 @@ def bands(df: DataFrame, value: str) -> DataFrame:
     frame = df.sparkSession.createDataFrame([(b,) for b, _, _ in BANDS], "band string")
     label = F.coalesce(*[F.when((F.col(value) >= lo) & (F.col(value) < hi), b) for b, lo, hi in BANDS])
     n = df.where(F.col(value).isNotNull()).groupBy(label.alias("band")).agg(F.count("*").alias("n"))
-    total = n.agg(F.sum("n").alias("_t"))
-    out = F.broadcast(frame).join(n, "band", "left").crossJoin(F.broadcast(total))
-    return out.select("band", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.coalesce("_t", F.lit(0)) > 0, js_round(F.coalesce("n", F.lit(0)) / F.col("_t"), 4)).alias("share"))
+    out = F.broadcast(frame).join(n, "band", "left").select("band", F.coalesce("n", F.lit(0)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # over the five bands
+    return out.select("band", "n", F.when(total > 0, js_round(F.col("n") / total, 4)).alias("share"))
 
 
 def k_filter(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
@@ -60,7 +63,11 @@ def period_series(df: DataFrame, key: str, period: str, value: str, k: int = 5)
     delta_below_absolute (3 points), delta_below_relative (3 % of the previous).
     """
     per = df.groupBy(key, period).agg(F.count("*").alias("n"), js_round(F.percentile(value, F.lit(0.75)), 1).alias("p75"))
-    grid = per.select(key).distinct().crossJoin(F.broadcast(per.select(period).distinct()))  # keys x periods: the complete universe
+    known = [r[0] for r in per.select(period).where(F.col(period).isNotNull()).distinct().limit(MAX_PERIODS + 1).collect()]
+    if len(known) > MAX_PERIODS:
+        raise ValueError(f"more than {MAX_PERIODS} periods")
+    every = F.array(*[F.lit(x) for x in sorted(known)]) if known else F.array().cast("array<string>")
+    grid = per.select(key).distinct().select(key, F.explode(every).alias(period))  # the complete universe of keys and periods
     w = Window.partitionBy(key).orderBy(period)
     full = grid.join(per, [key, period], "left").select("*", F.row_number().over(w).alias("_i"), F.lag("n").over(w).alias("prev_n"), F.lag("p75").over(w).alias("prev_p75"))
     delta = js_round(F.col("p75") - F.col("prev_p75"), 1)
