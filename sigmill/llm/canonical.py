@@ -63,8 +63,8 @@ def rank_entries(values: DataFrame, entries: DataFrame, coverage: float = 0.5, a
     """
     wording = entries.select("entry", "words", F.array_join("words", " ").alias("wording")).distinct()
     terms = wording.select("entry", "wording", F.explode(F.array_distinct("words")).alias("term"))
-    n = wording.agg(F.countDistinct("entry").alias("n"))
-    idf = terms.groupBy("term").agg(F.countDistinct("entry").alias("df")).crossJoin(F.broadcast(n)).select("term", F.log1p(F.col("n") / F.col("df")).alias("idf"))
+    n = float(wording.select("entry").distinct().count())
+    idf = terms.groupBy("term").agg(F.countDistinct("entry").alias("df")).select("term", F.log1p(F.lit(n) / F.col("df")).alias("idf"))
     weighted = terms.join(idf, "term")
     mass = weighted.groupBy("entry", "wording").agg(F.sum(F.col("idf") * F.col("idf")).alias("mass"), F.max("idf").alias("top"))
     words = values.select("value", F.explode(F.array_distinct("words")).alias("word"), F.size(F.array_distinct("words")).alias("n_words"))

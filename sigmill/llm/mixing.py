@@ -14,7 +14,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -129,6 +129,6 @@ def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, tokeniz
     drawn = plan.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens_drawn"), F.count("*").alias("docs_drawn"), F.max("repeats").alias("most_repeats"))
     held = counted.groupBy("source").agg(F.sum("n_tokens").alias("tokens_held"))
     report = known.join(held, "source", "full").join(drawn, "source", "left").fillna(0, ["tokens_held", "tokens_drawn", "docs_drawn", "most_repeats"])
-    whole = report.agg(F.sum("tokens_drawn").alias("_all"))
-    report = report.crossJoin(F.broadcast(whole)).select("source", "target_share", "max_repeats", "tokens_held", "tokens_drawn", "docs_drawn", "most_repeats", F.when(F.col("_all") > 0, F.col("tokens_drawn") / F.col("_all")).alias("actual_share"))
+    report = report.withColumn("_all", F.sum("tokens_drawn").over(Window.partitionBy(F.lit(1)))).select(  # one row per source
+        "source", "target_share", "max_repeats", "tokens_held", "tokens_drawn", "docs_drawn", "most_repeats", F.when(F.col("_all") > 0, F.col("tokens_drawn") / F.col("_all")).alias("actual_share"))
     return plan, report

@@ -51,9 +51,9 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     towns = seeds.select(F.lit("site_source_seeds.city").alias("field_name"), F.col("id").alias("row_id"), F.col("city").alias("value")).unionByName(
         sites.select(F.lit("sites.gemeinde").alias("field_name"), F.col("id").alias("row_id"), F.col("gemeinde").alias("value"))
     ).where("value is not null")
-    named = towns.join(F.broadcast(zipcodes.select(F.col("place").alias("value")).distinct()), "value", "left_anti")
+    named = towns.join(bounded_broadcast(zipcodes.select(F.col("place").alias("value")).distinct(), MAX_ZIPCODES), "value", "left_anti")
     kinds = seeds.select(F.lit("site_source_seeds.category").alias("field_name"), F.col("id").alias("row_id"), F.col("category").alias("value")).where("value is not null")
-    kinds = kinds.join(F.broadcast(trades.select(F.col("gewerk_name").alias("value")).distinct()), "value", "left_anti")
+    kinds = kinds.join(bounded_broadcast(trades.select(F.col("gewerk_name").alias("value")).distinct(), MAX_ZIPCODES), "value", "left_anti")
     town_of = town_map(named.select("value").distinct(), zipcodes)
     trade_of = trade_map(seeds.select(F.col("site_id").alias("group"), F.col("category").alias("value")), trades)
     out = named.join(town_of, "value", "left").unionByName(kinds.join(trade_of, "value", "left"))
