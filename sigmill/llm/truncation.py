@@ -84,15 +84,16 @@ def truncated_documents(docs: DataFrame, few: int = 3) -> DataFrame:
     beginnings = inner.groupBy(lead(F.col("w")).alias("h")).agg(F.sum(F.when(F.col("closed"), F.col("n")).otherwise(0)).alias("closed_n"), F.sum("n").alias("n"))
 
     # What follows CONTEXT words (or fewer at a segment's start): a longer copy continues, an end doesn't.
-    at = F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i")
-    key = lambda w, i: F.xxhash64(F.array_join(F.slice(F.concat(F.array(F.lit("^")), w), F.greatest(i - CONTEXT + 2, F.lit(1)), F.least(i + 1, F.lit(CONTEXT))), " "))
-    steps = inner.select("w", "closed", "n", at)
-    grown = steps.select(key(F.col("w"), F.col("i")).alias("h"), F.get("w", F.col("i")).alias("next"), F.when(F.col("closed") | (F.col("i") < F.size("w")), F.col("n")).otherwise(0).alias("n"))
+    key = lambda w, i: F.xxhash64(*[F.get(w, i - k) for k in range(CONTEXT, 0, -1)])
+    w = F.col("w")
+    places = F.transform(F.sequence(F.lit(0), F.size(w)), lambda i: F.struct(key(w, i).alias("h"), F.get(w, i).alias("next")))
+    steps = inner.select("closed", "n", F.explode(places).alias("s"))
+    grown = steps.select("s.h", "s.next", F.when(F.col("closed") | F.col("s.next").isNotNull(), F.col("n")).otherwise(0).alias("n"))
     table = cut(grown.groupBy("h", "next").agg(F.sum("n").alias("n")))
     totals = table.groupBy("h").agg(F.sum(F.when(F.col("next").isNotNull(), F.col("n")).otherwise(0)).alias("goes_on"), F.sum(F.when(F.col("next").isNull(), F.col("n")).otherwise(0)).alias("ends"))
 
     tails = segs.where("is_tail").select("doc", "marked", "closed", "bare", "w", lead(F.col("w")).alias("lead_h"), key(F.col("w"), F.size("w")).alias("end_h"),
-                                         F.when(F.size("w") > 1, key(F.slice("w", 1, F.size("w") - 1), F.size("w") - 1)).otherwise(F.xxhash64(F.lit("^"))).alias("before_h"), F.element_at("w", -1).alias("last"))
+                                         key(F.col("w"), F.size("w") - 1).alias("before_h"), F.element_at("w", -1).alias("last"))
     inside = (
         tails.where("not closed").select("before_h", "last").distinct()
         .join(table.where("next is not null").select(F.col("h").alias("before_h"), "next", "n"), "before_h")
