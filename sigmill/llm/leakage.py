@@ -34,10 +34,12 @@ def plain_words(c) -> Column:
 
 def seeds_of(words: str, key: str, df: DataFrame) -> DataFrame:
     """(key, pos, h): one row per mask and position of every text; short texts have none."""
+    # Every word is hashed once; the masks combine numbers.
+    df = df.withColumn("_codes", F.transform(words, lambda t: F.xxhash64(t)))
     parts = []
     for k, mask in enumerate(MASKS):
         ones = [i for i, x in enumerate(mask) if x == "1"]
-        w = F.col(words)
+        w = F.col("_codes")
         hashed = F.transform(
             F.when(F.size(w) >= len(mask), F.sequence(F.lit(0), F.size(w) - len(mask))).otherwise(F.array().cast("array<int>")),
             lambda i: F.xxhash64(F.lit(k), *[F.get(w, i + o) for o in ones]),
