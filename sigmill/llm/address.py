@@ -1,19 +1,26 @@
 """Postal addresses of the same building, written differently.
 
-Numbers first: an address is its house number (the sorted digit tokens), its
-street words and its town. Street words are repaired against the words that
-many rows share, towns against the list of places. Addresses that share their
-digits and one rare word meet in a block; they denote one building if the
-words they don't share carry little rarity weight, or are misspellings of each
-other by edit distance.
+Numbers first: an address is its house number with its letter, its street
+words (stem and kind) and its town; towns are repaired against the list of
+places. Addresses that share their number and their town meet in a block (those
+without a town in the block of their site); there the distinct street names are
+compared directly, whatever their frequency: the words they share are taken
+out, what remains must be a misspelling of each other by edit distance, and the
+rarity-weighted overlap of all words must be high. Names that stand alone in
+their block are then repaired against the names that many sites share, so that
+two bad misspellings of one street still meet.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 from .canonical import town_map
 from .encoding import restore_udf
 from .text import deletions, repair_words, skeleton
@@ -25,12 +32,16 @@ BESIDE = (
 )
 NUMBER_WORD = r"\b(?:haus)?nr\b\.?|\bhausnummer\b|\bno\b\.?"
 #: Short forms of street kinds at the end of the street's name, folded.
-KINDS = ((r"str\.?$", "strasse"), (r"pl\.?$", "platz"), (r"al\.?$", "allee"), (r"g\.$", "gasse"))
+KINDS = ((r"stra[?\x{FFFD}]+e$", "strasse"), (r"str\.?$", "strasse"), (r"pl\.?$", "platz"), (r"al\.?$", "allee"), (r"g\.$", "gasse"))
 #: Kinds of streets, folded.
 STREET_KIND = r"(strasse|gasse|platz|allee|chausse|promenade|ring|damm|pfad|steig|ufer|weg|wall|graben|zeile|winkel|kamp|markt)$"
 #: What is typed for a town but names none.
 NO_TOWN = r"^(?:deutschland|online|bundesweit|uberregional|weltweit)$"
 PLACEHOLDER = r"^(?:-+|k\.?\s*a\.?|n/?a|auf anfrage|siehe website|keine angabe|unbekannt|\?+|\.+)$"
+#: A name this much rarer than a near one is its misspelling.
+SHARE = 0.15
+#: Least likeness (1 - edits / length) of the words that two names of a block don't share, and least rarity-weighted overlap of all words.
+LIKE, OVERLAP = 0.7, 0.75
 
 
 def postcode(c) -> Column:
@@ -86,19 +97,22 @@ def add_town(df: DataFrame, zipcodes: DataFrame) -> DataFrame:
     return df.withColumn("_town", F.coalesce("_p1", "_p2", "_p3", "_p4", typed)).drop("_p1", "_p2", "_p3", "_p4")
 
 
-def usual_streets(df: DataFrame, usual: int = 4, share: float = 0.15) -> DataFrame:
-    """(_street, n, usual): the distinct street names; usual ones are taken for rightly spelt.
+def usual_streets(df: DataFrame, usual: int = 4, share: float = SHARE) -> DataFrame:
+    """(_street, n, kind, stem, sn, usual): the distinct street names; usual ones are taken for rightly spelt.
 
-    A name is usual if it ends in a kind of street and its stem (the part
-    before) is borne by at least ``usual`` rows over all kinds, and no near
-    stem is 1/``share`` times as frequent; or if its kind is unknown and
-    ``usual`` rows bear the whole name. Both marks are relative to the table,
-    so they hold at every size.
+    ``n`` counts the distinct sites of a name, ``sn`` those of its stem (summed
+    over its kinds), so copies within a site have no weight. A name is usual if
+    it ends in a kind of street and its stem (the part before) has at least
+    ``usual`` sites over all kinds, and no near stem is 1/``share`` times as
+    frequent; or if its kind is unknown and ``usual`` sites bear the whole
+    name. ``usual`` is an absolute floor; what it lets pass in a large table is
+    told by ``share``, here and in ``same_in_block``.
     """
-    counts = df.where("_street is not null").groupBy("_street").agg(F.count("*").alias("n"))
+    counts = df.where("_street is not null").groupBy("_street").agg(F.countDistinct("_site").alias("n"))
     counts = counts.withColumn("kind", F.regexp_extract("_street", STREET_KIND, 1)).withColumn("stem", F.regexp_replace("_street", STREET_KIND, ""))
     counts = cut(counts.withColumn("stem", F.when(F.col("kind") != "", F.col("stem")).otherwise(F.col("_street"))))
-    stems = counts.groupBy("stem").agg(F.sum("n").alias("sn")).where(F.col("sn") >= usual)
+    sums = counts.groupBy("stem").agg(F.sum("n").alias("sn"))
+    stems = sums.where(F.col("sn") >= usual)
     keyed = stems.where(F.length("stem") >= 4).select("stem", "sn", F.explode(deletions(F.col("stem"), F.lit(1))).alias("_k"))
     a, b = keyed.alias("a"), keyed.alias("b")
     beaten = (
@@ -106,7 +120,96 @@ def usual_streets(df: DataFrame, usual: int = 4, share: float = 0.15) -> DataFra
         .select(F.col("a.stem").alias("stem")).distinct()
     )
     good = stems.join(beaten, "stem", "left_anti").select("stem", F.lit(True).alias("_good"))
-    return cut(counts.join(good, "stem", "left").select("_street", "n", F.coalesce("_good", F.lit(False)).alias("usual")))
+    return cut(counts.join(sums, "stem").join(good, "stem", "left").select("_street", "n", "kind", "stem", "sn", F.coalesce("_good", F.lit(False)).alias("usual")))
+
+
+def edits(a: str, b: str, most: int) -> int:
+    """Edit distance in which a swap of neighbours is one edit; above ``most`` any larger figure."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    before, last = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            d = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                d = min(d, before[j - 2] + 1)
+            row.append(d)
+        if min(row) > most and min(last) > most:
+            return most + 1
+        before, last = last, row
+    return last[-1]
+
+
+def same_street(a: dict, b: dict, total: int) -> float:
+    """Rarity-weighted overlap of two names' words (stem, kind), 0 where they are two streets.
+
+    Shared words count in full, the others by their likeness, which must be at
+    least ``LIKE``. Two usual names are two streets unless one is so rare
+    beside the other that it is a frequent misspelling; and they are
+    two if another usual name is two edits nearer to one of them.
+    """
+    if a["usual"] and b["usual"] and min(a["sn"], b["sn"]) >= SHARE * max(a["sn"], b["sn"]):
+        return 0.0
+    weight = lambda n: math.log1p(total / max(n, 1))
+    words = [{x["stem"]: weight(x["sn"]), x["kind"]: weight(x["kn"])} if x["kind"] else {x["stem"]: weight(x["sn"])} for x in (a, b)]
+    shared = set(words[0]) & set(words[1])
+    rest = ["".join(w for w in x if w not in shared) for x in words]
+    long = max(1, *map(len, rest))
+    most = int((1 - LIKE) * long + 1e-9)
+    apart = edits(*rest, most)
+    nearer = lambda x, y: any(edits(x["_street"], t, apart - 2) <= apart - 2 for t in x["terms"] if t != y["_street"])
+    if apart > most or nearer(a, b) or nearer(b, a):
+        return 0.0
+    like = 1 - apart / long
+    common = sum(words[0][w] for w in shared)
+    other = sum(v for x in words for w, v in x.items() if w not in shared) / 2
+    overlap = (common + like * other) / (common + other)
+    return overlap if overlap >= OVERLAP else 0.0
+
+
+def _same_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = []
+        for key, number, total, names in zip(pdf["_key"], pdf["_number"], pdf["total"], pdf["names"]):
+            heads = []
+            for x in sorted(names, key=lambda x: (not x["usual"], -x["sn"], -x["n"], x["_street"])):
+                near = max(((same_street(x, h, total), -i) for i, h in enumerate(heads)), default=(0.0, 0))
+                if near[0] > 0:
+                    out.append((key, number, x["_street"], heads[-near[1]]["_street"]))
+                else:
+                    heads.append(x)
+        yield pd.DataFrame(out, columns=["_key", "_number", "_street", "_same"])
+
+
+def near_usual(streets: DataFrame) -> DataFrame:
+    """(word, term, distance, n): the nearest usual names of each unusual one, with the sites of the usual name."""
+    odd = streets.where("not usual").select(F.col("_street").alias("word"))
+    usual = streets.where("usual").select(F.col("_street").alias("term"), "n")
+    return cut(repair_words(odd, usual.select("term"), slack=1).join(usual, "term"))
+
+
+def same_in_block(rows: DataFrame, streets: DataFrame, near: DataFrame, town: str = "_town", members: DataFrame | None = None) -> DataFrame:
+    """Gives the misspelt street names of a block (number and ``town``) the name of the block they misspell.
+
+    The distinct names of a block go from the most to the least established;
+    each takes the place of the most similar one before it that has kept its
+    name, so nothing is chained. ``members`` (default ``rows``) gives the names
+    of the blocks. Rows whose ``town`` is null are left as they are.
+    """
+    names = (members or rows).where(F.col(town).isNotNull()).select(F.col(town).alias("_key"), "_number", "_street").distinct()
+    kinds = streets.groupBy("kind").agg(F.sum("n").alias("kn"))
+    terms = near.groupBy(F.col("word").alias("_street")).agg(F.collect_set("term").alias("terms"))
+    empty = F.array().cast("array<string>")
+    known = streets.join(kinds, "kind").join(terms, "_street", "left").withColumn("terms", F.coalesce("terms", empty)).crossJoin(F.broadcast(streets.agg(F.sum("n").alias("total"))))
+    blocks = (
+        names.join(known, "_street").groupBy("_key", "_number")
+        .agg(F.max("total").alias("total"), F.collect_list(F.struct("_street", "n", "kind", "kn", "stem", "sn", "usual", "terms")).alias("names"))
+        .where(F.size("names") > 1)
+    )
+    same = cut(spread(blocks).mapInPandas(_same_batches, "_key string, _number string, _street string, _same string"))
+    rows = rows.join(same.withColumnRenamed("_key", town), [town, "_number", "_street"], "left")
+    return rows.withColumn("_street", F.coalesce("_same", "_street")).drop("_same")
 
 
 def expand_short_lane(df: DataFrame, streets: DataFrame) -> DataFrame:
@@ -117,18 +220,15 @@ def expand_short_lane(df: DataFrame, streets: DataFrame) -> DataFrame:
     return df.join(to, "_street", "left").withColumn("_street", F.coalesce("_long", "_street")).drop("_long")
 
 
-def resolve_streets(rows: DataFrame, streets: DataFrame) -> DataFrame:
+def resolve_streets(rows: DataFrame, near: DataFrame) -> DataFrame:
     """Replaces unusual street names by the usual ones they misspell.
 
-    The candidates are the nearest usual names. An address whose name is
+    The candidates are those of ``near_usual``. An address whose name is
     unusual meets the others in the block of its digits and town; among the
     candidates, one that stands in the block is taken first (nearest, then most
     frequent), else the nearest and most frequent of all. Names without a
     candidate stay.
     """
-    odd = streets.where("not usual").select(F.col("_street").alias("word"))
-    usual = streets.where("usual")
-    near = cut(repair_words(odd, usual.select(F.col("_street").alias("term")), slack=1).join(usual.select(F.col("_street").alias("term"), "n"), "term"))
     kinds = rows.groupBy("_street", "_number", "_town").agg(F.count("*").alias("k"))
     here = kinds.select(F.col("_street").alias("term"), "_number", "_town", F.lit(1).alias("inside"))
     pick = (
@@ -156,8 +256,8 @@ def locate(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street
 
     Rows are collapsed to distinct (street, number, town), so copies never
     multiply. House numbers with their letters must agree, the town must be the
-    same place, and the street's words the same after repair (edit distance
-    against usual names, candidates of the same block first). Rows without any
+    same place, and the street's words the same or misspellings of each other
+    (``same_in_block``, then repair against usual names). Rows without any
     town take it from rows of the same ``site`` with the same street and
     number, else they form a class of their own within the site. Null or
     placeholder streets and streets without a number have no building.
@@ -167,7 +267,15 @@ def locate(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street
     every = cut(add_town(parsed, zipcodes).select("_id", "_site", "_street", "_number", "_town"))
     rows = every.where("_street is not null")
     rows = cut(expand_short_lane(rows, usual_streets(rows)))
-    rows = cut(resolve_streets(rows, usual_streets(rows)))
+    streets = usual_streets(rows)
+    near = near_usual(streets)
+    rows = cut(same_in_block(rows, streets, near))
+    # Rows without a town meet the names of their site.
+    rows = rows.withColumn("_lone", F.when(F.col("_town").isNull(), F.col("_site").cast("string")))
+    lone = rows.where("_lone is not null").select("_site").distinct()
+    members = rows.join(lone, "_site", "left_semi").withColumn("_lone", F.col("_site").cast("string"))
+    rows = cut(fill_town(same_in_block(rows, streets, near, "_lone", members).drop("_lone"), "_site"))
+    rows = cut(resolve_streets(rows, near))
     rows = fill_town(rows, "_site")
     building = F.sha2(F.concat_ws("|", F.coalesce("_town", F.concat(F.lit("?"), F.col("_site").cast("string"))), "_street", "_number"), 256)
     rows = rows.select("_id", "_site", building.alias("building"), "_town", "_street", "_number")

@@ -57,3 +57,22 @@ def test_parts(spark):
     df = spark.createDataFrame([("Weberhofg.72",), ("Gärtner Straße 43 b",), ("33 a Müllerpl.",)], "s string")
     got = [(r._street, r._number) for r in parse_address(df, "s", None, None).collect()]
     assert got == [("weberhofgasse", "72"), ("gartnerstrasse", "43b"), ("mullerplatz", "33a")]
+
+
+def test_names_of_a_block_are_compared_whatever_their_frequency(spark):
+    pairs = [
+        ("Hloundergasse 1", "Holundergassse 1"), ("Rosenfeldplatz 2", "Rsoenfeldpaltz 2"), ("Tannenhofstraße 3", "Tonnenhofstra�e 3"), ("Kirschwaldstraße 4", "Kirschweldstra?e 4"),
+    ]
+    rows = filler() + [(10 * i + j, 10 * i + j, a, "54321", None) for i, p in enumerate(pairs) for j, a in enumerate(p)]
+    # One site's copies of a misspelling don't make it a usual name; a row without a town meets its site's names.
+    rows += [(200 + i, 77, "Rsoenfeldpaltz 9", "54321", None) for i in range(9)] + [(300, 78, "Rosenfeldplatz 9", "54321", None)]
+    rows += [(400, 79, "Eschenthalring 5", "01234", None), (401, 79, "Eschnethalrnig 5", None, None)]
+    other = ["Birkenallee 6", "Birkenweg 6", "Lindenbachplatz 6", "Lindenfeldplatz 6", "Rosenfeldplatz 6", "Birkenbergplatz 6"]
+    rows += [(500 + i, 500 + i, a, "54321", None) for i, a in enumerate(other)]
+    # A usual name elsewhere is clearly nearer than the block's one.
+    rows += [(600 + i, 600 + i, f"Holunderwaldplatz {20 + i}", "01234", None) for i in range(5)] + [(700, 700, "Holunderhofplatz 80", "54321", None), (701, 701, "Holunderaldplatz 80", "54321", None)]
+    got = {r.id: r.building for r in address_classes(spark.createDataFrame(rows, SCHEMA), "id", "site_id", zips(spark), "street_address", "postal_code", "city").collect()}
+    assert all(got[10 * i] == got[10 * i + 1] for i in range(len(pairs)))
+    assert got[200] == got[300] and got[400] == got[401]
+    assert got[700] != got[701]
+    assert len({got[500 + i] for i in range(len(other))}) == len(other)
