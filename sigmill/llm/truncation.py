@@ -2,9 +2,10 @@
 
 Texts are split into segments (sentences and lines). The last segment that
 belongs to the body, whatever menu, address or markup stands behind it, is
-looked up among the segments of all documents by hashes of its leading words:
-if it is a strict prefix of longer segments elsewhere, it was cut; so it was if
-it is open while the segments with the same beginning end properly.
+judged by the segments of all documents: if its last words are mostly followed
+by more words elsewhere, it was cut; so it was if it is open while the segments
+with the same leading words end properly or don't occur. Whole prefixes are not
+looked up.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ TRAILER = (
 CLOSED = r"(?:[.!?:;]|\s…)[\"'“”«»)\]*_]*$"
 #: Marks of a cut, put behind it by whoever cut.
 CUT_MARK = r"(?:\s*(?:…|\.\.\.|\[…\]|\[\.\.\.\]|\(…\)|\[?mehr\]?|\[?weiterlesen\]?|read more|»)\s*)+$"
-#: Words of the prefix that are hashed to find segments with the same beginning.
+#: Leading words that are hashed for the counts of open and closed segments with the same beginning.
 LEAD = 2
-#: Most words of a prefix that is hashed in full; longer ones are told by their last words.
+#: Words before a place that are hashed to tell what follows there.
 CONTEXT = 3
 
 
@@ -56,9 +57,9 @@ def truncated_documents(docs: DataFrame, few: int = 3) -> DataFrame:
 
     ``cut`` is true if the last body segment is
 
-    * open (no closing mark, or a mark of a cut) and a strict prefix of a
-      longer segment elsewhere, by all of its words or by its last
-      ``CONTEXT`` ones, or
+    * marked as cut, or open (no closing mark) and its last ``CONTEXT`` words
+      go on more often than they end, or its last word is the beginning of a
+      longer one behind the same words elsewhere, or
     * open, and segments with the same ``LEAD`` words mostly end closed or
       don't occur elsewhere, or
     * closed behind a short word, but its last words are followed by more
