@@ -1,16 +1,21 @@
-"""Texts that were cut off before their last sentence was complete.
+"""Texts that were cut off before their last sentence is complete.
 
 Texts are split into segments (sentences and lines). The last segment that
-belongs to the body, whatever menu, address or markup stands behind it, is
-judged by the segments of all documents: if its last words are mostly followed
-by more words elsewhere, it was cut; so it was if it is open while the segments
-with the same leading words end properly or don't occur. Whole prefixes are not
-looked up.
+belongs to the body, whatever menu, address or markup stands behind it, is cut
+if it is a strict prefix of longer copies elsewhere: all distinct segments and
+all open tails are sorted by value, running counts along the order tell how
+many segments begin with a tail, and how many are equal to it. Tails whose
+names and figures occur nowhere else are looked up once more by their plain
+words, names and figures being replaced by one mark.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -18,21 +23,30 @@ from ..session import cut
 #: What stands behind a text without being a part of it.
 TRAILER = (
     r"^(?:©|\(c\)\s|tel\b|telefon\b|fax\b|mobil\b|e-?mail\b|stand:|öffnungszeiten:|opening hours:|ihr team\b|your team\b|mit freundlichen|freundliche grüße|kind regards|best regards"
-    r"|[-–*•]\s|[\w.+-]+@[\w.-]+\s*$|https?://|www\.|\+?[\d\s()/-]{6,}$|[A-Za-zÄÖÜ]\.\s*[\wÄÖÜäöüß-]+$)|\s\|\s.*\||^\S+(?: \S+)? \| \S+$"
+    r"|[\w.+-]+@[\w.-]+\s*$|https?://|www\.|\+?[\d\s()/-]{6,}$|[A-Za-zÄÖÜ]\.\s*[\wÄÖÜäöüß-]+$)|\s\|\s.*\||^\S+(?: \S+)? \| \S+$"
 )
+#: Entities of HTML that stand for letters and blanks.
+ENTITIES = (("a\u0308", "ä"), ("o\u0308", "ö"), ("u\u0308", "ü"), ("A\u0308", "Ä"), ("O\u0308", "Ö"), ("U\u0308", "Ü"), ("&szlig;", "ß"), ("&nbsp;", " "), ("&amp;", "&"))
+#: Items of a list: a list behind a text is no part of its last sentence, but its last item is judged too.
+BULLET = r"^[-–*•]\s"
+#: Short forms whose full stop ends no sentence.
+SHORT = r"(?:[A-Za-zÄÖÜ]|ca|bzw|inkl|Nr|Hausnr|Tel|Dr|St|Inh|Fa|evtl|ggf)"
 #: A sentence ends here: closing marks, perhaps quotes or brackets behind them.
-CLOSED = r"(?:[.!?:;]|\s…)[\"'“”«»)\]*_]*$"
+CLOSED = r"(?:[!?:;]|(?<!\b" + SHORT + r")\.|\s…)[\"'“”«»)\]*_]*$"
 #: Marks of a cut, put behind it by whoever cut.
 CUT_MARK = r"(?:\s*(?:…|\.\.\.|\[…\]|\[\.\.\.\]|\(…\)|\[?mehr\]?|\[?weiterlesen\]?|read more|»)\s*)+$"
-#: Leading words that are hashed for the counts of open and closed segments with the same beginning.
-LEAD = 2
-#: Words before a place that are hashed to tell what follows there.
-CONTEXT = 3
+#: Greater than every character of a text: closes the range of the values with one prefix.
+LAST = "\U0010ffff"
+#: Plain words that a tail must have to be looked up without its names.
+PLAIN = 2
 
 
 def body_lines(c) -> Column:
-    """Lines of a text without markup and outer blanks, empty ones left out."""
-    t = F.regexp_replace(c, r"</?[A-Za-z][^>]{0,200}>", "\n")
+    """Lines of a text without markup and outer blanks, empty ones left out; a tag or entity that the cut left half is dropped."""
+    t = F.regexp_replace(c, r"</?[A-Za-z][^>]*(?:>|$)|<$|&#?\w{0,6}$", "\n")
+    t = F.regexp_replace(t, r"&([aouAOU])uml;", "$1\u0308")
+    for a, b in ENTITIES:
+        t = F.replace(t, F.lit(a), F.lit(b))
     return F.filter(F.transform(F.split(t, r"\r?\n"), lambda x: F.trim(F.regexp_replace(x, r"[\s ]+", " "))), lambda x: x != "")
 
 
@@ -40,77 +54,114 @@ def is_trailer(line: Column) -> Column:
     return F.lower(line).rlike(TRAILER)
 
 
-def segments(line: Column) -> Column:
-    """Sentences of a line: a closing mark, a blank and an upper-case letter or digit part them."""
-    marked = F.regexp_replace(line, r"((?<!\b[A-Za-zÄÖÜ])(?<!\b(?:ca|bzw|inkl|usw|Nr|Tel|Dr|St|Inh|Fa|evtl|ggf))[.!?][\"“”«)]?)\s+(?=[\p{Lu}„»\"(])", "$1\u0001")
-    return F.filter(F.split(marked, "\u0001"), lambda x: F.trim(x) != "")
+def segments(text: Column) -> Column:
+    """Sentences of a text: a closing mark, a blank and an upper-case letter part them; U+0001 parts lines."""
+    marked = F.regexp_replace(text, r"([.!?](?<!\b" + SHORT + r"\.)[\"“”«)]?)\s+(?=[\p{Lu}„»\"(])", "$1\u0001")
+    return F.split(marked, "\u0001")
 
 
-def words_of(segment: Column) -> Column:
-    """Lower-case words with digits folded, so that numbers don't part equal sentences."""
+def folded(segment: Column) -> Column:
+    """Lower-case words with figures folded, so that numbers don't part equal sentences."""
     t = F.regexp_replace(F.lower(segment), r"\d+(?:[.,]\d+)*", "0")
-    return F.filter(F.split(t, r"[^\p{L}\p{N}]+"), lambda w: w != "")
-
-
-def truncated_documents(docs: DataFrame, few: int = 3) -> DataFrame:
-    """(doc, source, tail, cut): one row per document with a text.
+    return F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
+
+
+def plain(segment: Column) -> Column:
+    """The words in small letters, with one ``*`` for every run of names, nouns and figures."""
+    t = F.trim(F.regexp_replace(segment, r"[^\p{L}\p{N}]+", " "))
+    t = F.regexp_replace(t, r"(?<!\S)[\p{Lu}\p{N}]\S*", "*")
+    return F.regexp_replace(t, r"\*(?: \*)+", "*")
+
+
+def _running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Along sorted points of one partition: for every asked point the rows before it and those equal to it, and the total."""
+    total, last, last_n, pid = 0, None, 0, -1
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        pid = int(pdf["pid"].iloc[0])
+        n, side, v = pdf["n"].to_numpy(np.int64), pdf["side"].to_numpy(), pdf["v"].to_numpy(object)
+        at = total + np.cumsum(n)
+        asked = np.flatnonzero(side >= 0)
+        same = np.zeros(len(asked), np.int64)
+        for k, i in enumerate(asked):
+            if side[i] == 0:
+                before, count = (v[i - 1], n[i - 1]) if i else (last, last_n)
+                same[k] = count if before == v[i] else 0
+        yield pd.DataFrame({"pid": pid, "v": v[asked], "side": side[asked], "at": at[asked], "same": same})
+        total, last, last_n = int(at[-1]), v[-1], int(n[-1])
+    if pid >= 0:
+        yield pd.DataFrame({"pid": [pid], "v": [None], "side": [9], "at": [total], "same": [0]})
+
+
+def prefix_counts(values: DataFrame, asked: DataFrame) -> DataFrame:
+    """(v, same, longer) of the strings in ``asked`` (v): rows of ``values`` (v, n), v distinct, equal to it and strictly beginning with it.
+
+    One sort by value: what begins with a string lies between it and the
+    string closed by the greatest character. Ranges cut anywhere, so frequent
+    beginnings are spread; running counts of the ranges are added up by a table
+    with one row per range. Null strings are neither counted nor asked.
+    """
+    ask = asked.where("v is not null").select("v").distinct()
+    points = (
+        values.where("v is not null").select("v", F.col("n").cast("long").alias("n"), F.lit(-1).alias("side"))
+        .unionByName(ask.select("v", F.lit(0).cast("long").alias("n"), F.lit(0).alias("side")))
+        .unionByName(ask.select(F.concat("v", F.lit(LAST)).alias("v"), F.lit(0).cast("long").alias("n"), F.lit(1).alias("side")))
+    )
+    ordered = points.repartitionByRange("v", "side").sortWithinPartitions("v", "side").withColumn("pid", F.spark_partition_id())
+    told = cut(ordered.mapInPandas(_running, "pid int, v string, side int, at long, same long"))
+    w = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    before = told.where("side = 9").select("pid", F.coalesce(F.sum("at").over(w), F.lit(0)).alias("before"))
+    told = told.where("side < 9").join(F.broadcast(before), "pid")
+    value = F.when(F.col("side") == 1, F.expr("substring(v, 1, length(v) - 1)")).otherwise(F.col("v"))
+    place = F.col("at") + F.col("before")
+    return told.groupBy(value.alias("v")).agg(
+        F.sum("same").alias("same"), F.sum(F.when(F.col("side") == 1, place).otherwise(-place)).alias("longer")
+    )
 
-    ``cut`` is true if the last body segment is
 
-    * marked as cut, or open (no closing mark) and its last ``CONTEXT`` words
-      go on more often than they end, or its last word is the beginning of a
-      longer one behind the same words elsewhere, or
-    * open, and segments with the same ``LEAD`` words mostly end closed or
-      don't occur elsewhere, or
-    * closed behind a short word, but its last words are followed by more
-      words in nearly all other places (a cut behind an abbreviation).
+def truncated_documents(docs: DataFrame) -> DataFrame:
+    """(doc, source, tail, cut): one row per document with a text; ``tail`` is the open tail that was judged.
 
-    Counts cover all documents; a document's own tail is no evidence for
-    itself. Null and empty texts are not cut; texts of trailers only neither.
+    A document is cut if its last body segment (or the last item of a list
+    behind it) is open or marked as cut and, with figures folded and the mark
+    taken off, is a strict prefix of more segments of the corpus than are equal
+    to it; other documents with the same tail count as equal, unless their
+    whole text is the same. A tail that no segment equals or begins with is
+    looked up by ``PLAIN`` or more plain words, its names left open. Open tails
+    of documents are no longer copies. Counts cover all documents. Null and
+    empty texts are not cut; texts of trailers only neither.
     """
-    lines = docs.where("text is not null").select("doc", "source", body_lines(F.col("text")).alias("lines"))
-    flagged = lines.select("doc", "source", F.transform("lines", lambda x: F.struct(x.alias("s"), is_trailer(x).alias("t"))).alias("lines"))
-    body = cut(flagged.select("doc", "source", F.transform(F.filter("lines", lambda x: ~x["t"]), lambda x: x["s"]).alias("lines")))
-    segs = body.select("doc", F.posexplode("lines").alias("ln", "line"), F.size("lines").alias("n_lines")).select(
-        "doc", F.posexplode(segments(F.col("line"))).alias("k", "seg"), (F.col("ln") == F.col("n_lines") - 1).alias("last_line"), F.size(segments(F.col("line"))).alias("n")
-    )
-    segs = segs.withColumn("is_tail", F.col("last_line") & (F.col("k") == F.col("n") - 1)).withColumn("marked", F.col("seg").rlike(CUT_MARK) & ~F.col("seg").rlike(r"\s…\s*$"))
-    segs = segs.withColumn("bare", F.when(F.col("marked"), F.regexp_replace("seg", CUT_MARK, "")).otherwise(F.col("seg")))
-    segs = segs.withColumn("closed", ~F.col("marked") & F.trim("seg").rlike(CLOSED)).withColumn("w", words_of(F.col("bare"))).where(F.size("w") > 0)
-    segs = cut(segs.select("doc", "is_tail", "marked", "closed", "w", F.trim("bare").alias("bare")))
-
-    # Distinct word sequences with their numbers of places stand for all segments.
-    inner = segs.where("not is_tail or closed").groupBy("w", "closed").agg(F.count("*").alias("n"))
-    lead = lambda w: F.xxhash64(F.array_join(F.slice(w, 1, LEAD), " "))
-    beginnings = inner.groupBy(lead(F.col("w")).alias("h")).agg(F.sum(F.when(F.col("closed"), F.col("n")).otherwise(0)).alias("closed_n"), F.sum("n").alias("n"))
-
-    # What follows CONTEXT words (or fewer at a segment's start): a longer copy continues, an end doesn't.
-    key = lambda w, i: F.xxhash64(*[F.get(w, i - k) for k in range(CONTEXT, 0, -1)])
-    w = F.col("w")
-    places = F.transform(F.sequence(F.lit(0), F.size(w)), lambda i: F.struct(key(w, i).alias("h"), F.get(w, i).alias("next")))
-    steps = inner.select("closed", "n", F.explode(places).alias("s"))
-    grown = steps.select("s.h", "s.next", F.when(F.col("closed") | F.col("s.next").isNotNull(), F.col("n")).otherwise(0).alias("n"))
-    table = cut(grown.groupBy("h", "next").agg(F.sum("n").alias("n")))
-    totals = table.groupBy("h").agg(F.sum(F.when(F.col("next").isNotNull(), F.col("n")).otherwise(0)).alias("goes_on"), F.sum(F.when(F.col("next").isNull(), F.col("n")).otherwise(0)).alias("ends"))
-
-    tails = segs.where("is_tail").select("doc", "marked", "closed", "bare", "w", lead(F.col("w")).alias("lead_h"), key(F.col("w"), F.size("w")).alias("end_h"),
-                                         key(F.col("w"), F.size("w") - 1).alias("before_h"), F.element_at("w", -1).alias("last"))
-    inside = (
-        tails.where("not closed").select("before_h", "last").distinct()
-        .join(table.where("next is not null").select(F.col("h").alias("before_h"), "next", "n"), "before_h")
-        .where(F.col("next").startswith(F.col("last")) & (F.col("next") != F.col("last")))
-        .groupBy("before_h", "last").agg(F.sum("n").alias("longer_words"))
+    lines = docs.where("text is not null").select("doc", F.xxhash64("text").alias("th"), F.filter(body_lines(F.col("text")), lambda x: ~is_trailer(x)).alias("lines"))
+    item = F.element_at("lines", -1)
+    lines = lines.where(F.size("lines") > 0).withColumn("item", F.when(item.rlike(BULLET), F.regexp_replace(item, BULLET, "")))
+    body = F.array_join(F.filter("lines", lambda x: ~x.rlike(BULLET)), "\u0001")
+    items = F.array_join(F.transform(F.filter("lines", lambda x: x.rlike(BULLET)), lambda x: F.regexp_replace(x, BULLET, "")), "\u0001")
+    # U+0002 marks the tail of the body and the last item.
+    parts = F.filter(F.array(F.concat(body, F.lit("\u0002")), F.concat(items, F.when(F.col("item").isNotNull(), F.lit("\u0002")).otherwise(""))), lambda x: F.length(x) > 1)
+    segs = lines.select("doc", "th", F.explode(segments(F.array_join(parts, "\u0001"))).alias("seg"))
+    segs = segs.withColumn("tail", F.col("seg").endswith("\u0002")).withColumn("seg", F.trim(F.replace("seg", F.lit("\u0002"), F.lit("")))).where("seg != ''")
+    marked = F.col("tail") & F.col("seg").rlike(CUT_MARK) & ~F.col("seg").rlike(r"\s…\s*$")
+    segs = segs.withColumn("open", F.col("tail") & (marked | ~F.col("seg").rlike(CLOSED)))
+    segs = segs.withColumn("bare", F.when(F.col("open"), F.regexp_replace("seg", CUT_MARK, "")).otherwise(F.col("seg")))
+    # The closing mark is a part of the value: what stops right before it is a strict prefix too.
+    end = F.when(~F.col("open") & F.col("seg").rlike(CLOSED), " .").otherwise("")
+    both = segs.select(
+        F.when(F.col("open"), F.struct("doc", "th", F.col("bare").alias("tail"))).alias("q"),
+        F.explode(F.array(F.concat(F.lit("a "), folded(F.col("bare")), end), F.concat(F.lit("b "), plain(F.col("bare")), end))).alias("v"),
     )
-    judged = (
-        tails.join(totals.withColumnRenamed("h", "end_h"), "end_h", "left")
-        .join(beginnings.select(F.col("h").alias("lead_h"), "closed_n", F.col("n").alias("lead_n")), "lead_h", "left")
-        .join(inside, ["before_h", "last"], "left")
-        .fillna(0, ["goes_on", "ends", "closed_n", "lead_n", "longer_words"])
+    # Values collapse to their counts, open tails stay rows of their own.
+    rows = cut(both.where(F.length("v") > 4).groupBy("v", "q").agg(F.count("*").alias("n")))
+    values = rows.where("q is null").select("v", "n")
+    tails = rows.where("q is not null").select("v", "q.*")
+    known = prefix_counts(values, tails)
+    others = tails.groupBy("v").agg((F.countDistinct("th") - 1).alias("others"))
+    judged = tails.join(known.join(others, "v"), "v").withColumn("a", F.col("v").startswith("a "))
+    judged = judged.withColumn("plain_words", F.size(F.filter(F.split("v", " "), lambda x: x != "*")) - 1).withColumn("more", F.col("longer") > F.col("same") + F.col("others"))
+    told = judged.groupBy("doc", "tail").agg(
+        F.max(F.col("a") & F.col("more")).alias("as_is"), F.max(F.col("a") & (F.col("longer") + F.col("same") > 0)).alias("seen"),
+        F.max(~F.col("a") & (F.col("plain_words") >= PLAIN) & F.col("more")).alias("by_plain"),
     )
-    # A closed tail counts itself once among the ends.
-    ends = F.col("ends") - F.when(F.col("closed"), 1).otherwise(0)
-    prefix_of_longer = (F.col("goes_on") > ends) | (F.col("longer_words") > 0)
-    usual_open = (F.col("lead_n") >= few) & (F.col("closed_n") * 2 < F.col("lead_n"))
-    is_cut = F.when(F.col("marked"), True).when(F.col("closed"), (F.length("last") <= 4) & (F.col("goes_on") >= few) & (F.col("goes_on") > 10 * ends)).otherwise(prefix_of_longer | ~usual_open)
-    out = judged.select("doc", F.col("bare").alias("tail"), is_cut.alias("cut"))
-    return body.select("doc", "source").join(out, "doc", "left").select("doc", "source", "tail", F.coalesce("cut", F.lit(False)).alias("cut"))
+    found = told.select("doc", "tail", (F.col("as_is") | ~F.col("seen") & F.col("by_plain")).alias("cut"))
+    found = found.groupBy("doc").agg(F.max("cut").alias("cut"), F.max_by("tail", F.struct("cut", "tail")).alias("tail"))
+    return docs.where("text is not null").select("doc", "source").join(found, "doc", "left").select("doc", "source", "tail", F.coalesce("cut", F.lit(False)).alias("cut"))

@@ -1,7 +1,7 @@
 import random
 
 from sigmill.llm.leakage import contained, leaked_items
-from sigmill.llm.truncation import truncated_documents
+from sigmill.llm.truncation import prefix_counts, truncated_documents
 
 WORDS = [a + b for a in ("haus", "berg", "wald", "stein", "korn", "licht", "wasser") for b in ("bau", "weg", "markt", "werk", "hof", "tal", "see")]
 
@@ -42,3 +42,21 @@ def test_truncation(spark):
     got = {r.doc: r.cut for r in truncated_documents(spark.createDataFrame(docs, "doc long, source string, text string").repartition(3)).collect()}
     assert {d for d, c in got.items() if c} == {*range(200, 205), 300} and 400 not in got and got[401] is False
     assert truncated_documents(spark.createDataFrame([], "doc long, source string, text string")).count() == 0
+
+
+def test_open_endings_without_longer_copies_are_not_cut(spark):
+    full = "Die Prüfung dauert meist sechs Tage und beginnt am Folgetag. Unsere Leistungen:\n- Wartung von Geräten\n- Beratung und Montage"
+    docs = [(i, "a", full + f" {i}") for i in range(20)]
+    docs += [(100 + i, "b", f"Nummer {i} ist fertig.\n" + t) for i, t in enumerate(["Dächer fürs Leben", "Seit 1890 für Sie da", "zuletzt geändert im Mai"])]
+    docs += [(200, "c", "Alles fertig. Die Prüfung dauert mei" + "<span style='" + "x" * 400 + "'>"), (201, "c", "Alles fertig.\n- Wartung von Ger"), (202, "c", "Alles fertig. Die Prüfung dauert meist sechs T&aum")]
+    got = {r.doc for r in truncated_documents(spark.createDataFrame(docs, "doc long, source string, text string").repartition(5)).where("cut").collect()}
+    assert got == {200, 201, 202}
+
+
+def test_prefix_counts_against_brute_force(spark):
+    rnd = random.Random(5)
+    vals = {"".join(rnd.choice("ab ") for _ in range(rnd.randrange(1, 9))): rnd.randrange(1, 5) for _ in range(300)}
+    vals |= {"hot" + "x" * k: 7 for k in range(200)}
+    ask = [("hot",), ("a",), ("ab",), ("zzz",), (None,), *((v,) for v in list(vals)[:80])]
+    got = {r.v: (r.same, r.longer) for r in prefix_counts(spark.createDataFrame(list(vals.items()), "v string, n long").repartition(7), spark.createDataFrame(ask, "v string")).collect()}
+    assert got == {q: (vals.get(q, 0), sum(n for v, n in vals.items() if v != q and v.startswith(q))) for (q,) in ask if q is not None}
