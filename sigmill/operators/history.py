@@ -6,7 +6,7 @@ snapshots. One streaming pass per partition then closes a version whenever the
 payload changes. Only one open version and one undecided row are held at a
 time, never a whole history. Ranges also cut within one entity, so an entity
 that holds a third of all rows is spread over many tasks; versions cut at a
-range border are joined again over the already compressed versions.
+range border are joined again by their first and last versions only.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut, ship
+
 NULL_MARK = "\u0000"
 
 
@@ -26,43 +28,99 @@ def payload_key(*cols) -> F.Column:
     return F.concat_ws("\u0001", *[F.coalesce(c.cast("string"), F.lit(NULL_MARK)) for c in cols])
 
 
-def _close(rows: pd.DataFrame, last: bool) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """Versions that are closed by a following row, and the open one (empty if ``last``)."""
-    if rows.empty:
-        return rows, rows
-    e, p = rows["entity"].to_numpy(object), rows["payload"].to_numpy(object)
-    change = np.ones(len(rows), bool)
-    change[1:] = (e[1:] != e[:-1]) | (p[1:] != p[:-1])
-    first = np.flatnonzero(change)
-    end = np.append(first[1:], len(rows)) - 1
-    out = rows.iloc[first].reset_index(drop=True)
-    out["last_to"] = rows["last_to"].to_numpy()[end]
-    return (out, out.iloc[:0]) if last else (out.iloc[:-1], out.iloc[-1:])
-
-
-def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream sorted states; emit versions. Holds the open version and the newest undecided row."""
-    pending = opened = None
-    for pdf in batches:
-        if pdf.empty:
+NO_TIME = np.iinfo(np.int64).min
+VERSION = "entity string, start timestamp_ntz, end timestamp_ntz, is_last boolean, payload string, last_to timestamp_ntz, head boolean, tail boolean, pid int"
+
+
+def _micros(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.cast(pa.timestamp("us")).view(pa.int64()).fill_null(NO_TIME))
+
+
+def _times(micros: np.ndarray) -> pa.Array:
+    return pa.array(micros, mask=micros == NO_TIME).view(pa.timestamp("us"))
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Versions of the sorted states of one range. Holds the open version and the newest undecided row."""
+    fields = ("entity", "start", "last_to", "payload")
+    open_version = undecided = None
+    head, pid = True, 0
+
+    def emit(v: dict[str, np.ndarray], closed: bool) -> pa.RecordBatch:
+        """All versions but the last, which stays open, or with ``closed`` the last too."""
+        nonlocal head
+        n = len(v["entity"]) - (not closed)
+        follows = np.zeros(n, bool)
+        k = len(v["entity"]) - 1
+        follows[:k] = v["entity"][1:] == v["entity"][:-1]
+        end = v["last_to"][:n].copy()
+        end[:k][follows[:k]] = v["start"][1:][follows[:k]]
+        heads, tails = np.zeros(n, bool), np.zeros(n, bool)
+        if n:
+            heads[0], head = head, False
+            tails[-1] = closed
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(v["entity"][:n], pa.string()), _times(v["start"][:n]), _times(end), pa.array(~follows), pa.array(v["payload"][:n], pa.string()), _times(v["last_to"][:n]),
+                pa.array(heads), pa.array(tails), pa.array(np.full(n, pid, np.int32)),
+            ],
+            names=[f.split(" ")[0] for f in VERSION.split(", ")],
+        )
+
+    def versions(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """Runs of equal payload: the first row's start, the last row's ``last_to``."""
+        change = np.ones(len(rows["entity"]), bool)
+        change[1:] = (rows["entity"][1:] != rows["entity"][:-1]) | (rows["payload"][1:] != rows["payload"][:-1])
+        first = np.flatnonzero(change)
+        out = {f: rows[f][first] for f in fields}
+        out["last_to"] = rows["last_to"][np.append(first[1:], len(change)) - 1]
+        return out
+
+    def join(a: dict | None, b: dict) -> dict:
+        return b if a is None else {f: np.concatenate([a[f], b[f]]) for f in fields}
+
+    for b in batches:
+        if not b.num_rows:
             continue
-        rows = pdf if pending is None else pd.concat([pending, pdf], ignore_index=True)
-        e, s = rows["entity"].to_numpy(object), rows["start"].to_numpy()
-        final = np.zeros(len(rows), bool)
-        final[:-1] = (e[:-1] != e[1:]) | (s[:-1] != s[1:])
-        pending, told = rows.iloc[-1:], rows[final]
-        if opened is not None and len(opened):
-            told = pd.concat([opened, told], ignore_index=True)
-        done, opened = _close(told, False)
-        if len(done):
-            yield done
-    if pending is not None:
-        told = pending if opened is None or not len(opened) else pd.concat([opened, pending], ignore_index=True)
-        yield _close(told, True)[0]
+        column = lambda f: b.column(b.schema.get_field_index(f))
+        pid = column("pid")[0].as_py()
+        rows = {f: _micros(column(f)) if f in ("start", "last_to") else column(f).to_numpy(zero_copy_only=False) for f in fields}
+        rows = join(undecided, rows)
+        told = np.zeros(len(rows["entity"]), bool)
+        told[:-1] = (rows["entity"][:-1] != rows["entity"][1:]) | (rows["start"][:-1] != rows["start"][1:])
+        undecided = {f: rows[f][-1:] for f in fields}
+        if told.any():
+            v = versions(join(open_version, {f: rows[f][told] for f in fields}))
+            yield emit(v, False)
+            open_version = {f: v[f][-1:] for f in fields}
+    if undecided is not None:
+        yield emit(versions(join(open_version, undecided)), True)
+
+
+def _mend_borders(local: DataFrame) -> DataFrame:
+    """(entity, start, end, is_last, payload): versions of single ranges joined where a range ended inside an entity.
+
+    Only the first and the last version of every range take part, so the one
+    unpartitioned window holds two rows per range, whatever the sizes.
+    """
+    w = Window.orderBy("pid", "tail")
+    before = lambda c: F.lag(c).over(w)
+    edge = local.where("head or tail").withColumn("goes_on", F.col("head") & F.coalesce((before("entity") == F.col("entity")) & (before("payload") == F.col("payload")), F.lit(False)))
+    edge = edge.withColumn("run", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    at = F.struct("pid", "tail")
+    runs = edge.groupBy("run").agg(F.min_by(F.struct("entity", "start", "payload"), at).alias("a"), F.max_by(F.struct("end", "is_last", "tail", "last_to"), at).alias("z"))
+    order = Window.orderBy("run")
+    nxt = F.lead("a").over(order)
+    same = F.coalesce(nxt["entity"] == F.col("a.entity"), F.lit(False))
+    mended = runs.select(
+        "a.entity", "a.start", F.when(~F.col("z.tail"), F.col("z.end")).when(same, nxt["start"]).otherwise(F.col("z.last_to")).alias("end"),
+        F.when(~F.col("z.tail"), F.col("z.is_last")).otherwise(~same).alias("is_last"), "a.payload",
+    )
+    return local.where("not head and not tail").select("entity", "start", "end", "is_last", "payload").unionByName(mended)
 
 
 def version_history(states: DataFrame, entity: str, valid_from: str, valid_to: str, recorded_at: str, payload: list) -> DataFrame:
-    """One row per version: entity, start, end (null: open), end_told.
+    """One row per version: entity, start, end (null: open), is_last, payload.
 
     ``start``/``end`` bound the version half-open; for the last version
     ``end`` is what the entity's last state itself tells (may be null).
@@ -73,6 +131,7 @@ def version_history(states: DataFrame, entity: str, valid_from: str, valid_to: s
     is a value of its own. An empty table gives an empty result; further
     columns of the input are ignored.
     """
+    ship(states.sparkSession)
     rows = states.where(F.col(entity).isNotNull() & F.col(valid_from).isNotNull()).select(
         F.col(entity).cast("string").alias("entity"),
         F.col(valid_from).cast("timestamp_ntz").alias("start"),
@@ -83,15 +142,8 @@ def version_history(states: DataFrame, entity: str, valid_from: str, valid_to: s
     ordered = rows.repartitionByRange("entity", "start").sortWithinPartitions(
         "entity", "start", F.col("seen").asc_nulls_first(), F.col("last_to").asc_nulls_first(), "payload"
     )
-    local = ordered.drop("seen").mapInPandas(_merge, "entity string, start timestamp_ntz, last_to timestamp_ntz, payload string")
-    w = Window.partitionBy("entity").orderBy("start")
-    new = (
-        local.withColumn("_before", F.lag("payload").over(w))
-        .withColumn("_next_entity_end", F.last("last_to").over(w.rowsBetween(0, Window.unboundedFollowing)))
-        .where(F.col("_before").isNull() | (F.col("_before") != F.col("payload")))
-    )
-    nxt = F.lead("start").over(w)
-    return new.select("entity", "start", F.coalesce(nxt, F.col("_next_entity_end")).alias("end"), nxt.isNull().alias("is_last"), "payload")
+    local = cut(ordered.drop("seen").withColumn("pid", F.spark_partition_id()).mapInArrow(_merge, VERSION))
+    return _mend_borders(local)
 
 
 def state_codes(zipcodes: DataFrame) -> DataFrame:

@@ -52,9 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Bytes of the tables read per partition of a Python stage, and what counts as no estimate of a size.
+SPREAD_BYTES, UNKNOWN_BYTES = 64 << 20, 1 << 50
+
+
 def cut(df):
     """Cut the lineage through the shared checkpoint folder; survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
+    ship(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -76,7 +81,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def spread(df, *columns):
-    """Even partitions for a Python stage, which costs far more per byte than AQE's byte sizes assume."""
+    """Even partitions for a Python stage, which costs far more per byte than AQE's byte sizes assume.
+
+    Their number grows with the size of the tables read, as far as Spark knows
+    it, and is never below three per core or the session's shuffle partitions.
+    """
     spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    ship(spark)
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < UNKNOWN_BYTES)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism, known // SPREAD_BYTES)
     return df.repartition(n, *columns)

@@ -50,3 +50,30 @@ def test_empty(spark):
 def test_labels(spark):
     df = spark.createDataFrame([("DE-NW",), (" nw ",), ("bau_ausbau",), ("Baden-Württemberg",), (None,)], "v string")
     assert [r[0] for r in df.select(fold_label("v")).collect()] == ["nw", "nw", "bauausbau", "badenwuerttemberg", None]
+
+
+def test_hot_entity_with_many_versions(spark):
+    """200,000 states of one entity that change every time: no task may look at a history more than once."""
+    n = 200_000
+    df = spark.range(n).select(
+        F.lit("hot").alias("e"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id)").alias("f"), F.expr("timestamp_ntz'9999-12-31'").alias("t"),
+        F.lit(None).cast("timestamp_ntz").alias("r"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("a"),
+    ).repartition(6)
+    got = version_history(df, "e", "f", "t", "r", [F.col("a")])
+    row = got.agg(F.count("*").alias("n"), F.count_if("is_last").alias("last"), F.count_if(F.col("end") == F.col("start") + F.expr("interval 1 second")).alias("steps"), F.max("end").alias("end")).first()
+    assert (row["n"], row["last"], row["steps"], row["end"]) == (n, 1, n - 1, datetime(9999, 12, 31))
+
+
+def test_versions_across_ranges(spark):
+    """One version over all ranges, and one that ends in the middle."""
+    n = 20_000
+    df = spark.range(n).select(
+        F.when(F.col("id") < n - 3, "x").otherwise("y").alias("e"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id)").alias("f"), F.lit(None).cast("timestamp_ntz").alias("t"),
+        F.lit(None).cast("timestamp_ntz").alias("r"), F.when(F.col("id") < n - 9, "a").otherwise("b").alias("a"),
+    ).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = version_history(df, "e", "f", "t", "r", [F.col("a")]).orderBy("entity", "start").select("entity", "payload", "is_last").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [tuple(r) for r in got] == [("x", "a", False), ("x", "b", True), ("y", "b", True)]
