@@ -289,7 +289,7 @@ EPS = 1e-4
 
 
 def _score_groups(spark: SparkSession, folder: str) -> DataFrame:
-    """(group, part, value): scores by cohort and by the state of their asset, parts are months.
+    """(group, part, value): scores by cohort and by the state of their asset, parts are single days.
 
     Of rows delivered twice for one (run, site) the latest counts, of these
     the greatest id. Null, NaN and negative scores are no scores.
@@ -305,14 +305,14 @@ def _score_groups(spark: SparkSession, folder: str) -> DataFrame:
     newest = newest.withColumn("spelling", fold_label("bundesland")).join(codes, "spelling", "left").select("domain", "code")
     sites = table(spark, folder, "sites", F.col("id").alias("site_id"), "domain")
     by_site = valid.join(sites, "site_id", "left").join(newest, "domain", "left")
-    month = F.date_format("scored_at", "yyyy-MM")
+    day = F.date_format("scored_at", "yyyy-MM-dd")
     groups = F.array(F.concat(F.lit("cohort:"), "cohort_id"), F.concat(F.lit("bundesland:"), "code"))
-    return by_site.select(F.explode(groups).alias("group"), month.alias("part"), F.col("overall_score").alias("value")).where("group is not null")
+    return by_site.select(F.explode(groups).alias("group"), day.alias("part"), F.col("overall_score").alias("value")).where("group is not null")
 
 
 @query
 def p6_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    """Percentiles per cohort and per federal state, merged from summaries of single months, with proven error bounds."""
+    """Percentiles per cohort and per federal state, merged from summaries of single days, with proven error bounds."""
     from .quantiles import merged, percentiles, summaries
 
     parts = cut(summaries(_score_groups(spark, folder), EPS))

@@ -68,3 +68,19 @@ def test_mix(spark):
     assert {x.doc_id for x in small.collect()} <= {x.doc_id for x in more.collect()}
     empty, rep = mix(spark.createDataFrame([], "doc_id long, source string, text string"), spark.createDataFrame(targets, "source string, target_share double, max_repeats int"))
     assert empty.count() == 0 and rep.count() == 4
+
+
+def test_large_groups_by_days_are_compressed_and_stay_within_their_error(spark):
+    n, eps = 120_000, 1e-3
+    df = spark.range(n).selectExpr("if(id % 3 = 0, 'small', 'hot') AS group", "cast(id % 400 AS string) AS part", "cast(pmod(id * 7919, 100003) AS double) AS value").repartition(6)
+    parts = summaries(df, eps)
+    got = percentiles(merged(parts, eps), [0.01, 0.25, 0.5, 0.9]).collect()
+    data = {"small": [], "hot": []}
+    for i in range(n):
+        data["small" if i % 3 == 0 else "hot"].append(float(i * 7919 % 100003))
+    assert len(got) == 8 and any(r.rank_error > 0 for r in got)
+    for r in got:
+        d = sorted(data[r.group])
+        want = max(1, math.ceil(r.p * len(d) - 1e-9))
+        lo, hi = np.searchsorted(d, r.value, "left") + 1, np.searchsorted(d, r.value, "right")
+        assert r.n == len(d) and max(0, lo - want, want - hi) <= r.rank_error <= 4 * eps * len(d) + 1
