@@ -1,51 +1,54 @@
 """Passages of held-out items inside a corpus, tolerant to single changed words.
 
 Fixed masks ignore selected token positions (spaced seeds). The hashes of the
-seen positions of all documents are joined with those of all items; where an
+seen positions of all items are joined with those of every document; where an
 item's seeds hit often enough, a local alignment of the words around the hits
 tells how much of the item stands there in its order.
+
+The items are the stated query set: they are sent to the workers in blocks of
+bounded size, and the corpus is read once per block and never shuffled.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
-from ..sources.tables import bounded_broadcast
-from .text import skeleton, tokens
+from ..session import ship
+from .text import ACCENTED, BASE
 
 #: Masks over token positions: 1 is hashed, 0 ignored.
 MASKS = ("11111", "1101011", "11011001", "1010111")
-#: Rows of item seeds that may be broadcast (about 100 MB); beyond, the join shuffles.
-MAX_ITEM_SEEDS = 2_000_000
-
-
-def plain_words(c) -> Column:
+#: Characters of items sent to the workers at once (about 100 MB of words and seeds there).
+BLOCK_CHARS = 4_000_000
+#: Words of documents that are hashed at once, and aligned pairs at once: bound what a task holds.
+CHUNK_WORDS, CHUNK_PAIRS = 1_000_000, 64
+FOLD = str.maketrans({**dict(zip(ACCENTED, BASE)), "ß": "ss", "­": None, "​": None, "‌": None, "‍": None, "﻿": None})
+TAG = re.compile(r"</?[a-z!][^<>]*>")
+ENTITY = re.compile(r"&([aou])uml;")
+BROKEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n\s*(?=[a-zäöüß])")
+WORD = re.compile(r"[^\W_]+(?:[?�]+[^\W_]+)*")
+#: Score and covered words of an alignment share one integer: score * UNIT + covered.
+UNIT = 1 << 20
+
+
+def plain_words(text: str) -> list[str]:
     """Folded words without markup, with words joined that a line break hyphenated."""
-    t = F.regexp_replace(c, r"<[^>]{1,200}>", " ")
-    t = F.regexp_replace(F.regexp_replace(t, r"&([aouAOU])uml;", "$1"), r"&szlig;", "ss")
-    t = F.regexp_replace(F.regexp_replace(t, r"[­​-‍﻿]", ""), r"(\p{L})-[ \t]*\r?\n\s*(\p{Ll})", "$1$2")
-    return tokens(skeleton(t))
-
-
-def seeds_of(words: str, key: str, df: DataFrame) -> DataFrame:
-    """(key, pos, h): one row per mask and position of every text; short texts have none."""
-    # Every word is hashed once; the masks combine numbers.
-    df = df.withColumn("_codes", F.transform(words, lambda t: F.xxhash64(t)))
-    parts = []
-    for k, mask in enumerate(MASKS):
-        ones = [i for i, x in enumerate(mask) if x == "1"]
-        w = F.col("_codes")
-        hashed = F.transform(
-            F.when(F.size(w) >= len(mask), F.sequence(F.lit(0), F.size(w) - len(mask))).otherwise(F.array().cast("array<int>")),
-            lambda i: F.xxhash64(F.lit(k), *[F.get(w, i + o) for o in ones]),
-        )
-        parts.append(hashed)
-    return df.select(key, F.posexplode(F.concat(*[F.transform(p, lambda h, i: F.struct(i.alias("pos"), h.alias("h"))) for p in parts])).alias("_n", "s")).select(key, "s.pos", "s.h")
+    t = text
+    if "-" in t and "\n" in t:
+        t = BROKEN.sub("", t)
+    t = t.lower()
+    if "<" in t:
+        t = TAG.sub(" ", t)
+    if "&" in t:
+        t = ENTITY.sub(r"\1", t).replace("&szlig;", "ss")
+    t = t.translate(FOLD)
+    return WORD.findall(t.replace("ae", "a").replace("oe", "o").replace("ue", "u"))
 
 
 def _forms(word: str) -> set[str]:
@@ -53,51 +56,135 @@ def _forms(word: str) -> set[str]:
     return {word} | ({word[:i] + word[i + 1 :] for i in range(len(word))} if len(word) >= 5 else set())
 
 
-def contained(item: list[str], doc: list[str]) -> float:
-    """Share of the item's words that the best local alignment covers; a single changed word counts as covered.
-
-    Words of five letters or more are the same up to one edit or swap (they
-    share a form with at most one letter deleted).
-    """
-    n = len(doc)
+def _equal(item: list[str], doc: list[str]) -> np.ndarray:
+    """Which words are the same; those of five letters or more up to one edit or swap (a shared form)."""
+    at: dict[str, list[int]] = {}
+    for j, y in enumerate(doc):
+        at.setdefault(y, []).append(j)
     by_form: dict[str, set[str]] = {}
-    for y in set(doc):
+    for y in at:
         for f in _forms(y):
             by_form.setdefault(f, set()).add(y)
-    same = {x: set().union(*(by_form.get(f, ()) for f in _forms(x))) for x in set(item)}
-    score, good = [0] * (n + 1), [0] * (n + 1)
-    best, share = 0, 0
-    for x in item:
-        hits = same[x]
-        ds = dg = ls = lg = 0
-        new_s, new_g = [0] * (n + 1), [0] * (n + 1)
-        for j in range(1, n + 1):
-            if doc[j - 1] in hits:
-                s, g = ds + 2, dg + 1
-            elif ds > 1:
-                s, g = ds - 1, dg + 1
-            else:
-                s = g = 0
-            us = score[j]
-            if us - 1 > s:
-                s, g = us - 1, good[j]
-            if ls - 1 > s:
-                s, g = ls - 1, lg
-            ds, dg = us, good[j]
-            new_s[j], new_g[j] = ls, lg = s, g
-            if s > best:
-                best, share = s, g
-        score, good = new_s, new_g
-    return share / len(item) if item else 0.0
-
-
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out = np.zeros((len(item), len(doc)), bool)
+    rows: dict[str, list[int]] = {}
+    for x in set(item):
+        rows[x] = [j for y in set().union(*(by_form.get(f, ()) for f in _forms(x))) for j in at[y]]
+    for i, x in enumerate(item):
+        if rows[x]:
+            out[i, rows[x]] = True
+    return out
+
+
+def covered(pairs: list[tuple[list[str], list[str]]]) -> list[float]:
+    """Per pair (item, document words): the share of the item's words that the best local alignment covers.
+
+    Covered are the same words in the same order, and a single changed word
+    between two of them. Longer differences and left out or inserted words
+    cost but cover nothing. All pairs are aligned together, row by row.
+    """
+    if not pairs:
+        return []
+    n, m = max(len(a) for a, _ in pairs), max(len(b) for _, b in pairs)
+    if not n or not m:
+        return [0.0] * len(pairs)
+    same = np.zeros((n, len(pairs), m), bool)
+    for k, (a, b) in enumerate(pairs):
+        same[: len(a), k, : len(b)] = _equal(a, b)
+    ramp = UNIT * np.arange(m + 1, dtype=np.int64)
+    shape = (len(pairs), m + 1)
+    # Best alignments ending in a same word, in a single changed word, in a difference.
+    hit, changed, other = np.zeros(shape, np.int64), np.zeros(shape, np.int64), np.zeros(shape, np.int64)
+    best = np.zeros(len(pairs), np.int64)
+    for i in range(n):
+        before = np.maximum(np.maximum(hit, changed), other)
+        new_hit, new_changed = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
+        new_hit[:, 1:] = np.where(same[i], before[:, :-1] + 2 * UNIT + 1, 0)
+        new_changed[:, 1:] = np.where(same[i] | (hit[:, :-1] < UNIT), 0, hit[:, :-1] - UNIT + 1)
+        base = np.maximum(hit, other)
+        gap = base - UNIT
+        gap[:, 1:] = np.maximum(gap[:, 1:], base[:, :-1] - UNIT)
+        gap[:, 1:] = np.maximum(gap[:, 1:], new_hit[:, :-1] - UNIT)
+        gap = np.maximum.accumulate(gap + ramp, axis=1) - ramp
+        hit, changed, other = new_hit, new_changed, np.where(gap < UNIT, 0, gap)
+        best = np.maximum(best, hit.max(axis=1))
+    return [int(b % UNIT) / len(a) if a else 0.0 for b, (a, _) in zip(best, pairs)]
+
+
+def contained(item: list[str], doc: list[str]) -> float:
+    """``covered`` of one pair."""
+    return covered([(item, doc)])[0]
+
+
+class Seeds:
+    """Spaced seeds of a block of items, ready to be joined with those of documents."""
+
+    def __init__(self, items: list[tuple[object, str]]):
+        self.ids = [i for i, _ in items]
+        self.words = [plain_words(t) for _, t in items]
+        self.code = {w: k for k, w in enumerate(dict.fromkeys(w for ws in self.words for w in ws), 1)}
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        h, item, pos = self.hashes(self.words)
+        order = np.argsort(h, kind="stable")
+        h, self.item, self.pos = h[order], item[order], pos[order]
+        self.h, self.start = np.unique(h, return_index=True)
+        self.end = np.append(self.start[1:], len(h))
+
+    def hashes(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, text, position) of every mask at every place whose seen words are all known."""
+        lens = np.array([len(w) for w in texts], np.int64)
+        get = self.code.get
+        codes = np.fromiter((get(w, 0) for ws in texts for w in ws), np.uint64, int(lens.sum()))
+        text = np.repeat(np.arange(len(texts)), lens)
+        pos = np.arange(len(codes)) - np.repeat(np.cumsum(lens) - lens, lens)
+        left = np.repeat(lens, lens) - pos
+        out = []
+        for k, mask in enumerate(MASKS):
+            n = len(codes) - len(mask) + 1
+            if n <= 0:
+                continue
+            ok = left[:n] >= len(mask)
+            h = np.full(n, k, np.uint64)
+            for o in (i for i, x in enumerate(mask) if x == "1"):
+                c = codes[o : o + n]
+                ok &= c > 0
+                h = (h ^ c) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(29)
+            at = np.flatnonzero(ok)
+            out.append((h[at], text[at], pos[at]))
+        if not out:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def candidates(self, docs: list[list[str]], hits: float) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, first, last place) where seeds start at a share ``hits`` of the item's positions."""
+        if not len(self.h):
+            return
+        h, doc, pos = self.hashes(docs)
+        i = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        found = np.flatnonzero(self.h[i] == h)
+        doc, pos, i = doc[found], pos[found], i[found]
+        many = self.end[i] - self.start[i]
+        first = np.repeat(np.cumsum(many) - many, many)
+        j = np.repeat(self.start[i], many) + np.arange(int(many.sum())) - first
+        frame = pd.DataFrame({"doc": np.repeat(doc, many), "pos": np.repeat(pos, many), "item": self.item[j], "ipos": self.pos[j]})
+        got = frame.groupby(["doc", "item"]).agg(k=("ipos", "nunique"), lo=("pos", "min"), hi=("pos", "max")).reset_index()
+        got = got[got["k"].to_numpy() >= self.size[got["item"].to_numpy(np.int64)] * hits]
+        yield from got[["doc", "item", "lo", "hi"]].itertuples(index=False, name=None)
+
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[list[str]]]]:
+    ids, words, size = [], [], 0
     for pdf in batches:
-        got = []
-        for iw, dw, a, b in zip(pdf["item_words"], pdf["doc_words"], pdf["lo"], pdf["hi"]):
-            n = len(iw)
-            got.append(contained(list(iw), list(dw[max(0, a - n) : b + n + 10])))
-        yield pd.DataFrame({"doc": pdf["doc"], "item": pdf["item"], "share": got})
+        for i, t in zip(pdf["doc"], pdf["text"]):
+            w = plain_words(t)
+            ids.append(i)
+            words.append(w)
+            size += len(w)
+            if size >= CHUNK_WORDS:
+                yield ids, words
+                ids, words, size = [], [], 0
+    if ids:
+        yield ids, words
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, share: float = 0.5, hits: float = 0.18) -> DataFrame:
@@ -106,17 +193,39 @@ def leaked_items(docs: DataFrame, items: DataFrame, share: float = 0.5, hits: fl
     ``docs``: (doc, text), ``items``: (item, text). Seeds of an item must
     start at a fraction ``hits`` of its positions before the pair is aligned;
     general sentences that items share with ordinary pages stay below. Null
-    and empty texts and texts shorter than a mask match nothing.
+    and empty texts and texts shorter than a mask match nothing. Of rows with
+    one id the best share counts. Any number of items is taken in blocks of
+    ``BLOCK_CHARS``; one item must fit in a worker.
     """
-    dw = docs.where("text is not null").select("doc", plain_words("text").alias("doc_words"))
-    iw = items.where("text is not null").select("item", plain_words("text").alias("item_words"))
-    item_seeds = seeds_of("item_words", "item", iw).select("item", F.col("pos").alias("ipos"), "h").distinct()
-    doc_seeds = seeds_of("doc_words", "doc", dw)
-    hit = doc_seeds.join(bounded_broadcast(item_seeds, MAX_ITEM_SEEDS), "h")
-    sizes = iw.select("item", F.size("item_words").alias("n"))
-    cand = (
-        hit.groupBy("doc", "item").agg(F.countDistinct("ipos").alias("k"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-        .join(sizes, "item").where(F.col("k") >= F.col("n") * hits).select("doc", "item", "lo", "hi")
-    )
-    full = cand.join(dw, "doc").join(iw, "item")
-    return spread(full, "doc", "item").mapInPandas(_verify, f"doc {docs.schema['doc'].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, share double").where(F.col("share") >= share)
+    spark = docs.sparkSession
+    ship(spark)
+    asked = items.where("item is not null and text is not null").select("item", "text").distinct()
+    total = asked.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-int(total) // BLOCK_CHARS))
+    schema = f"doc {docs.schema['doc'].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, share double"
+    corpus = docs.where("text is not null").select("doc", "text")
+
+    def search(block: int) -> DataFrame:
+        rows = asked.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()  # a block of the query set
+        shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in rows])
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            seeds = Seeds(shared.value)
+            for ids, words in _chunks(batches):
+                held = []
+                for d, i, lo, hi in seeds.candidates(words, hits):
+                    n = len(seeds.words[i])
+                    held.append((ids[d], seeds.ids[i], seeds.words[i], words[d][max(0, lo - n) : hi + n + 10]))
+                held.sort(key=lambda x: len(x[3]))  # pairs of like size are aligned together
+                for k in range(0, len(held), CHUNK_PAIRS):
+                    part = held[k : k + CHUNK_PAIRS]
+                    got = covered([(a, b) for _, _, a, b in part])
+                    out = pd.DataFrame({"doc": [x[0] for x in part], "item": [x[1] for x in part], "share": got})
+                    yield out[out["share"] >= share]
+
+        return corpus.mapInPandas(run, schema)
+
+    found = search(0)
+    for block in range(1, blocks):
+        found = found.unionByName(search(block))
+    return found.groupBy("doc", "item").agg(F.max("share").alias("share"))
