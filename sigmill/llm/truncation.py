@@ -11,66 +11,149 @@ words, names and figures being replaced by one mark.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 
-#: What stands behind a text without being a part of it.
-TRAILER = (
-    r"^(?:©|\(c\)\s|tel\b|telefon\b|fax\b|mobil\b|e-?mail\b|stand:|öffnungszeiten:|opening hours:|ihr team\b|your team\b|mit freundlichen|freundliche grüße|kind regards|best regards"
-    r"|[\w.+-]+@[\w.-]+\s*$|https?://|www\.|\+?[\d\s()/-]{6,}$|[A-Za-zÄÖÜ]\.\s*[\wÄÖÜäöüß-]+$)|\s\|\s.*\||^\S+(?: \S+)? \| \S+$"
+#: Beginnings of lines that stand behind a text without being a part of it.
+TRAILING = (
+    "©", "(c) ", "tel", "telefon", "fax", "mobil", "email", "e-mail", "stand:", "öffnungszeiten:", "opening hours:", "ihr team", "your team", "mit freundlichen",
+    "freundliche grüße", "kind regards", "best regards", "http://", "https://", "www.",
 )
-#: Entities of HTML that stand for letters and blanks.
-ENTITIES = (("a\u0308", "ä"), ("o\u0308", "ö"), ("u\u0308", "ü"), ("A\u0308", "Ä"), ("O\u0308", "Ö"), ("U\u0308", "Ü"), ("&szlig;", "ß"), ("&nbsp;", " "), ("&amp;", "&"))
+#: Lines of one address, one number or one signed name.
+LONE = re.compile(r"[\w.+-]+@[\w.-]+\s*$|\+?[\d\s()/-]{6,}$|[a-zäöü]\.\s*[\wäöüß-]+$")
+#: Steps of a menu.
+MENU = re.compile(r".*\s\|\s.*\||\S+(?: \S+)? \| \S+$")
 #: Items of a list: a list behind a text is no part of its last sentence, but its last item is judged too.
-BULLET = r"^[-–*•]\s"
-#: Short forms whose full stop ends no sentence.
-SHORT = r"(?:[A-Za-zÄÖÜ]|ca|bzw|inkl|Nr|Hausnr|Tel|Dr|St|Inh|Fa|evtl|ggf)"
-#: A sentence ends here: closing marks, perhaps quotes or brackets behind them.
-CLOSED = r"(?:[!?:;]|(?<!\b" + SHORT + r")\.|\s…)[\"'“”«»)\]*_]*$"
-#: Marks of a cut, put behind it by whoever cut.
-CUT_MARK = r"(?:\s*(?:…|\.\.\.|\[…\]|\[\.\.\.\]|\(…\)|\[?mehr\]?|\[?weiterlesen\]?|read more|»)\s*)+$"
+BULLET = re.compile(r"[-–*•]\s+")
+#: Short forms whose full stop ends no sentence; so do single letters.
+SHORT = frozenset(("ca", "bzw", "inkl", "Nr", "Hausnr", "Tel", "Dr", "St", "Inh", "Fa", "evtl", "ggf"))
+#: A sentence may end here.
+SENTENCE = re.compile(r"[.!?][\"“”«)]?\s+(?=[A-ZÄÖÜÉ„»\"(])")
+#: Closing marks, and what may stand behind them.
+CLOSING, BEHIND = frozenset("!?:;."), "\"'“”«»)]*_ "
+#: Marks of a cut, put behind it by whoever cut, and the characters they end with.
+CUT_MARK = re.compile(r"(?:\s*(?:…|\.\.\.|\[…\]|\[\.\.\.\]|\(…\)|\[mehr\]|\bmehr\b|\[?\bweiterlesen\b\]?|\bread more\b|»)\s*)+$")
+MARK_ENDS = frozenset("….])rne»")
+TAG = re.compile(r"</?[A-Za-z][^<>]*(?:>|$)|<$")
+UMLAUT, UMLAUTS = re.compile(r"&[aouAOU]uml;"), str.maketrans("aouAOU", "äöüÄÖÜ")
+HALF_ENTITY = re.compile(r"&#?\w{0,6}$")
+FIGURE, WORD = re.compile(r"\d+(?:[.,]\d+)*"), re.compile(r"[^\W_]+")
 #: Greater than every character of a text: closes the range of the values with one prefix.
 LAST = "\U0010ffff"
 #: Plain words that a tail must have to be looked up without its names.
 PLAIN = 2
 
 
-def body_lines(c) -> Column:
+def body_lines(text: str) -> list[str]:
     """Lines of a text without markup and outer blanks, empty ones left out; a tag or entity that the cut left half is dropped."""
-    t = F.regexp_replace(c, r"</?[A-Za-z][^>]*(?:>|$)|<$|&#?\w{0,6}$", "\n")
-    t = F.regexp_replace(t, r"&([aouAOU])uml;", "$1\u0308")
-    for a, b in ENTITIES:
-        t = F.replace(t, F.lit(a), F.lit(b))
-    return F.filter(F.transform(F.split(t, r"\r?\n"), lambda x: F.trim(F.regexp_replace(x, r"[\s ]+", " "))), lambda x: x != "")
-
-
-def is_trailer(line: Column) -> Column:
-    return F.lower(line).rlike(TRAILER)
-
-
-def segments(text: Column) -> Column:
-    """Sentences of a text: a closing mark, a blank and an upper-case letter part them; U+0001 parts lines."""
-    marked = F.regexp_replace(text, r"([.!?](?<!\b" + SHORT + r"\.)[\"“”«)]?)\s+(?=[\p{Lu}„»\"(])", "$1\u0001")
-    return F.split(marked, "\u0001")
-
-
-def folded(segment: Column) -> Column:
-    """Lower-case words with figures folded, so that numbers don't part equal sentences."""
-    t = F.regexp_replace(F.lower(segment), r"\d+(?:[.,]\d+)*", "0")
-    return F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
+    if "<" in text:
+        text = TAG.sub("\n", text)
+    if "&" in text:
+        text = HALF_ENTITY.sub("", UMLAUT.sub(lambda m: m[0][1].translate(UMLAUTS), text).replace("&szlig;", "ß").replace("&nbsp;", " ").replace("&amp;", "&"))
+    return [x for x in (" ".join(line.split()) for line in text.split("\n")) if x]
+
+
+def is_trailer(line: str) -> bool:
+    """What stands behind a text: contacts, menus, greetings."""
+    low = line.lower()
+    if low.startswith(TRAILING):
+        start = next(t for t in TRAILING if low.startswith(t))
+        if not start[-1].isalpha() or not low[len(start) : len(start) + 1].isalpha():
+            return True
+    return ("@" in low or low[1:2] == "." or low[0].isdigit() or low[0] in "+(") and LONE.match(low) is not None or "|" in low and MENU.match(low) is not None
+
+
+def is_short(before: str) -> bool:
+    """Whether a text ends with a short form or a single letter (its full stop left out)."""
+    word = before[before.rfind(" ") + 1 :].lstrip("(„\"")
+    return word in SHORT or len(word) == 1 and word.isalpha() or word[-2:-1] == "." and word[-1].isalpha()
+
+
+def segments(lines: list[str]) -> list[str]:
+    """Sentences of lines: a closing mark, a blank and an upper-case letter part them, unless a short form ends there."""
+    out = []
+    for line in lines:
+        at = 0
+        for m in SENTENCE.finditer(line):
+            if line[m.start()] != "." or not is_short(line[at : m.start()]):
+                out.append(line[at : m.end()].rstrip())
+                at = m.end()
+        out.append(line[at:])
+    return [x for x in out if x]
+
+
+def is_closed(segment: str) -> bool:
+    """A closing mark stands at the end, perhaps quotes or brackets behind it."""
+    bare = segment.rstrip(BEHIND)
+    return bare != "" and bare[-1] in CLOSING and not (bare[-1] == "." and is_short(bare[:-1])) or bare.endswith(" …")
+
+
+def keys(segment: str, closed: bool) -> tuple[str, str]:
+    """The two forms that are compared: lower-case words with figures folded, and the words in small letters with
+    one ``*`` for every run of names, nouns and figures. The closing mark is a part of them, so that what stops right
+    before it is a strict prefix too."""
+    words = WORD.findall(FIGURE.sub("0", segment))
+    plain, last = [], ""
+    for w in words:
+        mark = w if w[0].islower() else "*"
+        if mark != "*" or last != "*":
+            plain.append(mark)
+        last = mark
+    end = " ." if closed else ""
+    return "a " + " ".join(words).lower() + end, "b " + " ".join(plain) + end
+
+
+def pieces(text: str) -> tuple[list[tuple[str, bool]], list[str]]:
+    """(segments with whether they are closed, open tails without marks of a cut) of a text.
+
+    The tails are the last segment of the body and the last item of a list at the end.
+    """
+    lines = [x for x in body_lines(text) if not is_trailer(x)]
+    items = [BULLET.sub("", x) for x in lines if BULLET.match(x)]
+    groups = [(segments([x for x in lines if not BULLET.match(x)]), True), (segments(items), bool(lines) and BULLET.match(lines[-1]) is not None)]
+    inner, tails = [], []
+    for found, judged in groups:
+        for k, s in enumerate(found):
+            last = judged and k == len(found) - 1
+            m = CUT_MARK.search(s) if last and s[-1] in MARK_ENDS else None
+            if m and not s.endswith(" …"):
+                tails.append(s[: m.start()])
+            elif last and not is_closed(s):
+                tails.append(s)
+            else:
+                inner.append((s, is_closed(s)))
+    return inner, tails
+
+
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of the segments of a batch, and its tails, which keep their document."""
+    for pdf in batches:
+        raw: Counter = Counter()
+        tails = []
+        for doc, text in zip(pdf["doc"], pdf["text"]):
+            inner, ends = pieces(text)
+            raw.update(inner)
+            th = hash_text(text) if ends else 0
+            tails += [(v, 0, True, doc, th, t) for t in ends for v in keys(t, False)]
+        count: Counter = Counter()
+        for (s, closed), n in raw.items():
+            for v in keys(s, closed):
+                count[v] += n
+        rows = [(v, n, False, None, 0, None) for v, n in count.items()] + tails
+        yield pd.DataFrame([r for r in rows if len(r[0]) > 4], columns=["v", "n", "asks", "doc", "th", "tail"], dtype=object)
 
 
-def plain(segment: Column) -> Column:
-    """The words in small letters, with one ``*`` for every run of names, nouns and figures."""
-    t = F.trim(F.regexp_replace(segment, r"[^\p{L}\p{N}]+", " "))
-    t = F.regexp_replace(t, r"(?<!\S)[\p{Lu}\p{N}]\S*", "*")
-    return F.regexp_replace(t, r"\*(?: \*)+", "*")
+def hash_text(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
 def _running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,28 +215,12 @@ def truncated_documents(docs: DataFrame) -> DataFrame:
     of documents are no longer copies. Counts cover all documents. Null and
     empty texts are not cut; texts of trailers only neither.
     """
-    lines = docs.where("text is not null").select("doc", F.xxhash64("text").alias("th"), F.filter(body_lines(F.col("text")), lambda x: ~is_trailer(x)).alias("lines"))
-    item = F.element_at("lines", -1)
-    lines = lines.where(F.size("lines") > 0).withColumn("item", F.when(item.rlike(BULLET), F.regexp_replace(item, BULLET, "")))
-    body = F.array_join(F.filter("lines", lambda x: ~x.rlike(BULLET)), "\u0001")
-    items = F.array_join(F.transform(F.filter("lines", lambda x: x.rlike(BULLET)), lambda x: F.regexp_replace(x, BULLET, "")), "\u0001")
-    # U+0002 marks the tail of the body and the last item.
-    parts = F.filter(F.array(F.concat(body, F.lit("\u0002")), F.concat(items, F.when(F.col("item").isNotNull(), F.lit("\u0002")).otherwise(""))), lambda x: F.length(x) > 1)
-    segs = lines.select("doc", "th", F.explode(segments(F.array_join(parts, "\u0001"))).alias("seg"))
-    segs = segs.withColumn("tail", F.col("seg").endswith("\u0002")).withColumn("seg", F.trim(F.replace("seg", F.lit("\u0002"), F.lit("")))).where("seg != ''")
-    marked = F.col("tail") & F.col("seg").rlike(CUT_MARK) & ~F.col("seg").rlike(r"\s…\s*$")
-    segs = segs.withColumn("open", F.col("tail") & (marked | ~F.col("seg").rlike(CLOSED)))
-    segs = segs.withColumn("bare", F.when(F.col("open"), F.regexp_replace("seg", CUT_MARK, "")).otherwise(F.col("seg")))
-    # The closing mark is a part of the value: what stops right before it is a strict prefix too.
-    end = F.when(~F.col("open") & F.col("seg").rlike(CLOSED), " .").otherwise("")
-    both = segs.select(
-        F.when(F.col("open"), F.struct("doc", "th", F.col("bare").alias("tail"))).alias("q"),
-        F.explode(F.array(F.concat(F.lit("a "), folded(F.col("bare")), end), F.concat(F.lit("b "), plain(F.col("bare")), end))).alias("v"),
-    )
+    texts = spread(docs.where("text is not null").select("doc", "text"))
+    found = texts.mapInPandas(_pieces, f"v string, n long, asks boolean, doc {docs.schema['doc'].dataType.simpleString()}, th long, tail string")
     # Values collapse to their counts, open tails stay rows of their own.
-    rows = cut(both.where(F.length("v") > 4).groupBy("v", "q").agg(F.count("*").alias("n")))
-    values = rows.where("q is null").select("v", "n")
-    tails = rows.where("q is not null").select("v", "q.*")
+    rows = cut(found.groupBy("v", "asks", "doc", "th", "tail").agg(F.sum("n").alias("n")))
+    values = rows.where("not asks").select("v", "n")
+    tails = rows.where("asks").select("v", "doc", "th", "tail")
     known = prefix_counts(values, tails)
     others = tails.groupBy("v").agg((F.countDistinct("th") - 1).alias("others"))
     judged = tails.join(known.join(others, "v"), "v").withColumn("a", F.col("v").startswith("a "))
