@@ -1,26 +1,22 @@
 """Postal addresses of the same building, written differently.
 
-Numbers first: an address is its house number with its letter, its street
-words (stem and kind) and its town; towns are repaired against the list of
-places. Addresses that share their number and their town meet in a block (those
-without a town in the block of their site); there the distinct street names are
-compared directly, whatever their frequency: the words they share are taken
-out, what remains must be a misspelling of each other by edit distance, and the
-rarity-weighted overlap of all words must be high. Names that stand alone in
-their block are then repaired against the names that many sites share, so that
-two bad misspellings of one street still meet.
+Numbers first: an address is the sorted digit tokens of its line, the words of
+its street (stem and kind) and its town; towns are repaired against the list of
+places. Distinct addresses meet in blocks of their digits, their town (or site)
+and one rare word: the stem of the street, by forms that a misspelling leaves
+alone, or the usual name it misspells. In a block the words of two streets are
+intersected; they are one street if the rarity-weighted overlap is high and
+what is left unmatched is near by Levenshtein distance.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
-from ..session import cut, spread
+from ..session import cut
 from .canonical import town_map
 from .encoding import restore_udf
 from .text import deletions, repair_words, skeleton
@@ -40,6 +36,8 @@ NO_TOWN = r"^(?:deutschland|online|bundesweit|uberregional|weltweit)$"
 PLACEHOLDER = r"^(?:-+|k\.?\s*a\.?|n/?a|auf anfrage|siehe website|keine angabe|unbekannt|\?+|\.+)$"
 #: A name this much rarer than a near one is its misspelling.
 SHARE = 0.15
+#: Sites below which a name proves nothing, however small the table.
+EVIDENCE = 4
 #: Least likeness (1 - edits / length) of the words that two names of a block don't share, and least rarity-weighted overlap of all words.
 LIKE, OVERLAP = 0.7, 0.75
 
@@ -54,9 +52,11 @@ def parse_address(df: DataFrame, street: str, postal: str | None, city: str | No
     """Adds _street, _number, _zip, _zip2, _town_text, _town_text2.
 
     ``_street`` is the folded street name without blanks, kind written out;
-    ``_number`` the house number with its letter; ``_zip2``/``_town_text2``
-    what stands of code and town inside the street field. All null where the
-    field is null, a placeholder or names no street with a number.
+    ``_number`` the sorted numbers of the line with their letters, joined by
+    ``|`` ("7-9" is 7|9, "Straße des 17. Juni 135" 135|17), without those that
+    tell a place inside the plot; ``_zip2``/``_town_text2`` what stands of code
+    and town inside the street field. All null where the field is null, a
+    placeholder or names no street with a number.
     """
     raw = F.trim(restore_udf(street))
     folded = F.regexp_replace(skeleton(raw), r"\s+", " ")
@@ -67,19 +67,20 @@ def parse_address(df: DataFrame, street: str, postal: str | None, city: str | No
     line = F.regexp_replace(F.regexp_replace(F.regexp_replace("_f", inner, " "), BESIDE, " "), NUMBER_WORD, " ")
     line = F.trim(F.regexp_replace(line, r"[,;|·]|\s-\s|-\s*$|^\s*-", " "))
     df = df.withColumn("_line", line)
-    num = r"(?<![\p{L}\d])(\d{1,4})\s?([a-z])?(?![\p{L}\d])"
-    after = r"(\p{L}{2,}\.?)(\d{1,4})\s?([a-z])?(?![\p{L}\d])"
-    glued = F.regexp_extract("_line", after, 2)
-    number = F.when(F.regexp_extract("_line", num, 1) != "", F.concat(F.regexp_extract("_line", num, 1), F.regexp_extract("_line", num, 2)))
-    number = F.coalesce(number, F.when(glued != "", F.concat(glued, F.regexp_extract("_line", after, 3))))
+    # "Hofstr.5": a number may follow its street without a blank.
+    df = df.withColumn("_line", F.regexp_replace("_line", r"(\p{L}{2,}\.?)(?=\d)", "$1 "))
+    num = r"(?<![\p{L}\d])(\d+)(?:\s?([a-z])(?![\p{L}\d]))?(?!\p{L}|\d)"
+    code = postcode(F.col(postal)) if postal else F.lit(None).cast("string")
+    found = F.transform(F.regexp_extract_all("_line", F.lit(num), F.lit(0)), lambda x: F.regexp_replace(x, r"^0+(?=\d)|\s", ""))
+    found = F.array_sort(F.array_distinct(F.filter(found, lambda x: ~F.coalesce((F.length(x) >= 4) & (F.lpad(x, 5, "0") == code), F.lit(False)))))
+    number = F.when(F.size(found) > 0, F.array_join(found, "|"))
     name = F.regexp_replace(F.regexp_replace("_line", num, " "), r"\d+\s?[a-z]?(?!\p{L})", " ")
     name = F.regexp_replace(F.regexp_replace(name, r"[^\p{L}.?\x{FFFD}]", ""), r"\.(?=.)", "")
     for a, b in KINDS:
         name = F.when(name.rlike(a), F.regexp_replace(name, a, b)).otherwise(name)
     name = F.regexp_replace(name, r"\.", "")
     ok = number.isNotNull() & (F.length(name) >= 3)
-    df = df.withColumn("_street", F.when(ok, name)).withColumn("_number", F.when(ok, F.regexp_replace(number, r"^0+(?=\d)", "")))
-    df = df.withColumn("_zip", postcode(F.col(postal)) if postal else F.lit(None).cast("string"))
+    df = df.withColumn("_street", F.when(ok, name)).withColumn("_number", F.when(ok, number)).withColumn("_zip", code)
     return df.withColumn("_town_text", F.col(city) if city else F.lit(None).cast("string")).drop("_raw", "_f", "_line")
 
 
@@ -97,36 +98,42 @@ def add_town(df: DataFrame, zipcodes: DataFrame) -> DataFrame:
     return df.withColumn("_town", F.coalesce("_p1", "_p2", "_p3", "_p4", typed)).drop("_p1", "_p2", "_p3", "_p4")
 
 
-def usual_streets(df: DataFrame, usual: int = 4, share: float = SHARE) -> DataFrame:
-    """(_street, n, kind, stem, sn, usual): the distinct street names; usual ones are taken for rightly spelt.
+def street_names(df: DataFrame) -> DataFrame:
+    """(_street, n, kind, stem, sn, kn, total, usual): the distinct street names; usual ones are taken for rightly spelt.
 
-    ``n`` counts the distinct sites of a name, ``sn`` those of its stem (summed
-    over its kinds), so copies within a site have no weight. A name is usual if
-    it ends in a kind of street and its stem (the part before) has at least
-    ``usual`` sites over all kinds, and no near stem is 1/``share`` times as
-    frequent; or if its kind is unknown and ``usual`` sites bear the whole
-    name. ``usual`` is an absolute floor; what it lets pass in a large table is
-    told by ``share``, here and in ``same_in_block``.
+    ``n`` counts the distinct sites of a name, so copies within a site have no
+    weight, ``sn`` and ``kn`` those of its stem and of its kind of street,
+    ``total`` all of them. A stem is usual if it has a share ``SHARE`` of the
+    sites that a stem has on the average of all rows (and ``EVIDENCE`` sites at
+    all, which only matters in small tables), and no near stem is 1/``SHARE``
+    times as frequent.
+    A final g without a dot means "gasse" where the rest is a usual stem.
     """
-    counts = df.where("_street is not null").groupBy("_street").agg(F.countDistinct("_site").alias("n"))
-    counts = counts.withColumn("kind", F.regexp_extract("_street", STREET_KIND, 1)).withColumn("stem", F.regexp_replace("_street", STREET_KIND, ""))
-    counts = cut(counts.withColumn("stem", F.when(F.col("kind") != "", F.col("stem")).otherwise(F.col("_street"))))
-    sums = counts.groupBy("stem").agg(F.sum("n").alias("sn"))
-    stems = sums.where(F.col("sn") >= usual)
-    keyed = stems.where(F.length("stem") >= 4).select("stem", "sn", F.explode(deletions(F.col("stem"), F.lit(1))).alias("_k"))
+    def stems(names: DataFrame) -> DataFrame:
+        names = names.withColumn("kind", F.regexp_extract("_street", STREET_KIND, 1))
+        return names.withColumn("stem", F.when(F.col("kind") != "", F.regexp_replace("_street", STREET_KIND, "")).otherwise(F.col("_street")))
+
+    counts = cut(stems(df.where("_street is not null").groupBy("_street").agg(F.countDistinct("_site").alias("n"))))
+    sums = counts.groupBy("stem").agg(F.sum("n").alias("sn"), F.max(F.col("kind") != "").alias("kinded"))
+    typical = sums.agg((F.sum(F.col("sn") * F.col("sn")) / F.sum("sn")).alias("typical"), F.sum("sn").alias("total"), F.max(F.lit(True)).alias("_one")).where("total is not null")
+    sums = cut(sums.join(F.broadcast(typical), F.col("sn") > 0))  # one row of sums beside every stem
+    frequent = sums.where((F.col("sn") >= SHARE * F.col("typical")) & (F.col("sn") >= EVIDENCE))
+    keyed = frequent.where(F.length("stem") >= 4).select("stem", "sn", F.explode(deletions(F.col("stem"), F.lit(1))).alias("_k"))
     a, b = keyed.alias("a"), keyed.alias("b")
     beaten = (
-        a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a.sn") < share * F.col("b.sn")) & (F.col("a.stem") != F.col("b.stem")))
+        a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a.sn") < SHARE * F.col("b.sn")) & (F.col("a.stem") != F.col("b.stem")))
         .select(F.col("a.stem").alias("stem")).distinct()
     )
-    good = stems.join(beaten, "stem", "left_anti").select("stem", F.lit(True).alias("_good"))
-    return cut(counts.join(sums, "stem").join(good, "stem", "left").select("_street", "n", "kind", "stem", "sn", F.coalesce("_good", F.lit(False)).alias("usual")))
+    good = frequent.join(beaten, "stem", "left_anti").select("stem", "kinded", F.lit(True).alias("_good"))
+    long = good.where("kinded").select(F.concat("stem", F.lit("g")).alias("_street"), F.concat("stem", F.lit("gasse")).alias("_long"))
+    short = counts.where("kind = ''").select("_street").join(long, "_street")
+    kinds = counts.groupBy("kind").agg(F.sum("n").alias("kn"))
+    out = counts.join(sums.select("stem", "sn", "total"), "stem").join(good.select("stem", "_good"), "stem", "left").join(kinds, "kind").join(short, "_street", "left")
+    return cut(out.select("_street", F.coalesce("_long", "_street").alias("_name"), "n", "kind", "stem", "sn", "kn", "total", F.coalesce("_good", F.lit(False)).alias("usual")))
 
 
-def edits(a: str, b: str, most: int) -> int:
-    """Edit distance in which a swap of neighbours is one edit; above ``most`` any larger figure."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
+def edits(a: str, b: str) -> int:
+    """Edit distance in which a swap of neighbours is one edit."""
     before, last = [], list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         row = [i]
@@ -135,148 +142,145 @@ def edits(a: str, b: str, most: int) -> int:
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
                 d = min(d, before[j - 2] + 1)
             row.append(d)
-        if min(row) > most and min(last) > most:
-            return most + 1
         before, last = last, row
     return last[-1]
 
 
-def same_street(a: dict, b: dict, total: int) -> float:
-    """Rarity-weighted overlap of two names' words (stem, kind), 0 where they are two streets.
-
-    Shared words count in full, the others by their likeness, which must be at
-    least ``LIKE``. Two usual names are two streets unless one is so rare
-    beside the other that it is a frequent misspelling; and they are
-    two if another usual name is two edits nearer to one of them.
-    """
-    if a["usual"] and b["usual"] and min(a["sn"], b["sn"]) >= SHARE * max(a["sn"], b["sn"]):
-        return 0.0
-    weight = lambda n: math.log1p(total / max(n, 1))
-    words = [{x["stem"]: weight(x["sn"]), x["kind"]: weight(x["kn"])} if x["kind"] else {x["stem"]: weight(x["sn"])} for x in (a, b)]
-    shared = set(words[0]) & set(words[1])
-    rest = ["".join(w for w in x if w not in shared) for x in words]
-    long = max(1, *map(len, rest))
-    most = int((1 - LIKE) * long + 1e-9)
-    apart = edits(*rest, most)
-    nearer = lambda x, y: any(edits(x["_street"], t, apart - 2) <= apart - 2 for t in x["terms"] if t != y["_street"])
-    if apart > most or nearer(a, b) or nearer(b, a):
-        return 0.0
-    like = 1 - apart / long
-    common = sum(words[0][w] for w in shared)
-    other = sum(v for x in words for w, v in x.items() if w not in shared) / 2
-    overlap = (common + like * other) / (common + other)
-    return overlap if overlap >= OVERLAP else 0.0
-
-
-def _same_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for key, number, total, names in zip(pdf["_key"], pdf["_number"], pdf["total"], pdf["names"]):
-            heads = []
-            for x in sorted(names, key=lambda x: (not x["usual"], -x["sn"], -x["n"], x["_street"])):
-                near = max(((same_street(x, h, total), -i) for i, h in enumerate(heads)), default=(0.0, 0))
-                if near[0] > 0:
-                    out.append((key, number, x["_street"], heads[-near[1]]["_street"]))
-                else:
-                    heads.append(x)
-        yield pd.DataFrame(out, columns=["_key", "_number", "_street", "_same"])
+@F.pandas_udf(IntegerType())
+def swaps_once(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([edits(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
 def near_usual(streets: DataFrame) -> DataFrame:
-    """(word, term, distance, n): the nearest usual names of each unusual one, with the sites of the usual name."""
+    """(word, terms, best): per unusual name the usual ones near it with their distances, and the nearest, then most frequent."""
     odd = streets.where("not usual").select(F.col("_street").alias("word"))
     usual = streets.where("usual").select(F.col("_street").alias("term"), "n")
-    return cut(repair_words(odd, usual.select("term"), slack=1).join(usual, "term"))
-
+    near = repair_words(odd, usual.select("term"), slack=1).join(usual, "term")
+    return near.groupBy("word").agg(F.collect_list(F.struct("term", "distance")).alias("terms"), F.min(F.struct("distance", -F.col("n"), "term"))["term"].alias("best"))
 
-def same_in_block(rows: DataFrame, streets: DataFrame, near: DataFrame, town: str = "_town", members: DataFrame | None = None) -> DataFrame:
-    """Gives the misspelt street names of a block (number and ``town``) the name of the block they misspell.
-
-    The distinct names of a block go from the most to the least established;
-    each takes the place of the most similar one before it that has kept its
-    name, so nothing is chained. ``members`` (default ``rows``) gives the names
-    of the blocks. Rows whose ``town`` is null are left as they are.
-    """
-    names = (members or rows).where(F.col(town).isNotNull()).select(F.col(town).alias("_key"), "_number", "_street").distinct()
-    kinds = streets.groupBy("kind").agg(F.sum("n").alias("kn"))
-    terms = near.groupBy(F.col("word").alias("_street")).agg(F.collect_set("term").alias("terms"))
-    empty = F.array().cast("array<string>")
-    known = streets.join(kinds, "kind").join(terms, "_street", "left").withColumn("terms", F.coalesce("terms", empty)).crossJoin(F.broadcast(streets.agg(F.sum("n").alias("total"))))
-    blocks = (
-        names.join(known, "_street").groupBy("_key", "_number")
-        .agg(F.max("total").alias("total"), F.collect_list(F.struct("_street", "n", "kind", "kn", "stem", "sn", "usual", "terms")).alias("names"))
-        .where(F.size("names") > 1)
-    )
-    same = cut(spread(blocks).mapInPandas(_same_batches, "_key string, _number string, _street string, _same string"))
-    rows = rows.join(same.withColumnRenamed("_key", town), [town, "_number", "_street"], "left")
-    return rows.withColumn("_street", F.coalesce("_same", "_street")).drop("_same")
 
+#: Letters of the head and of the tail of a stem that are compared with one letter missing.
+EDGE = 6
 
-def expand_short_lane(df: DataFrame, streets: DataFrame) -> DataFrame:
-    """A final g without a dot means "gasse" where the rest is a usual stem ("Weberhofg 3")."""
-    stems = streets.where("usual").select(F.regexp_replace("_street", STREET_KIND, "").alias("_stem")).distinct()
-    short = df.select("_street").where(F.col("_street").rlike(r"g$") & ~F.col("_street").rlike(STREET_KIND)).distinct()
-    to = short.withColumn("_stem", F.regexp_replace("_street", "g$", "")).join(stems, "_stem").select("_street", F.concat("_stem", F.lit("gasse")).alias("_long"))
-    return df.join(to, "_street", "left").withColumn("_street", F.coalesce("_long", "_street")).drop("_long")
 
-
-def resolve_streets(rows: DataFrame, near: DataFrame) -> DataFrame:
-    """Replaces unusual street names by the usual ones they misspell.
-
-    The candidates are those of ``near_usual``. An address whose name is
-    unusual meets the others in the block of its digits and town; among the
-    candidates, one that stands in the block is taken first (nearest, then most
-    frequent), else the nearest and most frequent of all. Names without a
-    candidate stay.
+def rare_words(worse: bool) -> Column:
+    """Forms by which the rare word of a street meets its misspellings: its head and its tail with at most one letter
+    missing, and the usual name it is or misspells. Up to three errors spread over a stem leave one of them alone.
+    A misspelt kind stays at the stem, so a name without a kind, as the ``worse`` one, also meets by the end of names."""
+    tail = lambda c: F.reverse(F.substring(F.reverse(c), 1, EDGE))
+    forms = lambda mark, c: F.transform(deletions(c, F.lit(1)), lambda x: F.concat(F.lit(mark), x))
+    empty = F.array().cast("array<string>")
+    ends = forms("~", tail("_street"))
+    return F.array_distinct(F.concat(
+        forms("<", F.substring("stem", 1, EDGE)), forms(">", tail("stem")), F.when(F.col("kind") == "", ends).otherwise(empty) if worse else ends,
+        F.when(F.col("usual"), F.array(F.concat(F.lit("="), "_street"))).otherwise(empty),
+        F.transform(F.coalesce("terms", F.array().cast("array<struct<term:string,distance:int>>")), lambda t: F.concat(F.lit("="), t["term"])),
+    ))
+
+
+def same_streets(pairs: DataFrame, streets: DataFrame) -> DataFrame:
+    """(a, b, likeness) of the pairs of names (a, b) that are one street, 1 being equal.
+
+    Words shared by both (stem, kind) count in full by their rarity, the
+    others by their likeness, which must be at least ``LIKE``: Levenshtein
+    distance over their joined letters, a swap of neighbours counting as one.
+    Two usual names are two streets unless one is so rare beside the other
+    that it is a frequent misspelling; and they are two if another usual name
+    is two edits nearer to one of them. A name also is the usual one that is
+    nearest to it, and so are two names with the same nearest one.
     """
-    kinds = rows.groupBy("_street", "_number", "_town").agg(F.count("*").alias("k"))
-    here = kinds.select(F.col("_street").alias("term"), "_number", "_town", F.lit(1).alias("inside"))
-    pick = (
-        kinds.join(near, F.col("_street") == F.col("word")).drop("word")
-        .join(here, ["term", "_number", "_town"], "left")
-        .groupBy("_street", "_number", F.coalesce("_town", F.lit("")).alias("_tkey"))
-        .agg(F.min(F.struct(-F.coalesce("inside", F.lit(0)), "distance", -F.col("n"), "term")).alias("m"))
-        .select("_street", "_number", "_tkey", F.col("m.term").alias("_fixed"))
-    )
-    rows = rows.withColumn("_tkey", F.coalesce("_town", F.lit("")))
-    return rows.join(pick, ["_street", "_number", "_tkey"], "left").withColumn("_street", F.coalesce("_fixed", "_street")).drop("_fixed", "_tkey")
-
-
-def fill_town(df: DataFrame, site: str) -> DataFrame:
-    """Rows without a town take it from rows of the same site with the same street and number, if these agree on one."""
-    known = (
-        df.where("_town is not null and _street is not null").groupBy(site, "_street", "_number")
-        .agg(F.min("_town").alias("_t1"), F.max("_town").alias("_t2")).where("_t1 = _t2").select(site, "_street", "_number", "_t1")
+    side = lambda x: streets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("kind", "stem", "sn", "kn", "usual", "terms", "best", "total")], F.col("_street").alias(x))
+    p = pairs.join(side("a"), "a").join(side("b"), "b")
+    words = lambda x: F.filter(F.array(f"stem_{x}", f"kind_{x}"), lambda w: w != "")
+    p = p.withColumn("shared", F.array_intersect(words("a"), words("b")))
+    p = p.withColumn("rest_a", F.array_join(F.array_except(words("a"), F.col("shared")), "")).withColumn("rest_b", F.array_join(F.array_except(words("b"), F.col("shared")), ""))
+    p = p.withColumn("long", F.greatest(F.length("rest_a"), F.length("rest_b"), F.lit(1))).withColumn("most", F.floor((1 - LIKE) * F.col("long") + 1e-9))
+    p = cut(p.withColumn("apart", F.levenshtein("rest_a", "rest_b")).where(F.col("apart") <= 2 * F.greatest("most", F.lit(1))))
+    # Levenshtein counts a swap as two; only pairs of doubt are measured once more.
+    sure = F.col("apart") < 2
+    p = p.where(sure).unionByName(p.where(~sure).withColumn("apart", swaps_once("rest_a", "rest_b")))
+    rarity = lambda word, n: F.when(F.col(word) == "", 0.0).otherwise(F.log1p(F.col("total_a") / F.col(n)))
+    weight = {x: (rarity(f"stem_{x}", f"sn_{x}"), rarity(f"kind_{x}", f"kn_{x}")) for x in "ab"}
+    inside = lambda word: F.array_contains("shared", F.col(word))
+    common = F.when(inside("stem_a"), weight["a"][0]).otherwise(0.0) + F.when(inside("kind_a"), weight["a"][1]).otherwise(0.0)
+    other = sum(F.when(inside(f"{w}_{x}"), 0.0).otherwise(weight[x][i]) for x in "ab" for i, w in enumerate(("stem", "kind"))) / 2
+    like = 1 - F.col("apart") / F.col("long")
+    p = p.withColumn("overlap", (common + like * other) / (common + other))
+    two = F.col("usual_a") & F.col("usual_b") & (F.least("sn_a", "sn_b") >= SHARE * F.greatest("sn_a", "sn_b"))
+    nearer = lambda x, y: F.coalesce(F.exists(f"terms_{x}", lambda t: (t["term"] != F.col(y)) & (t["distance"] <= F.col("apart") - 2)), F.lit(False))
+    direct = (F.col("apart") <= F.col("most")) & (F.col("overlap") >= OVERLAP) & ~nearer("a", "b") & ~nearer("b", "a")
+    repaired = F.col("usual_a") & F.coalesce(F.exists("terms_b", lambda t: t["term"] == F.col("a")), F.lit(False)) & ~nearer("b", "a") | F.coalesce(F.col("best_a") == F.col("best_b"), F.lit(False))
+    likeness = F.when(direct, F.col("overlap")).when(repaired, F.least(F.lit(OVERLAP), F.greatest("overlap", F.lit(0.01))))
+    return p.where(~two & (direct | repaired)).select("a", "b", likeness.alias("likeness"))
+
+
+def same_in_block(rows: DataFrame, streets: DataFrame) -> DataFrame:
+    """Gives every street name of a block (number and town) the name of the same street that is best established there.
+
+    Names are established by being usual, then by their sites. A name takes
+    the place of the most similar better established one that keeps its own,
+    so nothing is chained. Rows without a town meet all rows of their site.
+    """
+    names = rows.select("_site", "_number", "_street", "_town").distinct()
+    lone = names.where("_town is null").select("_site").distinct()
+    of_site = F.concat(F.lit("?"), F.col("_site").cast("string"))
+    blocks = cut(
+        names.where("_town is not null").select(F.concat(F.lit("="), "_town").alias("_key"), "_number", "_street")
+        .unionByName(names.join(lone, "_site", "left_semi").select(of_site.alias("_key"), "_number", "_street")).distinct()
     )
-    return df.join(known, [site, "_street", "_number"], "left").withColumn("_town", F.coalesce("_town", "_t1")).drop("_t1")
+    order = F.struct("usual", "sn", "n", F.hash("_street"), "_street")
+    streets = cut(streets.join(near_usual(streets), F.col("_street") == F.col("word"), "left").drop("word"))
+    known = streets.select("_street", order.alias("o"), rare_words(False).alias("fa"), rare_words(True).alias("fb"))
+    keyed = blocks.join(known, "_street")
+    key = F.xxhash64("_key", "_number", "f").alias("k")
+    better = keyed.select("_key", "_number", "_street", "o", F.explode("fa").alias("f")).select(key, F.col("_street").alias("a"), F.col("o").alias("oa"))
+    worse = keyed.select("_key", "_number", "_street", "o", F.explode("fb").alias("f")).select(key, "_key", "_number", F.col("_street").alias("b"), "o")
+    met = cut(better.join(worse, "k").where("oa > o").select("_key", "_number", "a", "b", "oa").distinct())
+    same = cut(same_streets(met.select("a", "b").distinct(), streets))
+    links = cut(met.join(same, ["a", "b"]))
+    taken = None
+    for _ in range(2):  # names that met only such as gave up their own are compared among themselves once more
+        heads = links.select("_key", "_number", F.col("a").alias("_street")).join(links.select("_key", "_number", F.col("b").alias("_street")), ["_key", "_number", "_street"], "left_anti").distinct()
+        step = links.join(heads.withColumnRenamed("_street", "a"), ["_key", "_number", "a"]).groupBy("_key", "_number", F.col("b").alias("_street")).agg(F.max_by("a", F.struct("likeness", "oa")).alias("_same"))
+        step = cut(step)
+        taken = step if taken is None else taken.unionByName(step)
+        done = taken.select("_key", "_number", "_street")
+        out = done.unionByName(heads.select("_key", "_number", "_street"))
+        links = links.join(out.withColumnRenamed("_street", "b"), ["_key", "_number", "b"], "left_anti").join(out.withColumnRenamed("_street", "a"), ["_key", "_number", "a"], "left_anti")
+    key = F.coalesce(F.concat(F.lit("="), "_town"), of_site)
+    rows = rows.withColumn("_key", key).join(taken, ["_key", "_number", "_street"], "left")
+    return rows.withColumn("_street", F.coalesce("_same", "_street")).drop("_same", "_key")
+
+
+def fill_town(df: DataFrame) -> DataFrame:
+    """Rows without a town take town and street from rows of their site with the same number and street (as written or as
+    resolved), if these agree on one."""
+    told = df.where("_town is not null").select("_site", "_number", F.explode(F.array_distinct(F.array("_raw", "_street"))).alias("_k"), F.struct("_town", "_street").alias("_s"))
+    known = told.groupBy("_site", "_number", "_k").agg(F.min("_s").alias("_s"), F.max("_s").alias("_hi")).where("_s = _hi").drop("_hi")
+    df = df.withColumn("_k", F.when(F.col("_town").isNull(), F.col("_street"))).join(known, ["_site", "_number", "_k"], "left")
+    return df.withColumn("_street", F.coalesce("_s._street", "_street")).withColumn("_town", F.coalesce("_town", "_s._town")).drop("_s", "_k", "_raw")
 
 
 def locate(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street: str, postal: str | None, city: str | None) -> DataFrame:
     """(id, site, building, town, _street, _number) of every row: the class of its building, and its town.
 
     Rows are collapsed to distinct (street, number, town), so copies never
-    multiply. House numbers with their letters must agree, the town must be the
+    multiply. All numbers with their letters must agree, the town must be the
     same place, and the street's words the same or misspellings of each other
-    (``same_in_block``, then repair against usual names). Rows without any
-    town take it from rows of the same ``site`` with the same street and
-    number, else they form a class of their own within the site. Null or
-    placeholder streets and streets without a number have no building.
+    (``same_streets``). Rows without any town take it from rows of the same
+    ``site`` with the same street and number, else they form a class of their
+    own within the site. Null or placeholder streets and streets without a
+    number have no building.
     """
     df = df.withColumn("_site", F.col(site) if site else F.col(id)).withColumn("_id", F.col(id))
     parsed = cut(parse_address(df, street, postal, city).select("_id", "_site", "_street", "_number", "_zip", "_zip2", "_town_text", "_town_text2"))
     every = cut(add_town(parsed, zipcodes).select("_id", "_site", "_street", "_number", "_town"))
     rows = every.where("_street is not null")
-    rows = cut(expand_short_lane(rows, usual_streets(rows)))
-    streets = usual_streets(rows)
-    near = near_usual(streets)
-    rows = cut(same_in_block(rows, streets, near))
-    # Rows without a town meet the names of their site.
-    rows = rows.withColumn("_lone", F.when(F.col("_town").isNull(), F.col("_site").cast("string")))
-    lone = rows.where("_lone is not null").select("_site").distinct()
-    members = rows.join(lone, "_site", "left_semi").withColumn("_lone", F.col("_site").cast("string"))
-    rows = cut(fill_town(same_in_block(rows, streets, near, "_lone", members).drop("_lone"), "_site"))
-    rows = cut(resolve_streets(rows, near))
-    rows = fill_town(rows, "_site")
+    streets = street_names(rows)
+    rows = rows.join(streets.select("_street", "_name"), "_street").withColumn("_street", F.col("_name")).drop("_name")
+    # Short forms written out join the names they stand for.
+    whole = streets.groupBy(F.col("_name").alias("_street")).agg(F.sum("n").alias("n"), *[F.max(F.struct(F.col("_street") == F.col("_name"), c))[c].alias(c) for c in ("kind", "stem", "sn", "kn", "total", "usual")])
+    rows = fill_town(cut(same_in_block(rows.withColumn("_raw", F.col("_street")), whole)))
     building = F.sha2(F.concat_ws("|", F.coalesce("_town", F.concat(F.lit("?"), F.col("_site").cast("string"))), "_street", "_number"), 256)
     rows = rows.select("_id", "_site", building.alias("building"), "_town", "_street", "_number")
     rest = every.where("_street is null").select("_id", "_site", F.lit(None).cast("string").alias("building"), "_town", "_street", "_number")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,17 +29,18 @@ MASKS = ("11111", "1101011", "11011001", "1010111")
 BLOCK_CHARS = 4_000_000
 #: Words of documents that are hashed at once, and aligned pairs at once: bound what a task holds.
 CHUNK_WORDS, CHUNK_PAIRS = 1_000_000, 64
-FOLD = str.maketrans({**dict(zip(ACCENTED, BASE)), "ß": "ss", "­": None, "​": None, "‌": None, "‍": None, "﻿": None})
+#: Words that a task remembers.
+CACHE = 300_000
+FOLD = str.maketrans({**dict(zip(ACCENTED, BASE)), "ß": "ss"})
+INVISIBLE = re.compile("[\u00ad\u200b-\u200d\ufeff]")
 TAG = re.compile(r"</?[a-z!][^<>]*>")
 ENTITY = re.compile(r"&([aou])uml;")
 BROKEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n\s*(?=[a-zäöüß])")
 WORD = re.compile(r"[^\W_]+(?:[?�]+[^\W_]+)*")
-#: Score and covered words of an alignment share one integer: score * UNIT + covered.
-UNIT = 1 << 20
 
 
-def plain_words(text: str) -> list[str]:
-    """Folded words without markup, with words joined that a line break hyphenated."""
+def raw_words(text: str) -> list[str]:
+    """Lower-case words without markup, with words joined that a line break hyphenated."""
     t = text
     if "-" in t and "\n" in t:
         t = BROKEN.sub("", t)
@@ -47,8 +49,20 @@ def plain_words(text: str) -> list[str]:
         t = TAG.sub(" ", t)
     if "&" in t:
         t = ENTITY.sub(r"\1", t).replace("&szlig;", "ss")
-    t = t.translate(FOLD)
-    return WORD.findall(t.replace("ae", "a").replace("oe", "o").replace("ue", "u"))
+    if INVISIBLE.search(t):
+        t = INVISIBLE.sub("", t)
+    return WORD.findall(t)
+
+
+@lru_cache(maxsize=CACHE)
+def fold(word: str) -> str:
+    """A lower-case word without accents and transliterated umlauts."""
+    return word.translate(FOLD).replace("ae", "a").replace("oe", "o").replace("ue", "u")
+
+
+def plain_words(text: str) -> list[str]:
+    """The folded words of a text."""
+    return [fold(w) for w in raw_words(text)]
 
 
 def _forms(word: str) -> set[str]:
@@ -56,26 +70,32 @@ def _forms(word: str) -> set[str]:
     return {word} | ({word[:i] + word[i + 1 :] for i in range(len(word))} if len(word) >= 5 else set())
 
 
-def _equal(item: list[str], doc: list[str]) -> np.ndarray:
-    """Which words are the same; those of five letters or more up to one edit or swap (a shared form)."""
-    at: dict[str, list[int]] = {}
-    for j, y in enumerate(doc):
-        at.setdefault(y, []).append(j)
-    by_form: dict[str, set[str]] = {}
-    for y in at:
-        for f in _forms(y):
-            by_form.setdefault(f, set()).add(y)
-    out = np.zeros((len(item), len(doc)), bool)
-    rows: dict[str, list[int]] = {}
-    for x in set(item):
-        rows[x] = [j for y in set().union(*(by_form.get(f, ()) for f in _forms(x))) for j in at[y]]
-    for i, x in enumerate(item):
-        if rows[x]:
-            out[i, rows[x]] = True
-    return out
-
-
-def covered(pairs: list[tuple[list[str], list[str]]]) -> list[float]:
+class Item:
+    """The words of an item and where a word of a document stands among them."""
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        self.by_form: dict[str, set[str]] = {}
+        self.at: dict[str, list[int]] = {}
+        for i, x in enumerate(words):
+            self.at.setdefault(x, []).append(i)
+        for x in self.at:
+            for f in _forms(x):
+                self.by_form.setdefault(f, set()).add(x)
+        self.known: dict[str, list[int]] = {}
+
+    def places(self, word: str) -> list[int]:
+        """Positions of the same word; words of five letters or more are the same up to one edit or swap (a shared form)."""
+        got = self.known.get(word)
+        if got is None:
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            near = set().union(*(self.by_form.get(f, ()) for f in _forms(word)))
+            got = self.known[word] = [i for x in near for i in self.at[x]]
+        return got
+
+
+def covered(pairs: list[tuple[Item, list[str]]]) -> list[float]:
     """Per pair (item, document words): the share of the item's words that the best local alignment covers.
 
     Covered are the same words in the same order, and a single changed word
@@ -84,35 +104,43 @@ def covered(pairs: list[tuple[list[str], list[str]]]) -> list[float]:
     """
     if not pairs:
         return []
-    n, m = max(len(a) for a, _ in pairs), max(len(b) for _, b in pairs)
+    n, m = max(len(a.words) for a, _ in pairs), max(len(b) for _, b in pairs)
     if not n or not m:
         return [0.0] * len(pairs)
     same = np.zeros((n, len(pairs), m), bool)
     for k, (a, b) in enumerate(pairs):
-        same[: len(a), k, : len(b)] = _equal(a, b)
-    ramp = UNIT * np.arange(m + 1, dtype=np.int64)
+        places = [a.places(y) for y in b]
+        same[[i for p in places for i in p], k, [j for j, p in enumerate(places) for _ in p]] = True
+    # Score and covered words of an alignment share one integer: score * unit + covered.
+    unit = 1 << (n + 1).bit_length()
+    kind = np.int32 if (2 * n + m + 4) * unit < 1 << 31 else np.int64
     shape = (len(pairs), m + 1)
+    ramp = (unit * np.arange(m + 1)).astype(kind)
     # Best alignments ending in a same word, in a single changed word, in a difference.
-    hit, changed, other = np.zeros(shape, np.int64), np.zeros(shape, np.int64), np.zeros(shape, np.int64)
-    best = np.zeros(len(pairs), np.int64)
+    hit, changed, other = np.zeros(shape, kind), np.zeros(shape, kind), np.zeros(shape, kind)
+    best = np.zeros(len(pairs), kind)
+    gain, loss = kind(2 * unit + 1), kind(unit - 1)
     for i in range(n):
-        before = np.maximum(np.maximum(hit, changed), other)
-        new_hit, new_changed = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
-        new_hit[:, 1:] = np.where(same[i], before[:, :-1] + 2 * UNIT + 1, 0)
-        new_changed[:, 1:] = np.where(same[i] | (hit[:, :-1] < UNIT), 0, hit[:, :-1] - UNIT + 1)
+        new_hit, new_changed = np.zeros(shape, kind), np.zeros(shape, kind)
         base = np.maximum(hit, other)
-        gap = base - UNIT
-        gap[:, 1:] = np.maximum(gap[:, 1:], base[:, :-1] - UNIT)
-        gap[:, 1:] = np.maximum(gap[:, 1:], new_hit[:, :-1] - UNIT)
-        gap = np.maximum.accumulate(gap + ramp, axis=1) - ramp
-        hit, changed, other = new_hit, new_changed, np.where(gap < UNIT, 0, gap)
-        best = np.maximum(best, hit.max(axis=1))
-    return [int(b % UNIT) / len(a) if a else 0.0 for b, (a, _) in zip(best, pairs)]
+        np.maximum(base, changed, out=changed)
+        np.multiply(changed[:, :-1] + gain, same[i], out=new_hit[:, 1:])
+        np.maximum(hit[:, :-1] - loss, 0, out=new_changed[:, 1:])
+        new_changed[:, 1:][same[i] | (hit[:, :-1] < unit)] = 0
+        base[:, 1:] = np.maximum(np.maximum(base[:, 1:], base[:, :-1]), new_hit[:, :-1])
+        base -= unit
+        base += ramp
+        np.maximum.accumulate(base, axis=1, out=base)
+        base -= ramp
+        base[base < unit] = 0
+        hit, changed, other = new_hit, new_changed, base
+        np.maximum(best, hit.max(axis=1), out=best)
+    return [int(b % unit) / len(a.words) if a.words else 0.0 for b, (a, _) in zip(best, pairs)]
 
 
 def contained(item: list[str], doc: list[str]) -> float:
     """``covered`` of one pair."""
-    return covered([(item, doc)])[0]
+    return covered([(Item(item), doc)])[0]
 
 
 class Seeds:
@@ -120,10 +148,12 @@ class Seeds:
 
     def __init__(self, items: list[tuple[object, str]]):
         self.ids = [i for i, _ in items]
-        self.words = [plain_words(t) for _, t in items]
-        self.code = {w: k for k, w in enumerate(dict.fromkeys(w for ws in self.words for w in ws), 1)}
-        self.size = np.array([len(w) for w in self.words], np.int64)
-        h, item, pos = self.hashes(self.words)
+        words = [plain_words(t) for _, t in items]
+        self.items = [Item(w) for w in words]
+        self.code = {w: k for k, w in enumerate(dict.fromkeys(w for ws in words for w in ws), 1)}
+        self.raw: dict[str, int] = {}
+        self.size = np.array([len(w) for w in words], np.int64)
+        h, item, pos = self.hashes(words)
         order = np.argsort(h, kind="stable")
         h, self.item, self.pos = h[order], item[order], pos[order]
         self.h, self.start = np.unique(h, return_index=True)
@@ -132,8 +162,12 @@ class Seeds:
     def hashes(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, text, position) of every mask at every place whose seen words are all known."""
         lens = np.array([len(w) for w in texts], np.int64)
-        get = self.code.get
-        codes = np.fromiter((get(w, 0) for ws in texts for w in ws), np.uint64, int(lens.sum()))
+        raw, code = self.raw, self.code
+        if len(raw) >= CACHE:
+            raw.clear()
+        for w in {w for ws in texts for w in ws if w not in raw}:
+            raw[w] = code.get(fold(w), 0)
+        codes = np.array([raw[w] for ws in texts for w in ws], np.uint64)
         text = np.repeat(np.arange(len(texts)), lens)
         pos = np.arange(len(codes)) - np.repeat(np.cumsum(lens) - lens, lens)
         left = np.repeat(lens, lens) - pos
@@ -176,7 +210,7 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[list[s
     ids, words, size = [], [], 0
     for pdf in batches:
         for i, t in zip(pdf["doc"], pdf["text"]):
-            w = plain_words(t)
+            w = raw_words(t)
             ids.append(i)
             words.append(w)
             size += len(w)
@@ -214,8 +248,8 @@ def leaked_items(docs: DataFrame, items: DataFrame, share: float = 0.5, hits: fl
             for ids, words in _chunks(batches):
                 held = []
                 for d, i, lo, hi in seeds.candidates(words, hits):
-                    n = len(seeds.words[i])
-                    held.append((ids[d], seeds.ids[i], seeds.words[i], words[d][max(0, lo - n) : hi + n + 10]))
+                    n = len(seeds.items[i].words)
+                    held.append((ids[d], seeds.ids[i], seeds.items[i], [fold(w) for w in words[d][max(0, lo - n) : hi + n + 10]]))
                 held.sort(key=lambda x: len(x[3]))  # pairs of like size are aligned together
                 for k in range(0, len(held), CHUNK_PAIRS):
                     part = held[k : k + CHUNK_PAIRS]

@@ -12,7 +12,7 @@ from .canonical import town_map, trade_map
 from .encoding import damaged_values
 from .leakage import leaked_items
 from .linkage import firm_level, firm_words, score_pairs
-from .survivor import NO_NAME, closest_value, consensus, establishments, single_blanks
+from .survivor import NO_NAME, closest_value, code_form, consensus, establishments, name_form, single_blanks
 from .text import phone_key, web_host
 
 QUERIES: dict = {}
@@ -95,49 +95,48 @@ def seed_groups(spark: SparkSession, folder: str, places: DataFrame | None = Non
 
 
 def _survivors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(records with group, rank and damage marks; scored distinct names)."""
-    groups = seed_groups(spark, folder).select("id", "group")
-    seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "source_path", "business_name", "postal_code", "created_at")
+    """(groups of two or more rows; scored distinct names and postal codes, their groups marked ``n|`` and ``p|``)."""
+    groups = seed_groups(spark, folder).select("id", "site_id", "group")
+    sizes = cut(groups.groupBy("group").agg(F.min("id").alias("first_seed_id"), F.min("site_id").alias("site_id"), F.count("*").alias("n")).where("n >= 2"))
+    seeds = table(spark, folder, "site_source_seeds", "id", "source_path", "business_name", "postal_code", "created_at")
     ranks = bounded_broadcast(table(spark, folder, "source_catalogs", "catalog", "trust_rank").dropDuplicates(["catalog"]), MAX_CATALOGS)
-    rows = seeds.join(groups, "id").withColumn("catalog", F.split("source_path", "/")[0]).join(ranks, "catalog", "left")
-    rows = rows.withColumn("rank", F.coalesce("trust_rank", F.lit(UNRANKED))).withColumn("name", single_blanks("business_name"))
-    rows = cut(rows.select("id", "site_id", "group", "rank", "created_at", "business_name", "name", "postal_code"))
-    real = rows.where(F.col("name").isNotNull() & ~F.lower("name").rlike(NO_NAME))
-    scored = cut(consensus(real.select("group", F.col("name").alias("value"), (1 / (F.lit(1.0) + F.col("rank"))).alias("w"))))
+    codes = bounded_broadcast(table(spark, folder, "zipcodes", F.col("zipcode").alias("code")).distinct().withColumn("listed", F.lit(True)), MAX_ZIPCODES)
+    rows = seeds.join(groups.join(sizes.select("group"), "group", "left_semi").select("id", "group"), "id").withColumn("catalog", F.split("source_path", "/")[0]).join(ranks, "catalog", "left")
+    rows = rows.withColumn("rank", F.coalesce("trust_rank", F.lit(UNRANKED))).withColumn("name", single_blanks("business_name")).withColumn("code", postcode(F.col("postal_code"))).join(codes, "code", "left")
+    trust = F.struct(F.col("rank"), -F.unix_micros(F.col("created_at").cast("timestamp")), F.col("id"))
+    rows = cut(rows.select("group", "rank", trust.alias("trust"), "business_name", "name", "code", "listed"))
     spoilt = damaged_values(rows.select("business_name"), "business_name").where("bad").select(F.col("value").alias("business_name"), F.lit(True).alias("spoilt"))
-    rows = rows.join(spoilt, "business_name", "left").join(scored.select("group", F.col("value").alias("name"), "cut_short"), ["group", "name"], "left")
-    return rows, scored
+    named = rows.where(F.col("name").isNotNull() & ~F.lower("name").rlike(NO_NAME)).join(spoilt, "business_name", "left")
+    weight = (1 / (F.lit(1.0) + F.col("rank"))).alias("w")
+    whole = F.col("spoilt").isNull() & ~F.col("name").rlike(r"(?:\u2026|\.\.\.)$")
+    names = named.select(F.concat(F.lit("n|"), "group").alias("group"), F.col("name").alias("value"), name_form(F.col("name")).alias("form"), weight, "trust", whole.alias("whole"))
+    listed = rows.where("listed").select(F.concat(F.lit("p|"), "group").alias("group"), F.col("code").alias("value"), code_form(F.col("code")).alias("form"), weight, "trust", F.lit(True).alias("whole"))
+    return sizes, cut(consensus(names.unionByName(listed)))
+
+
+def _field(values: DataFrame, mark: str, name: str) -> DataFrame:
+    return values.where(F.col("group").startswith(mark)).select(F.substring("group", 3, 1_000_000).alias("group"), F.col("value").alias(name))
 
 
 @query
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """The surviving record of every establishment that two or more seed rows describe.
 
-    The consensus of the group tells which names are cut short; among the
-    undamaged values of each field the most trusted catalogue, then the latest
-    row decides, as the problem demands.
+    Both fields are the existing value closest to the group's consensus by
+    trust, in which a row outweighs all rows of less trusted catalogues and
+    all earlier ones of its own.
     """
-    rows, _ = _survivors(spark, folder)
-    codes = bounded_broadcast(table(spark, folder, "zipcodes", F.col("zipcode").alias("code")).distinct().withColumn("listed", F.lit(True)), MAX_ZIPCODES)
-    rows = rows.withColumn("code", postcode(F.col("postal_code"))).join(codes, "code", "left")
-    order = F.struct(F.col("rank"), -F.unix_micros(F.col("created_at").cast("timestamp")), F.col("id"))
-    whole = F.col("name").isNotNull() & ~F.lower("name").rlike(NO_NAME) & F.col("spoilt").isNull() & ~F.coalesce("cut_short", F.lit(False)) & ~F.col("name").rlike(r"(?:\u2026|\.\.\.)$")
-    return (
-        rows.groupBy("group").agg(
-            F.min("id").alias("first_seed_id"), F.min("site_id").alias("site_id"), F.count("*").alias("n"),
-            F.min_by("code", F.when(F.col("listed"), order)).alias("postal_code"),
-            F.min_by("name", F.when(whole, order)).alias("business_name"),
-        )
-        .where("n >= 2").select("first_seed_id", "site_id", "postal_code", "business_name")
-    )
+    sizes, scored = _survivors(spark, folder)
+    best = closest_value(scored, "trusted")
+    out = sizes.join(_field(best, "p|", "postal_code"), "group", "left").join(_field(best, "n|", "business_name"), "group", "left")
+    return out.select("first_seed_id", "site_id", "postal_code", "business_name")
 
 
 @query
 def p1_consensus(spark: SparkSession, folder: str) -> DataFrame:
-    """The existing name closest to each group's consensus, whatever its source."""
-    rows, scored = _survivors(spark, folder)
-    size = rows.groupBy("group").agg(F.min("id").alias("first_seed_id"), F.count("*").alias("n_rows"))
-    return size.join(closest_value(scored), "group").select("first_seed_id", "n_rows", F.col("value").alias("business_name"))
+    """The existing name closest to each group's consensus by evidence."""
+    sizes, scored = _survivors(spark, folder)
+    return sizes.join(_field(closest_value(scored), "n|", "business_name"), "group").select("first_seed_id", F.col("n").alias("n_rows"), "business_name")
 
 
 #: A web host that more firms than this name is a portal and tells nothing about one of them.

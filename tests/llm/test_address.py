@@ -54,9 +54,16 @@ def test_codes(spark):
 
 
 def test_parts(spark):
-    df = spark.createDataFrame([("Weberhofg.72",), ("Gärtner Straße 43 b",), ("33 a Müllerpl.",)], "s string")
+    lines = ["Weberhofg.72", "Gärtner Straße 43 b", "33 a Müllerpl.", "Straße des 17. Juni 135", "Hauptstr. 7-9", "Hauptstr. 9/7", "Hauptstraße 007", "Alte Gasse 123456", "Am Ring 5, 3. OG", "Ring 4 4"]
+    df = spark.createDataFrame([(x,) for x in lines], "s string")
     got = [(r._street, r._number) for r in parse_address(df, "s", None, None).collect()]
-    assert got == [("weberhofgasse", "72"), ("gartnerstrasse", "43b"), ("mullerplatz", "33a")]
+    assert got == [
+        ("weberhofgasse", "72"), ("gartnerstrasse", "43b"), ("mullerplatz", "33a"), ("strassedesjuni", "135|17"), ("hauptstrasse", "7|9"), ("hauptstrasse", "7|9"), ("hauptstrasse", "7"),
+        ("altegasse", "123456"), ("amring", "5"), ("ring", "4"),
+    ]
+    # A postal code that stands in the line too is no number of a house.
+    df = spark.createDataFrame([("Hauptstr. 5, 01234", "D-01234")], "s string, z string")
+    assert parse_address(df, "s", "z", None).first()["_number"] == "5"
 
 
 def test_names_of_a_block_are_compared_whatever_their_frequency(spark):

@@ -1,23 +1,50 @@
 from sigmill.llm.linkage import MISSING, START, firm_level, firm_words, fit_levels, posterior, score_pairs
-from sigmill.llm.survivor import align, closest_value, consensus, establishments, fold_tokens
+from pyspark.sql import functions as F
+
+from sigmill.llm.survivor import align, closest_value, code_form, consensus, establishments, name_form
+
+RECORD = "group string, value string, rank int, time long, whole boolean"
+
+
+def scored(spark, rows, form=name_form):
+    df = spark.createDataFrame(rows, RECORD).repartition(4)
+    return consensus(df.select("group", "value", form(F.col("value")).alias("form"), (1 / (F.lit(1.0) + F.col("rank"))).alias("w"), F.struct("rank", -F.col("time")).alias("trust"), "whole"))
 
 
 def test_alignment_and_consensus(spark):
     assert align(["a", "b", "c"], ["a", "c"]) == [(0, 0), (1, -1), (2, 1)]
     assert align([], ["x"]) == [(-1, 0)] and align([], []) == []
-    rows = [("g", v, 1.0) for v in ("Holzbau Müller GmbH", "Holzbau Müller GmbH", "Holzbau Mueler GmbH", "Holzbau Mül", "Firma Holzbau Müller", "", None)] + [("h", "Solo", 0.5), ("h", "Solo", 0.5)]
-    s = consensus(spark.createDataFrame(rows, "group string, value string, w double").repartition(4))
+    rows = [("g", v, 1, 0, True) for v in ("Holzbau Müller GmbH", "Holzbau Müller GmbH", "Holzbau Mueler GmbH", "Holzbau Mül", "Firma Holzbau Müller", "", None)] + [("h", "Solo", 2, 0, True), ("h", "Solo", 3, 0, True)]
+    s = scored(spark, rows)
     best = {r.group: r.value for r in closest_value(s).collect()}
     assert best == {"g": "Holzbau Müller GmbH", "h": "Solo"}
     marks = {r.value: r.cut_short for r in s.collect()}
     assert marks["Holzbau Mül"] and not marks["Holzbau Müller GmbH"] and not marks["Firma Holzbau Müller"]
-    assert consensus(spark.createDataFrame([], "group string, value string, w double")).count() == 0
+    assert consensus(spark.createDataFrame([], "group string, value string, form string, w double, trust struct<a:int>, whole boolean")).count() == 0
+
+
+def test_trust_outweighs_numbers_but_not_damage(spark):
+    many = [("g", "Bau Schmidt GmbH", 5, t, True) for t in range(300)]
+    rows = many + [("g", "Bau Schmitt", 2, 1, True), ("g", "Bau Schmitt OHG", 2, 7, True), ("g", "Bau Schm", 1, 0, True), ("g", "Bau Sch?midt", 0, 9, False)]
+    rows += [("all damaged", "Ma?er", 1, 1, False), ("all damaged", "M?ller", 2, 1, False)]
+    rows += [("spellings", "MALER KURZ", 3, 1, True), ("spellings", "Maler  Kurz", 1, 1, True), ("spellings", "maler-kurz", 1, 2, True)]
+    s = scored(spark, rows)
+    assert {r.group: r.value for r in closest_value(s, "trusted").collect()} == {"g": "Bau Schmitt OHG", "spellings": "maler-kurz"}
+    assert {r.group: r.value for r in closest_value(s).collect()}["g"] == "Bau Schmidt GmbH"
+
+
+def test_codes_and_long_insertions(spark):
+    rows = [("p", "01234", 3, 1, True), ("p", "01234", 3, 2, True), ("p", "98765", 1, 1, True)]
+    assert [r.value for r in closest_value(scored(spark, rows, code_form), "trusted").collect()] == ["98765"]
+    # More than a hundred tokens inserted at one place keep columns of their own.
+    tail = " ".join(f"wort{i}" for i in range(150))
+    rows = [("g", "Bau Kurz", 1, 1, True)] * 3 + [("g", f"Bau {tail} Kurz", 1, 1, True)] * 2
+    s = {r.value: r.closeness for r in scored(spark, rows).collect()}
+    assert s["Bau Kurz"] == 1.0 and s[f"Bau {tail} Kurz"] < 0.1
 
 
 def test_tokens_without_letters(spark):
-    assert fold_tokens("!!! ???") == []
-    s = consensus(spark.createDataFrame([("g", "!!!", 1.0), ("g", "###", 1.0), ("g", "y" * 20_000, 1.0)], "group string, value string, w double"))
-    assert s.count() == 3
+    assert scored(spark, [("g", "!!!", 1, 1, True), ("g", "###", 1, 1, True), ("g", "y" * 20_000, 1, 1, True)]).count() == 1
 
 
 def test_establishments(spark):
