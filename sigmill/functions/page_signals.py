@@ -15,8 +15,9 @@ from . import page_tables as T
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 SCHEMA = "signal_path string, present boolean, url string, confidence int, value string"
-PHONE = re.compile(r"(?<![\w.])(?:\+49|0049|0)[\d\s()/.-]{6,18}\d")
-EMAIL = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
+#: What counts as a German telephone number and as an e-mail address.
+PHONE = re.compile(r"(?:(?:\+49|0049)[\s\-/.]?\d[\s\-/.]?(?:\d[\s\-/.]?){6,13}|0\d[\s\-/.]?(?:\d[\s\-/.]?){5,12})", re.A)
+EMAIL = re.compile(r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}")
 YEAR = re.compile(r"(?:©|\(c\)|copyright)\s*(?:\d{4}\s*[-–—]\s*)?(\d{4})", re.I)
 HOURS = re.compile(r"(?:öffnungszeiten|opening\s+hours|business\s+hours|horaires)[^\n]{0,60}\n([^\n]{5,120})", re.I)
 
@@ -35,7 +36,7 @@ class Page(HTMLParser):
         self.lang = self.description = self.canonical = None
         self.stack: list[tuple[str, bool]] = []
         self.script: list[str] | None = None
-        self.has_body = "<body" in html[:200_000].lower()
+        self.has_body = re.search(r"<body[\s/>]", html, re.I) is not None
         self.feed(html)
         self.close()
 
@@ -187,7 +188,7 @@ def signals(html: str | None, base: str | None, as_of_year: int) -> list[tuple]:
     seen = lambda rx: any(re.search(rx, t, re.I) for _, t in p.buttons)
     quality = "none" if not p.banner else "granular_with_revoke" if p.toggles >= 2 and re.search(T.REVOKE, body, re.I) else "reject_equal_prominence" if seen(T.REJECT) else "accept_only" if seen(T.ACCEPT) or seen(T.SETTINGS) else "informational_only"
     add("privacy.consent.banner.present", p.banner, None, 80, quality)
-    phones = list(dict.fromkeys(re.sub(r"^0(?!0)", "+49", re.sub(r"^0049", "+49", re.sub(r"[\s\-/.()]", "", x))) for x in PHONE.findall(body)))
+    phones = list(dict.fromkeys(re.sub(r"^0", "+49", re.sub(r"^0049", "+49", re.sub(r"[\s\-/.]", "", x))) for x in PHONE.findall(body)))
     mails = list(dict.fromkeys(x.lower() for x in EMAIL.findall(body)))
     for path, v in (("contact.phones", phones), ("contact.emails", mails)):
         add(path, v, None, None, ";".join(v) or None)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .strings import trim_all
+
 #: A rule gives (score, whether the value can't be judged).
 Rule = Callable[[Column, dict], tuple[Column, Column]]
 
@@ -61,7 +63,7 @@ RULES: dict[str, Rule] = {"bool": bool_rule, "presence": presence_rule, "countCl
 
 def is_missing(v: Column, rule: str) -> Column:
     """Null or blank; never for presence, which judges blanks itself."""
-    return F.lit(False) if rule == "presence" else v.isNull() | (F.trim(_text(v)) == "")
+    return F.lit(False) if rule == "presence" else v.isNull() | (trim_all(_text(v)) == "")
 
 
 def missing_policy(policy: dict, status: Column) -> tuple[Column, Column, Column]:

@@ -42,9 +42,9 @@ def normalise_page_url(c) -> Column:
 
 
 def normalise_phone(c) -> Column:
-    """Digits and a leading plus; "(0)" and blanks dropped, 00 written as plus."""
-    t = F.regexp_replace(F.regexp_replace(_c(c), r"\(0\)", ""), r"[^\d+]", "")
-    return F.when(t != "", F.regexp_replace(t, r"^00", "+"))
+    """Without blanks, hyphens, slashes and dots; a leading 0049 or 0 becomes +49. Other signs stay."""
+    t = F.regexp_replace(_c(c), r"[\s\u00a0\-/.]", "")
+    return F.regexp_replace(F.regexp_replace(t, r"^0049", "+49"), r"^0", "+49")
 
 
 def match_text(c) -> Column:
@@ -53,9 +53,9 @@ def match_text(c) -> Column:
 
 
 def place_key(c) -> Column:
-    """Town name for lookups: lower case, brackets and what follows a comma or slash dropped, single blanks."""
-    t = F.regexp_replace(F.lower(_c(c)), r"\([^)]*\)|[,/].*$", " ")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    """Town name for lookups: lower case, without what follows a hyphen, slash, bracket or "OT", without dots and commas."""
+    t = F.regexp_replace(F.lower(_c(c)), r"\s*[-/(].*$", "")
+    return trim_all(F.regexp_replace(F.regexp_replace(t, r"(?<![A-Za-z0-9_])ot\s+.*$", ""), r"[.,]", ""))
 
 
 def slug(c) -> Column:
@@ -90,8 +90,9 @@ def asset_id(c) -> Column:
     return stable_id("da-", "observatory:asset:", F.lower(trim_all(c)), 32)
 
 
-def public_id(c, salt: str) -> Column:
-    return stable_id("pub_", salt + ":", c, 16)
+def public_id(asset: Column, salt: str) -> Column:
+    """pub_ and 16 hex digits of the asset's id with the salt of the day."""
+    return stable_id("pub_", f"public:{salt}:", asset, 16)
 
 
 def computation_hash(version: Column, ids: Column) -> Column:
@@ -121,16 +122,32 @@ def iso_of_epoch(c) -> Column:
     return F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def error_class(message, status) -> Column:
-    """Class of a failed request by its message, else by its status; null for none."""
-    m, s = F.upper(_c(message)), _c(status)
-    return (
-        F.when(m.contains("ENOTFOUND") | m.contains("EAI_AGAIN"), "DNS")
-        .when(m.contains("TIMEOUT") | m.contains("TIMEDOUT"), "TIMEOUT")
-        .when(m.contains("CERT") | m.contains("SSL") | m.contains("TLS"), "TLS")
-        .when(m.contains("ECONNREFUSED") | m.contains("ECONNRESET"), "CONNECTION")
-        .when(s >= 500, "HTTP_5XX").when(s >= 400, "HTTP_4XX")
-    )
+#: Parts of a network error's message (upper case) and the class they tell, first match wins.
+ERROR_PARTS = (
+    (("ENOTFOUND", "DNS"), "ENOTFOUND"), (("ECONNREFUSED",), "ECONNREFUSED"), (("ETIMEDOUT", "CONNECT TIMED OUT"), "ETIMEDOUT"),
+    (("SSL", "TLS", "CERTIFICATE", "CERT_", "ERR_CERT"), "SSL_ERROR"), (("REDIRECT",), "REDIRECT_LOOP"),
+)
+#: Codes of network errors and their classes.
+ERROR_CODES = {"ERR_OPERATION_ABORTED": "TIMEOUT", "ENOTFOUND": "ENOTFOUND", "EAI_AGAIN": "ENOTFOUND", "ECONNREFUSED": "ECONNREFUSED", "ETIMEDOUT": "ETIMEDOUT", "ESOCKETTIMEDOUT": "ETIMEDOUT"}
+
+
+def is_live(status) -> Column:
+    """A response under 500 is a living site, client errors included; no response is none."""
+    return F.coalesce(_c(status) < 500, F.lit(False))
+
+
+def error_class(message, status, code=None) -> Column:
+    """Class of a failed request: null for a living site, HTTP_5XX for its answer, else by the error's code, then by its message."""
+    m, code = _c(message), F.lit(None).cast("string") if code is None else _c(code)
+    out = F.when(is_live(status), F.lit(None).cast("string")).when(_c(status).isNotNull(), "HTTP_5XX").when(m.contains("abort") | m.contains("AbortError"), "TIMEOUT")
+    for k, name in ERROR_CODES.items():
+        out = out.when(code == k, name)
+    for parts, name in ERROR_PARTS:
+        hit = F.lit(False)
+        for p in parts:
+            hit = hit | F.upper(m).contains(p)
+        out = out.when(hit, name)
+    return out.otherwise("UNKNOWN")
 
 
 def strip_json_fence(c) -> Column:

@@ -58,13 +58,15 @@ def _judged(ind: dict, df: DataFrame, status: str | None) -> tuple[Column, Colum
 
 def traces(df: DataFrame, book: dict, entity: str, keep: tuple[str, ...] = (), status: str | None = None) -> DataFrame:
     """One row per entity and indicator: raw value, rule, score, counted weight, confidence, note."""
-    rows = []
+    # Judged in one projection, gathered in the next: generated code stays small.
+    judged = []
     for d in book["dimensions"]:
         for i in d["indicators"]:
             s, c, w, n = _judged(i, df, status)
             raw = F.col(f"`{i['inputKey']}`").cast("string") if i["inputKey"] in df.columns else F.lit(None).cast("string")
-            rows.append(F.struct(F.lit(d["id"]).alias("dimension"), F.lit(i["id"]).alias("indicator"), raw.alias("raw"), F.lit(i["rule"]["type"]).alias("rule"), s.alias("score"), w.alias("weight"), c.alias("confidence"), n.alias("note")))
-    return df.select(entity, *keep, F.explode(F.array(*rows)).alias("t")).select(entity, *keep, "t.*")
+            judged.append(F.struct(F.lit(d["id"]).alias("dimension"), F.lit(i["id"]).alias("indicator"), raw.alias("raw"), F.lit(i["rule"]["type"]).alias("rule"), s.alias("score"), w.alias("weight"), c.alias("confidence"), n.alias("note")).alias(f"_j{len(judged)}"))
+    wide = df.select(entity, *keep, *judged)
+    return wide.select(entity, *keep, F.explode(F.array(*[f"_j{k}" for k in range(len(judged))])).alias("t")).select(entity, *keep, "t.*")
 
 
 def scores(df: DataFrame, book: dict, entity: str, keep: tuple[str, ...] = (), status: str | None = None) -> DataFrame:

@@ -58,29 +58,29 @@ def k_report(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
 def period_series(df: DataFrame, key: str, period: str, value: str, k: int = 5) -> DataFrame:
     """One row per key and period of the full grid: n, p75, the previous period's, the change, why it is withheld, how reliable it is.
 
-    Reasons: no_previous_period (first period), category_absent_current,
-    category_absent_previous, small_n_current, small_n_previous (under ``k``),
-    delta_below_absolute (3 points), delta_below_relative (3 % of the previous).
+    Reasons: category_absent_current or no_previous_period (nothing to compare
+    with) alone; else current_sample_below_k, previous_sample_below_k,
+    delta_below_absolute_threshold (3 points), delta_below_relative_threshold
+    (3 % of the previous, which counts as 1 at least).
     """
-    per = df.groupBy(key, period).agg(F.count("*").alias("n"), js_round(F.percentile(value, F.lit(0.75)), 1).alias("p75"))
+    per = df.groupBy(key, period).agg(F.count("*").alias("n"), js_round(F.round(F.percentile(value, F.lit(0.75)), 9), 1).alias("p75"))
     known = [r[0] for r in per.select(period).where(F.col(period).isNotNull()).distinct().limit(MAX_PERIODS + 1).collect()]
     if len(known) > MAX_PERIODS:
         raise ValueError(f"more than {MAX_PERIODS} periods")
     every = F.array(*[F.lit(x) for x in sorted(known)]) if known else F.array().cast("array<string>")
     grid = per.select(key).distinct().select(key, F.explode(every).alias(period))  # the complete universe of keys and periods
     w = Window.partitionBy(key).orderBy(period)
-    full = grid.join(per, [key, period], "left").select("*", F.row_number().over(w).alias("_i"), F.lag("n").over(w).alias("prev_n"), F.lag("p75").over(w).alias("prev_p75"))
+    full = grid.join(per, [key, period], "left").select("*", F.lag("n").over(w).alias("prev_n"), F.lag("p75").over(w).alias("prev_p75"))
     delta = js_round(F.col("p75") - F.col("prev_p75"), 1)
     full = full.withColumn("delta", delta)
-    first = F.col("_i") == 1
     size = F.abs("delta")
+    compared = F.col("n").isNotNull() & F.col("prev_n").isNotNull()
     reasons = F.array_compact(F.array(
-        F.when(first, "no_previous_period"),
         F.when(F.col("n").isNull(), "category_absent_current"),
-        F.when(~first & F.col("prev_n").isNull(), "category_absent_previous"),
-        F.when(F.col("n") < k, "small_n_current"), F.when(F.col("prev_n") < k, "small_n_previous"),
-        F.when(size < 3, "delta_below_absolute"), F.when(size < 0.03 * F.greatest(F.abs("prev_p75"), F.lit(1.0)), "delta_below_relative"),
+        F.when(F.col("n").isNotNull() & F.col("prev_n").isNull(), "no_previous_period"),
+        F.when(compared & (F.col("n") < k), "current_sample_below_k"), F.when(compared & (F.col("prev_n") < k), "previous_sample_below_k"),
+        F.when(size < 3, "delta_below_absolute_threshold"), F.when(size / F.greatest(F.abs("prev_p75"), F.lit(1.0)) < 0.03, "delta_below_relative_threshold"),
     ))
     full = full.withColumn("reasons", F.array_join(reasons, ";"))
-    reliability = F.when(F.col("reasons") != "", "suppressed").when((F.col("n") < 30) | (size < 3), "caution").otherwise("reliable")
+    reliability = F.when(F.col("reasons") != "", "suppressed").when((F.col("n") < 30) | (F.col("prev_n") < 30) | (size < 3), "caution").otherwise("reliable")
     return full.select(key, period, "n", "p75", "prev_p75", "delta", "reasons", reliability.alias("reliability"))

@@ -12,6 +12,7 @@ from ..operators import observations as O
 from ..operators import upserts as U
 from ..operators.codebook import traces
 from ..operators.history import fold_label
+from ..operators.resolution import contained_term
 from ..sources.tables import bounded_broadcast, table
 from .scoring_queries import _SIG, _SUM, BOOK, MAX_LIST, _r, site_signals
 
@@ -35,9 +36,9 @@ def asset_id(spark, d):
     return table(spark, d, "sites", "id", "domain").select("id", S.asset_id("domain").alias("asset_id"))
 
 
-@q("SELECT id, 'pub_' || substr(sha256('salt:' || domain), 1, 16) AS public_id FROM sites")
+@q("SELECT id, 'pub_' || substr(sha256('public:salt:da-' || substr(sha256('observatory:asset:' || lower(trim(domain))), 1, 32)), 1, 16) AS public_id FROM sites")
 def public_asset_id(spark, d):
-    return table(spark, d, "sites", "id", "domain").select("id", S.public_id("domain", "salt").alias("public_id"))
+    return table(spark, d, "sites", "id", "domain").select("id", S.public_id(S.asset_id("domain"), "salt").alias("public_id"))
 
 
 @q("SELECT run_id, min(substr(sha256(run_id), 1, 6)) AS sha6, count(*) AS n FROM asset_states GROUP BY 1")
@@ -65,12 +66,12 @@ def url_normalize(spark, d):
     return table(spark, d, "site_source_seeds", "id", "website_url").where(F.col("website_url").contains("://")).select("id", S.normalise_page_url("website_url").alias("url"))
 
 
-@q("SELECT id, nullif(regexp_replace(regexp_replace(replace(phone, '(0)', ''), '[^0-9+]', '', 'g'), '^00', '+'), '') AS phone FROM site_source_seeds WHERE phone IS NOT NULL")
+@q("WITH p AS (SELECT id, translate(phone, ' -/.' || chr(9) || chr(10) || chr(13) || chr(160), '') AS p FROM site_source_seeds WHERE phone IS NOT NULL) SELECT id, CASE WHEN p LIKE '0049%' THEN '+49' || substr(p, 5) WHEN p LIKE '0%' THEN '+49' || substr(p, 2) ELSE p END AS phone FROM p")
 def phone_normalize(spark, d):
     return table(spark, d, "site_source_seeds", "id", "phone").where("phone is not null").select("id", S.normalise_phone("phone").alias("phone"))
 
 
-@q("SELECT id, trim(regexp_replace(regexp_replace(lower(gemeinde), '\\([^)]*\\)|[,/].*$', ' ', 'g'), '\\s+', ' ', 'g')) AS place FROM sites WHERE gemeinde IS NOT NULL")
+@q("SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(lower(gemeinde), '\\s*[-/(].*$', ''), '(^|[^a-z0-9_])ot\\s+.*$', '\\1'), '[.,]', '', 'g')) AS place FROM sites WHERE gemeinde IS NOT NULL")
 def place_normalize(spark, d):
     return table(spark, d, "sites", "id", "gemeinde").where("gemeinde is not null").select("id", S.place_key("gemeinde").alias("place"))
 
@@ -122,12 +123,15 @@ def json_fence_strip(spark, d):
     return t.select("id", inner["pos"].alias("pos"), inner["kat"].alias("kat"))
 
 
-@q("""SELECT event_id, CASE WHEN event_type = 'error' AND value > 50 THEN 'TIMEOUT' WHEN event_type = 'error' THEN 'HTTP_5XX' WHEN event_type = 'view' THEN 'HTTP_4XX' END AS class FROM events""")
+@q("""SELECT event_id, CASE WHEN event_type <> 'error' THEN NULL WHEN event_id % 7 = 0 THEN 'HTTP_5XX' WHEN event_id % 7 = 1 THEN 'ENOTFOUND' WHEN event_id % 7 = 2 THEN 'ECONNREFUSED' WHEN event_id % 7 = 3 THEN 'ETIMEDOUT'
+WHEN event_id % 7 = 4 THEN 'SSL_ERROR' WHEN event_id % 7 = 5 THEN 'REDIRECT_LOOP' ELSE 'UNKNOWN' END AS class, event_type <> 'error' AS live FROM events""")
 def error_taxonomy(spark, d):
-    t = table(spark, d, "events", "event_id", "event_type", "value")
-    msg = F.when((F.col("event_type") == "error") & (F.col("value") > 50), "connect ETIMEDOUT")
-    status = F.when(F.col("event_type") == "error", 503).when(F.col("event_type") == "view", 404).otherwise(200)
-    return t.select("event_id", S.error_class(msg, status).alias("class"))
+    """Failed requests get a message or a 5xx answer in turn; views answer 404, which is a living site."""
+    t = table(spark, d, "events", "event_id", "event_type")
+    failed, turn = F.col("event_type") == "error", F.col("event_id") % 7
+    said = F.element_at(F.array(*[F.lit(x) for x in ("", "getaddrinfo ENOTFOUND x.example", "connect ECONNREFUSED 1.2.3.4:443", "connect timed out", "self-signed certificate", "too many redirects", "socket hang up")]), (turn + 1).cast("int"))
+    status = F.when(failed & (turn == 0), 503).when(failed, F.lit(None).cast("int")).when(F.col("event_type") == "view", 404).otherwise(200)
+    return t.select("event_id", S.error_class(F.when(failed, said), status).alias("class"), S.is_live(status).alias("live"))
 
 
 @q("""SELECT doc_id, try_cast(nullif(regexp_extract(text, '©\\s*(\\d{4})', 1), '') AS INTEGER) AS year, length(text) - length(replace(text, '@', '')) AS at_signs, len(regexp_extract_all(text, '[\\w.+-]+@[\\w-]+\\.[\\w.-]+')) AS emails FROM documents""")
@@ -188,9 +192,16 @@ def lww_resolve(spark, d):
     return _lww(spark, d).where("won").select("asset_id", "period", "gewerk_group", "bundesland")
 
 
-@q(f"SELECT asset_id, period, recorded_at FROM (SELECT *, {_LWW} AS rn FROM asset_states) WHERE rn > 1")
+_ARRIVAL = "PARTITION BY asset_id, period ORDER BY valid_from, recorded_at, run_id, gewerk_group NULLS FIRST, bundesland NULLS FIRST"
+
+
+@q(f"""WITH r AS (SELECT *, {_LWW} AS rn FROM asset_states), c AS (SELECT asset_id, period, recorded_at, rn, arg_min(recorded_at, rn) OVER w AS w_at, min(rn) OVER w AS w_rn FROM r WINDOW w AS ({_ARRIVAL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT asset_id, period, CASE WHEN rn < w_rn THEN recorded_at ELSE w_at END AS winner_recorded_at, CASE WHEN rn < w_rn THEN w_at ELSE recorded_at END AS loser_recorded_at FROM c WHERE w_rn IS NOT NULL""")
 def lww_conflicts(spark, d):
-    return _lww(spark, d).where("not won").select("asset_id", "period", "recorded_at")
+    """Every conflict in order of arrival: who was the winner then, and who lost."""
+    t = table(spark, d, "asset_states", "asset_id", "period", "recorded_at", "run_id", "gewerk_group", "bundesland", "valid_from")
+    arrival = [F.col("valid_from"), F.col("recorded_at"), F.col("run_id"), F.col("gewerk_group").asc_nulls_first(), F.col("bundesland").asc_nulls_first()]
+    return O.conflicts(t, ["asset_id", "period"], arrival, [F.col(c).desc_nulls_last() for c in ("recorded_at", "run_id", "gewerk_group", "bundesland")], ["recorded_at"])
 
 
 _SCD = "WITH s AS (SELECT DISTINCT asset_id, valid_from FROM asset_states), v AS (SELECT asset_id, valid_from, lead(valid_from) OVER (PARTITION BY asset_id ORDER BY valid_from) AS valid_to FROM s) "
@@ -252,8 +263,8 @@ _ONTO = [("event.click", "num", False), ("event.view", "num", True), ("event.pur
 
 @q("""WITH o(p,t,dep) AS (VALUES ('event.click','num',false),('event.view','num',true),('event.purchase','bool',false),('event.signup','num',false)),
 e AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'Bad Path' ELSE 'event.' || event_type END AS sp, CASE WHEN event_id % 7 <> 0 THEN value END AS n, CASE WHEN event_id % 5 = 0 THEN props END AS j FROM events)
-SELECT event_id, concat_ws(';', CASE WHEN sp = 'Bad Path' THEN 'invalid_path_format' END, CASE WHEN p IS NULL AND sp <> 'Bad Path' THEN 'unknown_signal' END, CASE WHEN dep THEN 'deprecated_signal' END,
-CASE WHEN t <> 'num' THEN 'value_type_mismatch' END, CASE WHEN n IS NULL AND j IS NULL THEN 'no_value_populated' END, CASE WHEN n IS NOT NULL AND j IS NOT NULL THEN 'multiple_values_populated' END) AS issues FROM e LEFT JOIN o ON p = sp""")
+SELECT event_id, concat_ws(';', CASE WHEN sp = 'Bad Path' THEN 'invalid_path_format' END, CASE WHEN p IS NULL THEN 'unknown_signal' END, CASE WHEN dep THEN 'deprecated_signal' END,
+CASE WHEN t <> 'num' THEN 'value_type_mismatch' END, CASE WHEN p IS NOT NULL AND n IS NULL AND j IS NULL THEN 'no_value_populated' END, CASE WHEN p IS NOT NULL AND n IS NOT NULL AND j IS NOT NULL THEN 'multiple_values_populated' END) AS issues FROM e LEFT JOIN o ON p = sp""")
 def validate_observations(spark, d):
     e = table(spark, d, "events", "event_id", "event_type", "value", "props").select(
         "event_id", F.when(F.col("event_id") % 11 == 0, "Bad Path").otherwise(F.concat(F.lit("event."), "event_type")).alias("signal_path"), F.lit("num").alias("value_type"),
@@ -263,10 +274,12 @@ def validate_observations(spark, d):
     return O.issues(e, F.broadcast(onto)).select("event_id", F.array_join("issues", ";").alias("issues"))
 
 
-@q("SELECT hwo_uid FROM (SELECT DISTINCT hwo_uid FROM sites WHERE hwo_uid IS NOT NULL) EXCEPT SELECT hwo_uid FROM gewerke WHERE hwo_uid <= 'gw-20'")
+@q("SELECT hwo_uid, NOT used AS unused, NOT listed AS unknown FROM (SELECT coalesce(s.hwo_uid, g.hwo_uid) AS hwo_uid, s.hwo_uid IS NOT NULL AS used, g.hwo_uid IS NOT NULL AS listed FROM (SELECT DISTINCT hwo_uid FROM asset_states WHERE hwo_uid IS NOT NULL) s FULL JOIN gewerke g ON g.hwo_uid = s.hwo_uid)")
 def codebook_cross_check(spark, d):
-    used = table(spark, d, "sites", "hwo_uid").where("hwo_uid is not null").distinct()
-    return used.join(table(spark, d, "gewerke", "hwo_uid").where("hwo_uid <= 'gw-20'"), "hwo_uid", "left_anti")
+    """Both sides of the check: trades in use beside the list, listed ones that nothing uses, used ones that aren't listed."""
+    used = table(spark, d, "asset_states", "hwo_uid").where("hwo_uid is not null").distinct().withColumn("_u", F.lit(True))
+    listed = table(spark, d, "gewerke", "hwo_uid").withColumn("_l", F.lit(True))
+    return used.join(listed, "hwo_uid", "full").select("hwo_uid", F.col("_u").isNull().alias("unused"), F.col("_l").isNull().alias("unknown"))
 
 
 # ---- cohorts, privacy, bands ----------------------------------------------
@@ -335,18 +348,20 @@ def remediation_report(spark, d):
 
 
 # ---- period series ----------------------------------------------------------
-_TREND = f"""WITH {_JS}, p AS (SELECT coalesce(gewerk_group,'unclassified') AS grp, year(scored_at)::VARCHAR || '-q' || quarter(scored_at)::VARCHAR AS period, overall_score AS x FROM js),
-a AS (SELECT grp, period, count(*) AS n, {_r('quantile_cont(x, 0.75)', 1)} AS p75 FROM p WHERE NOT (grp = 'Kfz' AND period = '2025-q1') GROUP BY 1,2),
+_TREND = f"""WITH {_JS}, p AS (SELECT coalesce(gewerk_group,'unclassified') || '|' || coalesce(bundesland,'-') AS grp, year(scored_at)::VARCHAR || '-q' || quarter(scored_at)::VARCHAR AS period, overall_score AS x FROM js),
+a AS (SELECT grp, period, count(*) AS n, {_r('round(quantile_cont(x, 0.75), 9)', 1)} AS p75 FROM p GROUP BY 1,2),
 g AS (SELECT * FROM (SELECT DISTINCT grp FROM a) CROSS JOIN (SELECT DISTINCT period FROM a)),
 f AS (SELECT g.grp, g.period, n, p75, row_number() OVER w AS i, lag(n) OVER w AS pn, lag(p75) OVER w AS prev_p75 FROM g LEFT JOIN a ON a.grp = g.grp AND a.period = g.period WINDOW w AS (PARTITION BY g.grp ORDER BY g.period)),
 t AS (SELECT *, floor((p75 - prev_p75)*10+0.5)/10 AS delta FROM f),
-r AS (SELECT *, concat_ws(';', CASE WHEN i = 1 THEN 'no_previous_period' END, CASE WHEN n IS NULL THEN 'category_absent_current' END, CASE WHEN i > 1 AND pn IS NULL THEN 'category_absent_previous' END,
-  CASE WHEN n < 120 THEN 'small_n_current' END, CASE WHEN pn < 120 THEN 'small_n_previous' END, CASE WHEN abs(delta) < 3 THEN 'delta_below_absolute' END, CASE WHEN abs(delta) < 0.03*greatest(abs(prev_p75),1.0) THEN 'delta_below_relative' END) AS reasons FROM t) """
+r AS (SELECT *, concat_ws(';', CASE WHEN n IS NULL THEN 'category_absent_current' WHEN pn IS NULL THEN 'no_previous_period' END,
+  CASE WHEN n < 5 AND pn IS NOT NULL THEN 'current_sample_below_k' END, CASE WHEN pn < 5 AND n IS NOT NULL THEN 'previous_sample_below_k' END,
+  CASE WHEN abs(delta) < 3 THEN 'delta_below_absolute_threshold' END, CASE WHEN abs(delta)/greatest(abs(prev_p75),1.0) < 0.03::DOUBLE THEN 'delta_below_relative_threshold' END) AS reasons FROM t) """
 
 
 def _trend(spark, d):
-    t = _site_scores(spark, d).select(F.coalesce("gewerk_group", F.lit("unclassified")).alias("grp"), S.period_of("scored_at").alias("period"), "overall_score")
-    return C.period_series(t.where("not (grp = 'Kfz' and period = '2025-q1')"), "grp", "period", "overall_score", 120)
+    """Slices are group and state together, so that small ones occur."""
+    t = _site_scores(spark, d).select(F.concat_ws("|", F.coalesce("gewerk_group", F.lit("unclassified")), F.coalesce("bundesland", F.lit("-"))).alias("grp"), S.period_of("scored_at").alias("period"), "overall_score")
+    return C.period_series(t, "grp", "period", "overall_score")
 
 
 @q(_TREND + "SELECT grp, period, n, p75, prev_p75, delta FROM r")
@@ -359,7 +374,7 @@ def suppression_reasons(spark, d):
     return _trend(spark, d).select("grp", "period", "reasons")
 
 
-@q(_TREND + "SELECT grp, period, CASE WHEN reasons <> '' THEN 'suppressed' WHEN n < 30 OR abs(delta) < 3 THEN 'caution' ELSE 'reliable' END AS reliability FROM r")
+@q(_TREND + "SELECT grp, period, CASE WHEN reasons <> '' THEN 'suppressed' WHEN n < 30 OR pn < 30 OR abs(delta) < 3 THEN 'caution' ELSE 'reliable' END AS reliability FROM r")
 def reliability(spark, d):
     return _trend(spark, d).select("grp", "period", "reliability")
 
@@ -422,12 +437,10 @@ c AS (SELECT DISTINCT category FROM site_source_seeds WHERE category IS NOT NULL
 m AS (SELECT category, hwo_uid, row_number() OVER (PARTITION BY category ORDER BY length(alias) DESC, hwo_uid) AS rn FROM c JOIN a ON contains(lower(category), alias))
 SELECT s.id, hwo_uid FROM site_source_seeds s LEFT JOIN m ON m.category = s.category AND rn = 1""")
 def classify_alias(spark, d):
-    """Longest trade alias that a category contains; distinct categories meet a list of proven size inside one expression."""
-    names = [(r["hwo_uid"], r["gewerk_name"].replace("handwerk", "").lower()) for r in table(spark, d, "gewerke", "hwo_uid", "gewerk_name").limit(10_000).collect()]
-    names.sort(key=lambda x: (-len(x[1]), x[0]))
-    arr = F.array(*[F.struct(F.lit(u).alias("u"), F.lit(a).alias("a")) for u, a in names])
-    hit = F.get(F.filter(arr, lambda x: F.contains(F.lower("category"), x["a"])), F.lit(0))["u"]
-    return table(spark, d, "site_source_seeds", "id", "category").select("id", hit.alias("hwo_uid"))
+    """Longest trade alias that a category contains; distinct categories meet any number of aliases by one equi-join."""
+    names = table(spark, d, "gewerke", "hwo_uid", F.lower(F.replace("gewerk_name", F.lit("handwerk"), F.lit(""))).alias("term"))
+    seeds = table(spark, d, "site_source_seeds", "id", F.lower("category").alias("category"))
+    return seeds.join(contained_term(seeds, "category", names), "category", "left").select("id", "hwo_uid")
 
 
 @q("SELECT s.id, z.place, z.state_code FROM site_source_seeds s JOIN zipcodes z ON z.zipcode = trim(s.postal_code)")
@@ -512,7 +525,10 @@ def semi_in(spark, d):
 
 @q("SELECT id FROM sites WHERE id NOT IN (SELECT site_id FROM site_source_seeds)")
 def anti_not_in(spark, d):
-    return table(spark, d, "sites", "id").join(table(spark, d, "site_source_seeds", "site_id"), F.col("id") == F.col("site_id"), "left_anti")
+    """NOT IN as SQL means it: a null on the right leaves nothing, told by one count beside the anti join."""
+    right = table(spark, d, "site_source_seeds", "site_id")
+    nulls = right.where("site_id is null").groupBy().agg(F.count("*").alias("k")).where("k > 0").limit(1)
+    return table(spark, d, "sites", "id").join(right, F.col("id") == F.col("site_id"), "left_anti").join(F.broadcast(nulls), F.lit(True), "left_anti")
 
 
 @q("SELECT s.id, coalesce(g.gewerk_name,'unknown') AS trade FROM sites s LEFT JOIN gewerke g ON g.hwo_uid = s.hwo_uid")
@@ -587,18 +603,6 @@ def json_canonical(spark, d):
     return table(spark, d, "site_source_seeds", "id", "raw_json").select("id", canonical_json("raw_json").alias("j"))
 
 
-@q("""SELECT id, CASE WHEN category IS NOT NULL AND contains(lower(category), lower(replace(g.gewerk_name,'handwerk',''))) THEN 0.95 WHEN category IS NOT NULL AND s.hwo_uid IS NOT NULL THEN 0.75 WHEN s.hwo_uid IS NOT NULL THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence
-FROM (SELECT sites.id, sites.hwo_uid, c.category FROM sites LEFT JOIN (SELECT site_id, min(category) AS category FROM site_source_seeds GROUP BY 1) c ON c.site_id = sites.id) s LEFT JOIN gewerke g ON g.hwo_uid = s.hwo_uid""")
-def classify_ladder(spark, d):
-    """Confidence of a site's trade by the strongest evidence that holds."""
-    c = table(spark, d, "site_source_seeds", "site_id", "category").groupBy("site_id").agg(F.min("category").alias("category"))
-    g = bounded_broadcast(table(spark, d, "gewerke", "hwo_uid", F.lower(F.replace("gewerk_name", F.lit("handwerk"), F.lit(""))).alias("alias")), MAX_LIST)
-    s = table(spark, d, "sites", "id", "hwo_uid").join(c, F.col("id") == F.col("site_id"), "left").join(g, "hwo_uid", "left")
-    there = F.col("category").isNotNull()
-    ladder = F.when(there & F.contains(F.lower("category"), "alias"), 0.95).when(there & F.col("hwo_uid").isNotNull(), 0.75).when(F.col("hwo_uid").isNotNull(), 0.5).otherwise(0.0)
-    return s.select("id", ladder.alias("confidence"))
-
-
 @q("SELECT user_id, sum(CASE WHEN event_type='error' THEN coalesce((props->>'$.k')::BIGINT, 1) ELSE 0 END)::BIGINT AS weighted_errors, count_if(event_type='error') AS errors FROM events GROUP BY 1")
 def violation_counts(spark, d):
     """Node-weighted counts; a missing number of nodes counts as one."""

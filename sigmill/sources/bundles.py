@@ -14,13 +14,25 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import blank_to_null
 
-#: Parts of paths of a crawl that hold no listing.
-NOISE = r"(?:favicon|robots\.txt|sitemap|/assets?/|/static/|/tags?/|/search|\.(?:css|js|png|jpe?g|gif|svg|ico|woff2?)$)"
+#: Ends and parts of paths of a crawl that hold no listing.
+NOISE_ENDS = ("favicon.ico.html", "/favicon.ico", "robots.txt.html", "/robots.txt", ".png.html", ".jpg.html", ".gif.html", ".css.html", ".js.html")
+NOISE_PARTS = ("/infos/tag/", "/tags/", "/search/", "/suche/", "/handwerkernet.de/php/")
+
+
+def is_noise(path) -> Column:
+    """A file of a crawl that holds no listing, by its path; case and the kind of slash don't matter."""
+    p = F.lower(F.replace(F.col(path) if isinstance(path, str) else path, F.lit("\\"), F.lit("/")))
+    hit = F.lit(False)
+    for e in NOISE_ENDS:
+        hit = hit | p.endswith(e)
+    for e in NOISE_PARTS:
+        hit = hit | p.contains(e)
+    return hit
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """(path, length, modificationTime) of all files below a folder that aren't noise, without their content."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder).drop("content").where(~F.lower("path").rlike(NOISE))
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder).drop("content").where(~is_noise("path"))
 
 
 #: Where Windows-1252 differs from ISO-8859-1: the latter's controls and the signs that are meant.
@@ -61,11 +73,22 @@ def read_sqlite(spark: SparkSession, path: str, sql: str, schema: str, slices: l
     return parts.mapInPandas(run, schema)
 
 
-def file_sha256(path: str) -> str:
-    h = hashlib.sha256()
-    with open(path, "rb") as f:
-        while block := f.read(1 << 20):
+#: Longest file that Spark reads as one binary value.
+BINARY_MAX = (1 << 31) - 1
+
+
+def content_sha256(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file, taken by a worker; one too long for a single value is streamed through the driver's file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).getLen() < BINARY_MAX:
+        return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()[0]
+    h, stream = hashlib.sha256(), fs.open(p)
+    try:
+        while block := bytes(stream.readNBytes(1 << 20)):
             h.update(block)
+    finally:
+        stream.close()
     return h.hexdigest()
 
 
@@ -90,14 +113,14 @@ def write_bundle(df: DataFrame, folder: str, order: list[str], meta: dict) -> di
 
 def read_bundle(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Rows of a bundle; raises if version, format, hash or count don't agree with the manifest (a null hash isn't checked)."""
-    m = json.loads((Path(folder) / "manifest.json").read_text())
+    m = json.loads(spark.read.text(f"{folder}/manifest.json", wholetext=True).first()[0])
     if str(m.get("schema_version")) not in ("1", "2") or m.get("format") != "ndjson-v1":
         raise ValueError(f"unknown bundle form: {m.get('schema_version')}, {m.get('format')}")
     path = f"{folder}/observations.ndjson"
     df = spark.read.schema(schema).json(path)
     if not m["observation_count"]:
         return df.limit(0)
-    if m.get("bundle_hash") and file_sha256(path) != m["bundle_hash"]:
+    if m.get("bundle_hash") and content_sha256(spark, path) != m["bundle_hash"]:
         raise ValueError("the bundle's hash differs from its manifest")
     if df.count() != m["observation_count"]:
         raise ValueError("the bundle's count differs from its manifest")

@@ -1,11 +1,12 @@
 import sqlite3
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sigmill.functions.page_signals import page_signals, signals
 from sigmill.sources import bundles as B
-from sigmill.streaming.ingest import read_arriving, start_upserts, tumbling_counts
+from sigmill.streaming.ingest import read_arriving, read_state, start_upserts, tumbling_counts
 
 PAGE = """<html lang="de"><head><title>Bau</title><meta name="description" content="Gut"><script type="application/ld+json">{"@graph":[{"@type":"Store"},{"@type":["FAQPage"]}],"openingHours":["Mo 8-17"]}</script></head>
 <body><div id="cookie-banner"><button>Ablehnen</button><button>OK</button></div><a href="/impressum">Impressum</a><a href="/Team">Unser Team</a><a href="https://www.facebook.com/x">f</a>
@@ -72,7 +73,18 @@ def test_stream(spark, tmp_path):
     run()
     spark.createDataFrame([("a", 2, "z"), ("a", 0, "old")], schema).write.mode("append").parquet(src)
     run()
-    last = spark.read.parquet(str(tmp_path / "o" / "ledger")).agg(F.max("batch_id")).first()[0]
-    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "o" / "states" / f"n={last}")).collect()} == {("a", 2, "z"), ("b", 1, "y")}
+    assert {tuple(r) for r in read_state(spark, str(tmp_path / "o"), schema).collect()} == {("a", 2, "z"), ("b", 1, "y")}
+    # A ledger that can't be read stops the stream and loses nothing.
+    ledger = next((tmp_path / "o" / "ledger").glob("*.parquet"))
+    whole = ledger.read_bytes()
+    for f in (tmp_path / "o" / "ledger").glob(".*.crc"):
+        f.unlink()
+    ledger.write_bytes(b"broken")
+    spark.createDataFrame([("c", 1, "n")], schema).write.mode("append").parquet(src)
+    with pytest.raises(StreamingQueryException):
+        run()
+    ledger.write_bytes(whole)
+    run()
+    assert {tuple(r) for r in read_state(spark, str(tmp_path / "o"), schema).collect()} == {("a", 2, "z"), ("b", 1, "y"), ("c", 1, "n")}
     ev = spark.createDataFrame([("2024-01-01 00:10:00", "e"), ("2024-01-01 00:50:00", "e"), ("2024-01-01 01:00:00", "e")], "ts string, k string").withColumn("ts", F.col("ts").cast("timestamp"))
     assert sorted(r.n for r in tumbling_counts(ev, "ts", "k", "1 hour", "10 minutes").collect()) == [1, 2]
