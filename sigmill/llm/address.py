@@ -179,7 +179,7 @@ def rare_words(worse: bool) -> Column:
 
 
 def same_streets(pairs: DataFrame, streets: DataFrame) -> DataFrame:
-    """(a, b, likeness) of the pairs of names (a, b) that are one street, 1 being equal.
+    """(a, b, likeness) of the pairs of names (a, b, ids of ``streets.name``) that are one street, 1 being equal.
 
     Words shared by both (stem, kind) count in full by their rarity, the
     others by their likeness, which must be at least ``LIKE``: Levenshtein
@@ -189,7 +189,7 @@ def same_streets(pairs: DataFrame, streets: DataFrame) -> DataFrame:
     is two edits nearer to one of them. A name also is the usual one that is
     nearest to it, and so are two names with the same nearest one.
     """
-    side = lambda x: streets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("kind", "stem", "sn", "kn", "usual", "terms", "best", "total")], F.col("_street").alias(x))
+    side = lambda x: streets.select(F.col("name").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("_street", "kind", "stem", "sn", "kn", "usual", "terms", "best", "total")])
     p = pairs.join(side("a"), "a").join(side("b"), "b")
     words = lambda x: F.filter(F.array(f"stem_{x}", f"kind_{x}"), lambda w: w != "")
     p = p.withColumn("shared", F.array_intersect(words("a"), words("b")))
@@ -207,9 +207,9 @@ def same_streets(pairs: DataFrame, streets: DataFrame) -> DataFrame:
     like = 1 - F.col("apart") / F.col("long")
     p = p.withColumn("overlap", (common + like * other) / (common + other))
     two = F.col("usual_a") & F.col("usual_b") & (F.least("sn_a", "sn_b") >= SHARE * F.greatest("sn_a", "sn_b"))
-    nearer = lambda x, y: F.coalesce(F.exists(f"terms_{x}", lambda t: (t["term"] != F.col(y)) & (t["distance"] <= F.col("apart") - 2)), F.lit(False))
+    nearer = lambda x, y: F.coalesce(F.exists(f"terms_{x}", lambda t: (t["term"] != F.col(f"_street_{y}")) & (t["distance"] <= F.col("apart") - 2)), F.lit(False))
     direct = (F.col("apart") <= F.col("most")) & (F.col("overlap") >= OVERLAP) & ~nearer("a", "b") & ~nearer("b", "a")
-    repaired = F.col("usual_a") & F.coalesce(F.exists("terms_b", lambda t: t["term"] == F.col("a")), F.lit(False)) & ~nearer("b", "a") | F.coalesce(F.col("best_a") == F.col("best_b"), F.lit(False))
+    repaired = F.col("usual_a") & F.coalesce(F.exists("terms_b", lambda t: t["term"] == F.col("_street_a")), F.lit(False)) & ~nearer("b", "a") | F.coalesce(F.col("best_a") == F.col("best_b"), F.lit(False))
     likeness = F.when(direct, F.col("overlap")).when(repaired, F.least(F.lit(OVERLAP), F.greatest("overlap", F.lit(0.01))))
     return p.where(~two & (direct | repaired)).select("a", "b", likeness.alias("likeness"))
 
@@ -221,35 +221,33 @@ def same_in_block(rows: DataFrame, streets: DataFrame) -> DataFrame:
     the place of the most similar better established one that keeps its own,
     so nothing is chained. Rows without a town meet all rows of their site.
     """
+    # Blocks and names travel as 64-bit hashes, the order of names as one number.
+    block = lambda key: F.xxhash64(key, "_number").alias("block")
+    name = F.xxhash64("_street").alias("name")
     names = rows.select("_site", "_number", "_street", "_town").distinct()
     lone = names.where("_town is null").select("_site").distinct()
-    of_site = F.concat(F.lit("?"), F.col("_site").cast("string"))
+    of_site = F.concat(F.lit("?"), "_site")
+    of_town = F.concat(F.lit("="), "_town")
     blocks = cut(
-        names.where("_town is not null").select(F.concat(F.lit("="), "_town").alias("_key"), "_number", "_street")
-        .unionByName(names.join(lone, "_site", "left_semi").select(of_site.alias("_key"), "_number", "_street")).distinct()
+        names.where("_town is not null").select(block(of_town), name).unionByName(names.join(lone, "_site", "left_semi").select(block(of_site), name)).distinct()
     )
-    order = F.struct("usual", "sn", "n", F.hash("_street"), "_street")
-    streets = cut(streets.join(near_usual(streets), F.col("_street") == F.col("word"), "left").drop("word"))
-    known = streets.select("_street", order.alias("o"), rare_words(False).alias("fa"), rare_words(True).alias("fb"))
-    keyed = blocks.join(known, "_street")
-    key = F.xxhash64("_key", "_number", "f").alias("k")
-    better = keyed.select("_key", "_number", "_street", "o", F.explode("fa").alias("f")).select(key, F.col("_street").alias("a"), F.col("o").alias("oa"))
-    worse = keyed.select("_key", "_number", "_street", "o", F.explode("fb").alias("f")).select(key, "_key", "_number", F.col("_street").alias("b"), "o")
-    met = cut(better.join(worse, "k").where("oa > o").select("_key", "_number", "a", "b", "oa").distinct())
-    same = cut(same_streets(met.select("a", "b").distinct(), streets))
-    links = cut(met.join(same, ["a", "b"]))
+    rank = F.when(F.col("usual"), F.lit(1 << 62)).otherwise(F.lit(0)) + F.least("sn", F.lit((1 << 31) - 1)) * F.lit(1 << 31) + F.least("n", F.lit((1 << 31) - 1))
+    streets = cut(streets.join(near_usual(streets), F.col("_street") == F.col("word"), "left").drop("word").withColumns({"name": name, "rank": rank}))
+    forms = lambda worse: streets.select("name", "rank", F.explode(F.transform(rare_words(worse), lambda x: F.xxhash64(x))).alias("form"))
+    better = blocks.join(forms(False), "name").select("block", "form", F.col("name").alias("a"), F.col("rank").alias("ra"))
+    worse = blocks.join(forms(True), "name").select("block", "form", F.col("name").alias("b"), F.col("rank").alias("rb"))
+    met = cut(better.join(worse, ["block", "form"]).where("ra > rb or ra = rb and a > b").select("block", "a", "b", "ra").distinct())
+    links = cut(met.join(same_streets(met.select("a", "b").distinct(), streets), ["a", "b"]))
     taken = None
     for _ in range(2):  # names that met only such as gave up their own are compared among themselves once more
-        heads = links.select("_key", "_number", F.col("a").alias("_street")).join(links.select("_key", "_number", F.col("b").alias("_street")), ["_key", "_number", "_street"], "left_anti").distinct()
-        step = links.join(heads.withColumnRenamed("_street", "a"), ["_key", "_number", "a"]).groupBy("_key", "_number", F.col("b").alias("_street")).agg(F.max_by("a", F.struct("likeness", "oa")).alias("_same"))
-        step = cut(step)
+        heads = links.select("block", "a").join(links.select("block", F.col("b").alias("a")), ["block", "a"], "left_anti").distinct()
+        step = cut(links.join(heads, ["block", "a"]).groupBy("block", "b").agg(F.max_by("a", F.struct("likeness", "ra", "a")).alias("a")))
         taken = step if taken is None else taken.unionByName(step)
-        done = taken.select("_key", "_number", "_street")
-        out = done.unionByName(heads.select("_key", "_number", "_street"))
-        links = links.join(out.withColumnRenamed("_street", "b"), ["_key", "_number", "b"], "left_anti").join(out.withColumnRenamed("_street", "a"), ["_key", "_number", "a"], "left_anti")
-    key = F.coalesce(F.concat(F.lit("="), "_town"), of_site)
-    rows = rows.withColumn("_key", key).join(taken, ["_key", "_number", "_street"], "left")
-    return rows.withColumn("_street", F.coalesce("_same", "_street")).drop("_same", "_key")
+        out = taken.select("block", "b").unionByName(heads.select("block", F.col("a").alias("b")))
+        links = links.join(out, ["block", "b"], "left_anti").join(out.withColumnRenamed("b", "a"), ["block", "a"], "left_anti")
+    same = taken.join(streets.select(F.col("name").alias("a"), F.col("_street").alias("_same")), "a").select("block", F.col("b").alias("name"), "_same")
+    rows = rows.select("*", block(F.coalesce(of_town, of_site)), name).join(same, ["block", "name"], "left")
+    return rows.withColumn("_street", F.coalesce("_same", "_street")).drop("_same", "block", "name")
 
 
 def fill_town(df: DataFrame) -> DataFrame:
@@ -262,17 +260,18 @@ def fill_town(df: DataFrame) -> DataFrame:
 
 
 def locate(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street: str, postal: str | None, city: str | None) -> DataFrame:
-    """(id, site, building, town, _street, _number) of every row: the class of its building, and its town.
+    """(id, building, town, _street, _number) of every row: the class of its building, and its town.
 
     Rows are collapsed to distinct (street, number, town), so copies never
     multiply. All numbers with their letters must agree, the town must be the
     same place, and the street's words the same or misspellings of each other
     (``same_streets``). Rows without any town take it from rows of the same
     ``site`` with the same street and number, else they form a class of their
-    own within the site. Null or placeholder streets and streets without a
-    number have no building.
+    own within the site; a row without a site is a site of its own. Null or
+    placeholder streets and streets without a number have no building.
     """
-    df = df.withColumn("_site", F.col(site) if site else F.col(id)).withColumn("_id", F.col(id))
+    alone = F.concat(F.lit("r"), F.col(id).cast("string"))
+    df = df.withColumn("_site", F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), alone) if site else alone).withColumn("_id", F.col(id))
     parsed = cut(parse_address(df, street, postal, city).select("_id", "_site", "_street", "_number", "_zip", "_zip2", "_town_text", "_town_text2"))
     every = cut(add_town(parsed, zipcodes).select("_id", "_site", "_street", "_number", "_town"))
     rows = every.where("_street is not null")
@@ -281,10 +280,10 @@ def locate(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street
     # Short forms written out join the names they stand for.
     whole = streets.groupBy(F.col("_name").alias("_street")).agg(F.sum("n").alias("n"), *[F.max(F.struct(F.col("_street") == F.col("_name"), c))[c].alias(c) for c in ("kind", "stem", "sn", "kn", "total", "usual")])
     rows = fill_town(cut(same_in_block(rows.withColumn("_raw", F.col("_street")), whole)))
-    building = F.sha2(F.concat_ws("|", F.coalesce("_town", F.concat(F.lit("?"), F.col("_site").cast("string"))), "_street", "_number"), 256)
-    rows = rows.select("_id", "_site", building.alias("building"), "_town", "_street", "_number")
-    rest = every.where("_street is null").select("_id", "_site", F.lit(None).cast("string").alias("building"), "_town", "_street", "_number")
-    return cut(rows.unionByName(rest).select(F.col("_id").alias(id), F.col("_site").alias("site"), "building", F.col("_town").alias("town"), "_street", "_number"))
+    building = F.sha2(F.concat_ws("|", F.coalesce("_town", F.concat(F.lit("?"), "_site")), "_street", "_number"), 256)
+    rows = rows.select("_id", building.alias("building"), "_town", "_street", "_number")
+    rest = every.where("_street is null").select("_id", F.lit(None).cast("string").alias("building"), "_town", "_street", "_number")
+    return cut(rows.unionByName(rest).select(F.col("_id").alias(id), "building", F.col("_town").alias("town"), "_street", "_number"))
 
 
 def address_classes(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street: str, postal: str | None, city: str | None) -> DataFrame:

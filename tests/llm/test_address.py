@@ -83,3 +83,9 @@ def test_names_of_a_block_are_compared_whatever_their_frequency(spark):
     assert got[200] == got[300] and got[400] == got[401]
     assert got[700] != got[701]
     assert len({got[500 + i] for i in range(len(other))}) == len(other)
+
+
+def test_rows_without_a_site_stand_for_themselves(spark):
+    rows = [(1, None, "Müllerwaldplatz 13", "01234", None), (2, None, "Müllewaldplatz 13", "01234", None), (3, None, "Müllerwaldplatz 13", None, None), (4, None, "Müllerwaldplatz 13", None, None), (5, 4, "Müllerwaldplatz 13", None, None)]
+    got = {r.id: r.building for r in address_classes(spark.createDataFrame(filler() + rows, SCHEMA), "id", "site_id", zips(spark), "street_address", "postal_code", "city").collect()}
+    assert got[1] == got[2] and len({got[i] for i in (1, 3, 4, 5)}) == 4
