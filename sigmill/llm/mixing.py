@@ -9,36 +9,44 @@ so a larger budget only adds documents.
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
+import os
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from ..session import cut
+from ..sources.tables import bounded_broadcast
 
 #: Bits of the hash per histogram; the hash has 60.
 BITS = 10
 HASH_BITS = 60
-#: Most sources with a target; their histograms come to the driver (1,024 rows a source and level).
-MAX_SOURCES = 5_000
+#: Rows of a table with one row per source that may be broadcast; a longer one is joined by a shuffle.
+MAX_BROADCAST = 100_000
+#: Vocabulary file of the tokenizer unless another path is given.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pattern by which the public tokenizer splits text before merging bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def token_counter(path: str = TOKENIZER):
-    """A pandas UDF that counts tokens of a public byte-level BPE; null texts have none."""
+def token_counter(spark: SparkSession, path: str):
+    """A pandas UDF that counts tokens of a public byte-level BPE; null texts have none.
+
+    The vocabulary file is sent along with the job, so that workers needn't have its path.
+    """
+    if os.path.exists(path):
+        spark.sparkContext.addFile(path)
 
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import base64
 
         import tiktoken
+        from pyspark import SparkFiles
 
-        with open(path, "rb") as f:
+        here = path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+        with open(here, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for s in batches:
@@ -48,63 +56,48 @@ def token_counter(path: str = TOKENIZER):
     return F.pandas_udf(count, LongType())
 
 
-def border(tokens: list[tuple[int, int]], budget: float) -> tuple[int, float]:
-    """(bucket in which the budget ends, budget left before it); buckets past the last if all fits."""
-    left = budget
-    for bucket, n in tokens:
-        if n > left:
-            return bucket, left
-        left -= n
-    return 1 << BITS, left
-
+def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
+    """(source, limit) such that the tokens of ``docs`` (source, h, n_tokens) with hashes below it come as near to the
+    budget (source, left) as one document allows.
 
-def thresholds(docs: DataFrame, budgets: dict[str, float]) -> dict[str, int]:
-    """Hash threshold per source such that the tokens below come as near to the budget as one document allows."""
-    prefix = {s: 0 for s in budgets}
-    left = dict(budgets)
-    open_, done = set(budgets), {}
+    Every level sums tokens by source and bucket (aggregated before the
+    shuffle), finds the bucket in which the budget ends by a running sum over
+    the buckets of a source, 1,024 at most, and looks into that bucket only.
+    """
+    state = cut(budgets.select("source", F.lit(0).cast("long").alias("prefix"), F.col("left").cast("double").alias("left")))
+    done = None
     for level in range(HASH_BITS // BITS):
-        if not open_:
-            break
         shift = HASH_BITS - BITS * (level + 1)
-        want = docs.sparkSession.createDataFrame([(s, prefix[s]) for s in sorted(open_)], "source string, _prefix long")
-        inside = docs.join(F.broadcast(want), "source").where(F.shiftright("h", shift + BITS) == F.col("_prefix"))
-        hist = inside.groupBy("source", F.pmod(F.shiftright("h", shift), F.lit(1 << BITS)).alias("b")).agg(F.sum("n_tokens").alias("t"), F.count("*").alias("k")).collect()
-        rows = defaultdict(list)
-        for r in hist:
-            rows[r["source"]].append((int(r["b"]), int(r["t"]), int(r["k"])))
-        for s in list(open_):
-            ordered = sorted(rows[s])
-            b, rest = border([(x, t) for x, t, _ in ordered], left[s])
-            at = next(((t, k) for x, t, k in ordered if x == b), None)
-            base = (prefix[s] << BITS) + b
-            if at is None or at[1] == 1 or shift == 0:
-                take = at is not None and at[0] - rest < rest
-                done[s] = (base + (1 if take else 0)) << shift
-                open_.discard(s)
-            else:
-                prefix[s], left[s] = base, rest
+        inside = docs.join(bounded_broadcast(state, MAX_BROADCAST), "source").where(F.shiftright("h", shift + BITS) == F.col("prefix"))
+        hist = inside.groupBy("source", F.pmod(F.shiftright("h", shift), F.lit(1 << BITS)).alias("b")).agg(F.sum("n_tokens").alias("t"), F.count("*").alias("k"))
+        upto = F.sum("t").over(Window.partitionBy("source").orderBy("b"))
+        ends = hist.withColumn("upto", upto).join(state, "source").where("upto > left").groupBy("source").agg(F.min_by(F.struct("b", "t", "k", (F.col("left") - F.col("upto") + F.col("t")).alias("rest")), "b").alias("at"))
+        base = F.col("prefix") * (1 << BITS) + F.coalesce("at.b", F.lit(1 << BITS))
+        found = cut(state.join(ends, "source", "left").select("source", base.alias("base"), "at"))
+        last = F.col("at").isNull() | (F.col("at.k") == 1) | F.lit(shift == 0)
+        take = F.when(F.coalesce(F.col("at.t") - F.col("at.rest") < F.col("at.rest"), F.lit(False)), 1).otherwise(0)
+        ready = found.where(last).select("source", F.shiftleft(F.col("base") + take, shift).alias("limit"))
+        done = ready if done is None else done.unionByName(ready)
+        state = found.where(~last).select("source", F.col("base").alias("prefix"), F.col("at.rest").alias("left"))
+        if not state.limit(1).count():
+            break
     return done
 
 
-def plan_budgets(sizes: dict[str, int], targets: dict[str, tuple[float, int]], total: float | None = None) -> dict[str, tuple[int, float]]:
-    """Per source (full repeats, tokens of a further partial pass).
+def plan_budgets(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
+    """(source, full, left): full repeats of a source, and tokens of a further partial pass.
 
+    ``sizes``: (source, t), ``targets``: (source, target_share, max_repeats).
     Shares are taken over the sources that have tokens. Without ``total`` the
     largest mix is drawn in which every source reaches its share within its
     repeats; a larger total is cut per source at its repeats.
     """
-    there = {s: (share, cap) for s, (share, cap) in targets.items() if sizes.get(s, 0) > 0 and share > 0 and cap > 0}
-    weight = sum(share for share, _ in there.values())
-    if not there:
-        return {}
-    total = total if total is not None else min(cap * sizes[s] * weight / share for s, (share, cap) in there.items())
-    out = {}
-    for s, (share, cap) in there.items():
-        need = min(total * share / weight, cap * sizes[s])
-        full = min(cap, math.floor(need / sizes[s] + 1e-12))
-        out[s] = (full, max(0.0, need - full * sizes[s]) if full < cap else 0.0)
-    return out
+    there = targets.join(sizes, "source").where("t > 0 and target_share > 0 and max_repeats > 0").select("source", "t", F.col("target_share").alias("share"), F.col("max_repeats").cast("long").alias("cap"))
+    most = F.lit(float(total)) if total is not None else F.min(F.col("cap") * F.col("t") / F.col("share")) * F.sum("share")
+    whole = there.agg(F.sum("share").alias("weight"), most.alias("total"))  # one row
+    need = F.least(F.col("total") * F.col("share") / F.col("weight"), (F.col("cap") * F.col("t")).cast("double"))
+    out = there.join(F.broadcast(whole)).withColumn("need", need).withColumn("full", F.least("cap", F.floor(F.col("need") / F.col("t") + 1e-12)))
+    return out.select("source", "full", F.when(F.col("full") < F.col("cap"), F.greatest(F.lit(0.0), F.col("need") - F.col("full") * F.col("t"))).otherwise(0.0).alias("left"))
 
 
 def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
@@ -112,23 +105,20 @@ def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, tokeniz
 
     ``docs``: (doc_id, source, text), ``targets``: (source, target_share,
     max_repeats). Sources without target or without text are drawn not at all
-    and reported with what they have. Null targets count as zero.
+    and reported with what they have. Null targets count as zero. Any number of
+    sources is taken; nothing but counts of rows comes to the driver.
     """
-    known = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    rows = known.limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources have a target")
-    wanted = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in rows}
-    counted = cut(docs.select("doc_id", "source", token_counter(tokenizer)(F.col("text")).alias("n_tokens"), F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - HASH_BITS).alias("h")))
-    sizes = {r["source"]: int(r["t"] or 0) for r in counted.join(F.broadcast(known.select("source")), "source").groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
-    budgets = plan_budgets(sizes, wanted, total)
-    limits = thresholds(counted, {s: rem for s, (_, rem) in budgets.items() if rem > 0})
-    table = docs.sparkSession.createDataFrame([(s, full, limits.get(s, 0)) for s, (full, _) in sorted(budgets.items())], "source string, _full int, _limit long")
-    plan = counted.join(F.broadcast(table), "source").withColumn("repeats", F.col("_full") + F.when(F.col("h") < F.col("_limit"), 1).otherwise(0))
+    spark = docs.sparkSession
+    known = targets.where("source is not null").groupBy("source").agg(F.coalesce(F.max("target_share"), F.lit(0.0)).alias("target_share"), F.coalesce(F.max("max_repeats"), F.lit(0)).alias("max_repeats"))
+    counted = cut(docs.select("doc_id", "source", token_counter(spark, tokenizer)(F.col("text")).alias("n_tokens"), F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - HASH_BITS).alias("h")))
+    held = cut(counted.groupBy("source").agg(F.sum("n_tokens").alias("t")))
+    budgets = cut(plan_budgets(held, known, total))
+    limits = thresholds(counted, budgets.where("left > 0").select("source", "left"))
+    rule = cut(budgets.join(limits, "source", "left").select("source", F.col("full").alias("_full"), F.coalesce("limit", F.lit(0)).alias("_limit")))
+    plan = counted.join(bounded_broadcast(rule, MAX_BROADCAST), "source").withColumn("repeats", (F.col("_full") + F.when(F.col("h") < F.col("_limit"), 1).otherwise(0)).cast("int"))
     plan = plan.where("repeats > 0").select("doc_id", "source", "n_tokens", "repeats")
-    drawn = plan.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens_drawn"), F.count("*").alias("docs_drawn"), F.max("repeats").alias("most_repeats"))
-    held = counted.groupBy("source").agg(F.sum("n_tokens").alias("tokens_held"))
-    report = known.join(held, "source", "full").join(drawn, "source", "left").fillna(0, ["tokens_held", "tokens_drawn", "docs_drawn", "most_repeats"])
-    report = report.withColumn("_all", F.sum("tokens_drawn").over(Window.partitionBy(F.lit(1)))).select(  # one row per source
+    drawn = cut(plan.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens_drawn"), F.count("*").alias("docs_drawn"), F.max("repeats").alias("most_repeats")))
+    report = known.join(held.withColumnRenamed("t", "tokens_held"), "source", "full").join(drawn, "source", "left").fillna(0, ["tokens_held", "tokens_drawn", "docs_drawn", "most_repeats"])
+    every = drawn.agg(F.sum("tokens_drawn").alias("_all"))  # one row
+    return plan, report.join(F.broadcast(every)).select(
         "source", "target_share", "max_repeats", "tokens_held", "tokens_drawn", "docs_drawn", "most_repeats", F.when(F.col("_all") > 0, F.col("tokens_drawn") / F.col("_all")).alias("actual_share"))
-    return plan, report

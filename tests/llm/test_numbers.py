@@ -4,7 +4,9 @@ import random
 import numpy as np
 import pandas as pd
 
-from sigmill.llm.mixing import mix, plan_budgets
+from pyspark.sql import functions as F
+
+from sigmill.llm.mixing import mix, plan_budgets, thresholds
 from sigmill.llm.quantiles import compress, exact, merge, merged, percentiles, summaries, value_at
 
 
@@ -49,9 +51,23 @@ def test_grouped(spark):
     assert merged(summaries(df.limit(0))).count() == 0
 
 
-def test_budgets():
-    assert plan_budgets({"a": 100, "b": 50}, {"a": (0.5, 1), "b": (0.5, 3), "c": (0.2, 2)}) == {"a": (1, 0.0), "b": (2, 0.0)}
-    assert plan_budgets({}, {"a": (1, 1)}) == {} and plan_budgets({"a": 10}, {"a": (0, 1)}) == {}
+def test_budgets(spark):
+    def plan(sizes, targets, total=None):
+        got = plan_budgets(spark.createDataFrame(sizes, "source string, t long"), spark.createDataFrame(targets, "source string, target_share double, max_repeats int"), total).collect()
+        return {r.source: (r.full, r.left) for r in got}
+
+    assert plan([("a", 100), ("b", 50)], [("a", 0.5, 1), ("b", 0.5, 3), ("c", 0.2, 2)]) == {"a": (1, 0.0), "b": (2, 0.0)}
+    assert plan([], [("a", 1.0, 1)]) == {} and plan([("a", 10)], [("a", 0.0, 1)]) == {}
+    assert plan([("a", 100), ("b", 50)], [("a", 0.5, 1), ("b", 0.5, 1)], 500.0) == {"a": (1, 0.0), "b": (1, 0.0)}
+
+
+def test_thresholds_for_many_sources(spark):
+    """More sources than any list on the driver should hold; every one comes as near to its budget as one document allows."""
+    docs = spark.range(60_000).selectExpr("concat('s', id % 6000) AS source", "shiftrightunsigned(xxhash64(id), 4) AS h", "id % 7 + 1 AS n_tokens")
+    budgets = docs.groupBy("source").agg((F.sum("n_tokens") * 0.4).alias("left"))
+    got = docs.join(thresholds(docs, budgets), "source").groupBy("source").agg(F.sum(F.when(F.col("h") < F.col("limit"), F.col("n_tokens")).otherwise(0)).alias("t"))
+    off = got.join(budgets, "source").agg(F.count("*").alias("k"), F.max(F.abs(F.col("t") - F.col("left"))).alias("d")).first()
+    assert off["k"] == 6000 and off["d"] <= 3.5
 
 
 def test_mix(spark):
