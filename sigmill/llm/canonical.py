@@ -83,21 +83,21 @@ def rank_entries(values: DataFrame, entries: DataFrame, coverage: float = 0.5, a
     return best.select("value", F.col("b.entry").alias("entry"), (-F.col("b.col1")).alias("score"))
 
 
-def best_entries(values: DataFrame, entries: DataFrame, coverage: float, agreement: float) -> DataFrame:
-    """(value, entry) by ``rank_entries``; a list of proven small size is matched in the workers instead of joined."""
-    known = collect_wordings(entries)
+def best_entries(values: DataFrame, entries: DataFrame, coverage: float, agreement: float, in_workers: bool = True) -> DataFrame:
+    """(value, entry) by ``rank_entries``; a list of proven small size is matched in the workers instead of joined, with the same rows."""
+    known = collect_wordings(entries) if in_workers else None
     if known is None:
         return rank_entries(values, entries, coverage, agreement).select("value", "entry")
     return rank_small(values, known, coverage, agreement)
 
 
-def town_map(values: DataFrame, zipcodes: DataFrame) -> DataFrame:
+def town_map(values: DataFrame, zipcodes: DataFrame, in_workers: bool = True) -> DataFrame:
     """(value, entry) for the distinct non-null strings in ``values.value`` that name a listed town or a part of one."""
     entries = zipcodes.where("place is not null").select("place").distinct().select(F.col("place").alias("entry"), town_words("place").alias("words"))
-    return cut(best_entries(values.select("value", town_words("value").alias("words")), entries, 0.5, 0.0))
+    return cut(best_entries(values.select("value", town_words("value").alias("words")), entries, 0.5, 0.0, in_workers))
 
 
-def trade_map(rows: DataFrame, trades: DataFrame, least: int = 2, purity: float = 0.6) -> DataFrame:
+def trade_map(rows: DataFrame, trades: DataFrame, least: int = 2, purity: float = 0.6, in_workers: bool = True) -> DataFrame:
     """(value, entry) for the distinct trade names in ``rows`` (group, value).
 
     First the canonical names themselves are recognised (tokens repaired).
@@ -109,7 +109,7 @@ def trade_map(rows: DataFrame, trades: DataFrame, least: int = 2, purity: float
     entries = trade_wordings(trades)
     pairs = rows.where("value is not null").select("group", "value").distinct()
     values = cut(pairs.select("value").distinct().select("value", trade_words("value").alias("words")).where(F.size("words") > 0))
-    direct = cut(best_entries(values, entries, 0.85, 1.0))
+    direct = cut(best_entries(values, entries, 0.85, 1.0, in_workers))
     named = cut(pairs.join(values.join(direct, "value", "left").select("value", "entry", F.array_join("words", " ").alias("w")), "value").select("group", "entry", "w").distinct())
     single = named.groupBy("group").agg(F.min("entry").alias("entry"), F.max("entry").alias("_hi")).where("entry = _hi").select("group", "entry")
     votes = named.where("entry is null").select("group", "w").distinct().join(single, "group").groupBy("w", "entry").agg(F.count("*").alias("k"))
@@ -119,6 +119,6 @@ def trade_map(rows: DataFrame, trades: DataFrame, least: int = 2, purity: float
     )
     seen = named.where("entry is not null and w != ''").groupBy("w", "entry").agg(F.countDistinct("group").alias("k")).where(F.col("k") >= least)
     learnt = learnt.unionByName(seen.select("entry", F.split("w", " ").alias("words")))
-    ranked = best_entries(values, cut(entries.unionByName(learnt)), 0.75, 0.67).withColumnRenamed("entry", "_ranked")
+    ranked = best_entries(values, cut(entries.unionByName(learnt)), 0.75, 0.67, in_workers).withColumnRenamed("entry", "_ranked")
     both = values.select("value").join(ranked, "value", "left").join(direct, "value", "left")
     return cut(both.select("value", F.coalesce("_ranked", "entry").alias("entry")).where("entry is not null"))

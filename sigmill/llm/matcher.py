@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..session import spread
+from .text import LONG, PIECE
 
 #: Longest reference list (wordings) that is sent to the workers; about 20 MB with its index.
 MAX_WORDINGS = 20_000
@@ -29,6 +30,16 @@ def _cuts(word: str, most: int) -> set[str]:
     return out
 
 
+def _keys(word: str, most: int, shifts: int) -> set[str]:
+    """``text.near_keys`` of one word."""
+    n, out = len(word), set()
+    if n <= LONG + 2:
+        out |= _cuts(word, most)
+    if n >= LONG - 4:
+        out |= {"<" + word[:PIECE], ">" + word[-PIECE:]} | {"=" + word[i : i + PIECE] for i in range(PIECE - shifts, PIECE + shifts + 1)}
+    return out
+
+
 def _allowed(n: int) -> int:
     return 2 if n >= 7 else 1 if n >= 4 else 0
 
@@ -65,8 +76,8 @@ class Matcher:
                 self.holds[w].append(k)
         self.near = defaultdict(set)
         for w in self.idf:
-            if 3 <= len(w) <= 40:
-                for c in _cuts(w, _allowed(len(w) + 1)):
+            if len(w) >= 3:
+                for c in _keys(w, _allowed(len(w) + 1), 2):
                     self.near[c].add(w)
         self.known: dict[str, list[tuple[str, float]]] = {}
 
@@ -77,9 +88,9 @@ class Matcher:
         got = self.known.get(word)
         if got is None:
             got = []
-            if 4 <= len(word) <= 40 and not any(c.isdigit() for c in word):
+            if len(word) >= 4 and not any(c.isdigit() for c in word):
                 most = 4 if len(word) >= 9 else 2
-                found = {t: levenshtein(word, t, most) for c in _cuts(word, _allowed(len(word))) for t in self.near.get(c, ())}
+                found = {t: levenshtein(word, t, most) for c in _keys(word, _allowed(len(word)), 0) for t in self.near.get(c, ())}
                 found = {t: d for t, d in found.items() if d <= most}
                 least = min(found.values(), default=0)
                 got = [(t, 1 - d / max(len(word), len(t))) for t, d in found.items() if d == least]

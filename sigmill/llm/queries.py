@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -42,9 +42,7 @@ def p3_restored(spark: SparkSession, folder: str) -> DataFrame:
     return _damaged_fields(spark, folder).select("seed_id", "field_name", F.col("value").alias("damaged"), "restored")
 
 
-@query
-def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Every typed town or trade that isn't letter for letter an entry, with the entry meant or "unmatched"."""
+def _mapped(spark: SparkSession, folder: str, in_workers: bool) -> DataFrame:
     seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "city", "category")
     sites = table(spark, folder, "sites", "id", "gemeinde")
     zipcodes, trades = table(spark, folder, "zipcodes"), table(spark, folder, "gewerke")
@@ -54,12 +52,24 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     named = towns.join(bounded_broadcast(zipcodes.select(F.col("place").alias("value")).distinct(), MAX_ZIPCODES), "value", "left_anti")
     kinds = seeds.select(F.lit("site_source_seeds.category").alias("field_name"), F.col("id").alias("row_id"), F.col("category").alias("value")).where("value is not null")
     kinds = kinds.join(bounded_broadcast(trades.select(F.col("gewerk_name").alias("value")).distinct(), MAX_ZIPCODES), "value", "left_anti")
-    town_of = town_map(named.select("value").distinct(), zipcodes)
-    trade_of = trade_map(seeds.select(F.col("site_id").alias("group"), F.col("category").alias("value")), trades)
+    town_of = town_map(named.select("value").distinct(), zipcodes, in_workers)
+    trade_of = trade_map(seeds.select(F.col("site_id").alias("group"), F.col("category").alias("value")), trades, in_workers=in_workers)
     out = named.join(town_of, "value", "left").unionByName(kinds.join(trade_of, "value", "left"))
     return out.select("field_name", "row_id", F.coalesce("entry", F.lit("unmatched")).alias("canonical_value"))
 
 
+@query
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every typed town or trade that isn't letter for letter an entry, with the entry meant or "unmatched"."""
+    return _mapped(spark, folder, True)
+
+
+@query
+def p5_joined(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows by joins of distinct tokens with the vocabulary, the way that lists too long for the workers take."""
+    return _mapped(spark, folder, False)
+
+
 def _buildings(spark: SparkSession, folder: str) -> DataFrame:
     seeds = table(spark, folder, "site_source_seeds", "id", "site_id", "street_address", "postal_code", "city")
     return address_classes(seeds, "id", "site_id", table(spark, folder, "zipcodes"), "street_address", "postal_code", "city")
@@ -189,25 +199,23 @@ def _matches(spark: SparkSession, folder: str) -> DataFrame:
     e = cut(s.groupBy("group", "firm_s", "phone_s", "host_s", "building_s", "town_s").agg(F.min("seed_id").alias("rep")))
     # Numbers of unlike length with the same first ten digits are one line with another extension.
     main = lambda c: F.substring(c, 1, MAIN_LINE)
-    single = e.where("host_s is not null").groupBy("host_s").agg(F.min("group").alias("g1"), F.max("group").alias("g2")).where("g1 = g2").select(F.col("host_s").alias("host"))
-    passes = [
-        (e.where("phone_s is not null").select("rep", F.col("phone_s").alias("k")), c.where("phone_c is not null").select("contact_id", F.col("phone_c").alias("k"))),
-        (e.where(F.length("phone_s") >= MAIN_LINE).select("rep", F.concat_ws("|", main("phone_s"), "host_s").alias("k")), c.where(F.length("phone_c") >= MAIN_LINE).select("contact_id", F.concat_ws("|", main("phone_c"), "host_c").alias("k"))),
-        (e.where((F.length("phone_s") >= MAIN_LINE) & F.col("town_s").isNotNull()).select("rep", F.concat_ws("|", main("phone_s"), "town_s").alias("k")), c.where((F.length("phone_c") >= MAIN_LINE) & F.col("town_c").isNotNull()).select("contact_id", F.concat_ws("|", main("phone_c"), "town_c").alias("k"))),
-        (e.where("building_s is not null").select("rep", F.col("building_s").alias("k")), c.where("building_c is not null").select("contact_id", F.col("building_c").alias("k"))),
-        (e.where("host_s is not null and town_s is not null").select("rep", F.concat_ws("|", "host_s", "town_s").alias("k")), c.where("host_c is not null and town_c is not null").select("contact_id", F.concat_ws("|", "host_c", "town_c").alias("k"))),
-        (e.join(single.withColumnRenamed("host", "host_s"), "host_s").select("rep", F.col("host_s").alias("k")), c.where("host_c is not null").select("contact_id", F.col("host_c").alias("k"))),
-        (e.where("size(firm_s) > 0 and town_s is not null").select("rep", F.concat_ws("|", F.array_join("firm_s", " "), "town_s").alias("k")), c.where("size(firm_c) > 0 and town_c is not null").select("contact_id", F.concat_ws("|", F.array_join("firm_c", " "), "town_c").alias("k"))),
-    ]
-    cand = None
-    for a, b in passes:
-        p = a.join(b, "k").select("rep", "contact_id")
-        cand = p if cand is None else cand.unionByName(p)
-    cand = cand.distinct()
+    single = e.where("host_s is not null").groupBy("host_s").agg(F.min("group").alias("g1"), F.max("group").alias("g2")).where("g1 = g2").select("host_s", F.lit(True).alias("only"))
+    e = cut(e.join(single, "host_s", "left").withColumn("only", F.coalesce("only", F.lit(False))))
+
+    def blocks(x: str, only: Column) -> Column:
+        """The keys of all blocking passes; a key with a missing part is null and left out."""
+        phone, host, town, building, firm = (F.col(f"{n}_{x}") for n in ("phone", "host", "town", "building", "firm"))
+        long = F.when(F.length(phone) >= MAIN_LINE, main(phone))
+        name = F.when(F.size(firm) > 0, F.array_join(firm, " "))
+        line = F.when(long.isNotNull(), F.concat_ws("|", long, host))  # two sides without a host meet too
+        passes = [phone, line, F.concat(long, F.lit("|"), town), building, F.concat(host, F.lit("|"), town), F.when(only, host), F.concat(name, F.lit("|"), town)]
+        return F.array_compact(F.array(*[F.concat(F.lit(f"{i}|"), p) for i, p in enumerate(passes)]))
+
+    cand = e.select("rep", F.explode(blocks("s", F.col("only"))).alias("k")).join(c.select("contact_id", F.explode(blocks("c", F.lit(True))).alias("k")), "k").select("rep", "contact_id").distinct()
     known = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull()
     one_line = (F.length("phone_s") != F.length("phone_c")) & (F.length("phone_c") >= MAIN_LINE) & (main("phone_s") == main("phone_c"))
-    levels = cand.join(e, "rep").join(c, "contact_id").join(single.select(F.col("host").alias("host_s"), F.lit(True).alias("only")), "host_s", "left").select(
-        "group", "contact_id", F.coalesce("only", F.lit(False)).alias("only"),
+    levels = cand.join(e, "rep").join(c, "contact_id").select(
+        "group", "contact_id", "only",
         F.when(~known("phone_s", "phone_c"), -1).when(F.col("phone_s") == F.col("phone_c"), 2)
         .when(one_line, 1).otherwise(0).alias("phone"),
         F.when(known("building_s", "building_c") & (F.col("building_s") == F.col("building_c")), 2)
@@ -342,9 +350,10 @@ ORACLE["p6_percentiles"] = _P6_SQL
 
 
 def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    from .mixing import mix
+    from .mixing import TOKENIZER, mix
 
-    return mix(table(spark, folder, "documents", "doc_id", "source", "text"), table(spark, folder, "mix_targets"))
+    path = spark.conf.get("spark.sigmill.tokenizer", TOKENIZER)
+    return mix(table(spark, folder, "documents", "doc_id", "source", "text"), table(spark, folder, "mix_targets"), tokenizer=path)
 
 
 @query

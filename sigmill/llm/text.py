@@ -38,20 +38,38 @@ def edits_allowed(length: Column) -> Column:
     return F.when(length >= 7, 2).when(length >= 4, 1).otherwise(0)
 
 
+#: Words up to this length meet by deletion forms, longer ones by pieces of ``PIECE`` letters; near the border by both.
+LONG, PIECE = 40, 13
+
+
+def near_keys(word: Column, most: Column, shifts: int) -> Column:
+    """Keys by which words within ``most`` (0 to 2) deletions on either side meet.
+
+    Two errors leave one of three pieces of a long word alone: its head, its
+    tail, or the piece behind the head, which the head's errors may have moved
+    by ``shifts`` at most on one of the two sides.
+    """
+    n = F.length(word)
+    empty = F.array().cast("array<string>")
+    middle = F.transform(F.sequence(F.lit(PIECE + 1 - shifts), F.lit(PIECE + 1 + shifts)), lambda i: F.concat(F.lit("="), F.substring(word, i, F.lit(PIECE))))
+    pieces = F.concat(F.array(F.concat(F.lit("<"), F.substring(word, 1, PIECE)), F.concat(F.lit(">"), F.substring(word, n - (PIECE - 1), F.lit(PIECE)))), middle)
+    return F.array_distinct(F.concat(F.when(n <= LONG + 2, deletions(word, most)).otherwise(empty), F.when(n >= LONG - 4, pieces).otherwise(empty)))
+
+
 def repair_words(words: DataFrame, vocabulary: DataFrame, word: str = "word", term: str = "term", slack: int = 0) -> DataFrame:
     """(word, term, distance): the nearest vocabulary terms of each word, ties included.
 
     ``words`` and ``vocabulary`` hold distinct strings. Exact members map to
-    themselves. Others meet over shared deletion forms (an equi-join, no cross
-    join), so every term within one (short words) or two edits is found, a
-    swap of neighbours counting as one. ``slack``: terms up to that much
+    themselves. Others meet over shared keys (``near_keys``, an equi-join, no
+    cross join), so every term within one (short words) or two edits is found,
+    however long, a swap of neighbours counting as one. ``slack``: terms up to that much
     farther than the nearest stay too. Words without a near term don't appear.
     """
     v = vocabulary.select(term)
     exact = words.join(v, F.col(word) == F.col(term)).select(word, term, F.lit(0).alias("distance"))
-    rest = words.join(v, F.col(word) == F.col(term), "left_anti").where(F.length(word).between(4, 40) & ~F.col(word).rlike(r"\d"))
-    left = rest.select(word, F.explode(deletions(F.col(word), edits_allowed(F.length(word)))).alias("_k"))
-    right = v.where(F.length(term).between(3, 40)).select(term, F.explode(deletions(F.col(term), edits_allowed(F.length(term) + 1))).alias("_k"))
+    rest = words.join(v, F.col(word) == F.col(term), "left_anti").where((F.length(word) >= 4) & ~F.col(word).rlike(r"\d"))
+    left = rest.select(word, F.explode(near_keys(F.col(word), edits_allowed(F.length(word)), 0)).alias("_k"))
+    right = v.where(F.length(term) >= 3).select(term, F.explode(near_keys(F.col(term), edits_allowed(F.length(term) + 1), 2)).alias("_k"))
     near = (
         left.join(right, "_k").select(word, term).distinct()
         .withColumn("distance", F.levenshtein(word, term))

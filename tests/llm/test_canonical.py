@@ -71,3 +71,17 @@ def test_matcher_with_one_entry():
 def test_phones_and_hosts(spark):
     df = spark.createDataFrame([("+49 (0)11044 / 98 36 01 43", "https://www.A-b.example/x"), ("00491104498360143", "a-b.example"), ("011044 98360-143", "HTTP://WWW.A-B.EXAMPLE"), (None, None), ("12", "-")], "p string, w string")
     assert [tuple(r) for r in df.select(phone_key("p"), web_host("w")).collect()] == [("1104498360143", "a-b.example")] * 3 + [(None, None)] * 2
+
+
+def test_long_words_are_repaired_on_both_ways(spark):
+    from sigmill.llm.matcher import Matcher
+    from sigmill.llm.text import repair_words
+
+    long = "donaudampfschifffahrtselektrizitaetenhauptbetriebswerk"
+    terms = [long, long[:39], "kurz", "x" * 30_000]
+    words = [long[:5] + "q" + long[5:], long[:-7] + long[-6:], long[1:20] + long[21:], long[:41], long[:40] + "z", "y" * 30_000, "kurzz", long[:20] + "qqq" + long[20:]]
+    df = lambda xs, c: spark.createDataFrame([(x,) for x in xs], f"{c} string")
+    got = {r.word: r.term for r in repair_words(df(words, "word"), df(terms, "term")).collect()}
+    m = Matcher([(t, (t,)) for t in terms])
+    assert got == {w: m.repair(w)[0][0] for w in words if m.repair(w)}
+    assert got[words[0]] == got[words[1]] == got[words[2]] == long and got[words[3]] == got[words[4]] == long[:39] and words[7] not in got
