@@ -244,7 +244,7 @@ SELECT s.id AS site_id, state, CASE WHEN nc IS NULL THEN 'unresolved' WHEN nc =
   WHEN mp IS NOT NULL THEN CASE WHEN ties = 1 AND mp = mx THEN 'postal-majority' ELSE 'postal-tie-breaker' END WHEN ties = 1 THEN 'city-majority' ELSE 'city-tie-breaker' END AS method,
   CASE WHEN nc IS NULL THEN 'none' WHEN nc = 1 THEN CASE k1 WHEN 0 THEN 'high' ELSE 'medium' END WHEN mp IS NOT NULL AND ties = 1 AND mp > 1 THEN 'medium' ELSE 'low' END AS confidence
 FROM sites s LEFT JOIN m ON m.site_id = s.id LEFT JOIN t ON t.site_id = s.id""")
-def geo_resolution(spark, d):
+def geo_vote(spark, d):
     """State of every site by the votes of its listings' postal codes and towns."""
     seeds = table(spark, d, "site_source_seeds", "id", "site_id", "postal_code", "city")
     z = table(spark, d, "zipcodes", "zipcode", "place", "state")
@@ -406,3 +406,30 @@ def active_in_run(spark, d):
     last = runs.groupBy().agg(F.max("run_id").alias("run_id"))  # one row
     scope = runs.join(F.broadcast(last), "run_id").select("bundesland").distinct()
     return sites.join(scope, "bundesland", "left_semi").select("id", "status")
+
+
+#: A key pair for the examples: the secret of the signer is no secret.
+_SIGNER = bytes(range(32))
+
+
+@q("""SELECT count(*) AS total, count_if(s = 0) AS valid, count_if(s <> 0) AS invalid, count_if(s = 2) AS parse_errors, count_if(s = 1) AS unknown_key, floor(count_if(s = 0)::DOUBLE / count(*) * 10000 + 0.5) / 100 AS rate
+FROM (SELECT CASE WHEN run_id LIKE '%-b' THEN 1 WHEN period = '2024-q2' THEN 2 WHEN period = '2025-q1' THEN 3 ELSE 0 END AS s FROM asset_states)""")
+def vault_verification(spark, d):
+    """Rows carry their run's signature; some runs have an unknown key, unreadable JSON or were changed after signing."""
+    from ..functions.canonical_json import public_key, sign
+    from ..operators.verification import signed_digest, verification_counts, verification_status
+    from ..session import ship
+
+    ship(spark)
+    rows = table(spark, d, "asset_states", "run_id", "period")
+    told = F.to_json(F.struct("period", "run_id"))
+
+    def signatures(batches):
+        for pdf in batches:
+            yield pdf.assign(signature=[sign(_SIGNER, bytes.fromhex(x)).hex() for x in pdf["digest"]])
+
+    runs = rows.distinct().withColumn("digest", signed_digest(told)).mapInPandas(signatures, "run_id string, period string, digest string, signature string").drop("digest")
+    obs = F.when(F.col("period") == "2024-q2", "{broken").when(F.col("period") == "2025-q1", F.replace(told, F.lit("run"), F.lit("changed"))).otherwise(told)
+    signed = rows.join(runs, ["run_id", "period"]).select(obs.alias("obs_json"), "signature", F.when(F.col("run_id").endswith("-b"), "other").otherwise("k1").alias("signing_key_id"))
+    keys = spark.createDataFrame([("k1", public_key(_SIGNER).hex())], "key_id string, public_key string")
+    return verification_counts(verification_status(signed, keys))

@@ -422,16 +422,6 @@ def mappings_nested(spark, d):
     return g.select("gewerk_group", F.array_join(F.transform("m", lambda x: F.concat(x["hwo_uid"], F.lit("="), x["gewerk_name"])), "|").alias("mappings"))
 
 
-@q("""WITH v AS (SELECT site_id, upper(split_part(source_path,'/',2)) AS st, count(*) AS n FROM site_source_seeds GROUP BY 1,2), t AS (SELECT site_id, sum(n) AS total FROM v GROUP BY 1),
-w AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY n DESC, st) AS rn FROM v)
-SELECT w.site_id, st AS bundesland, n AS votes, CASE WHEN n = total THEN 'unanimous' WHEN n*2 > total THEN 'majority' ELSE 'plurality' END AS method FROM w JOIN t ON t.site_id = w.site_id WHERE rn = 1""")
-def geo_vote(spark, d):
-    """State of a site by the votes of its listings; ties go to the first code."""
-    v = table(spark, d, "site_source_seeds", "site_id", F.upper(F.split("source_path", "/")[1]).alias("st")).groupBy("site_id", "st").agg(F.count("*").alias("n"))
-    best = v.groupBy("site_id").agg(F.min(F.struct(-F.col("n"), "st")).alias("b"), F.sum("n").alias("total")).select("site_id", F.col("b.st").alias("bundesland"), (-F.col("b.col1")).alias("votes"), "total")
-    return best.select("site_id", "bundesland", "votes", F.when(F.col("votes") == F.col("total"), "unanimous").when(F.col("votes") * 2 > F.col("total"), "majority").otherwise("plurality").alias("method"))
-
-
 @q("""WITH a AS (SELECT hwo_uid, lower(replace(gewerk_name,'handwerk','')) AS alias FROM gewerke),
 c AS (SELECT DISTINCT category FROM site_source_seeds WHERE category IS NOT NULL),
 m AS (SELECT category, hwo_uid, row_number() OVER (PARTITION BY category ORDER BY length(alias) DESC, hwo_uid) AS rn FROM c JOIN a ON contains(lower(category), alias))

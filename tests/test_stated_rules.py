@@ -114,3 +114,18 @@ def test_page_patterns():
     assert got["contact.emails"][3] == "a.b@c.de, z+1@sub.example.org" or "a.b@c.de" in got["contact.emails"][3] and got["contact.phones"][3].startswith("+497111234567")
     late = "<div>vor dem Körper</div>" + " " * 250_000 + "<body>0711 1234567</body>"
     assert {s[0]: s[1:] for s in signals(late, "https://x.example/", 2024)}["contact.phones"][3] == "+497111234567"
+
+
+def test_signatures(spark):
+    from sigmill.functions.canonical_json import public_key, sign
+    from sigmill.operators.verification import signed_digest, verification_counts, verification_status
+
+    key = bytes(range(1, 33))
+    good = ['{"b":1,"a":"x"}', '{"a":"y"}']
+    digest = {r.o: r.d for r in spark.createDataFrame([(o,) for o in good], "o string").select("o", signed_digest(F.col("o")).alias("d")).collect()}
+    sig = {o: sign(key, bytes.fromhex(d)).hex() for o, d in digest.items()}
+    rows = [(good[0], sig[good[0]], "k"), ('{"a": "x", "b": 1}', sig[good[0]], "k"), (good[1], sig[good[1]], "k"), (good[1], sig[good[1]], "k"), (good[1], sig[good[0]], "k"), (good[1], "zz", "k"), (good[1], None, "k"), ("{", sig[good[0]], "k"), (None, sig[good[0]], "k"), (good[0], sig[good[0]], "q"), (good[0], sig[good[0]], None)]
+    df = spark.createDataFrame(rows, "obs_json string, signature string, signing_key_id string")
+    keys = spark.createDataFrame([("k", public_key(key).hex())], "key_id string, public_key string")
+    assert tuple(verification_counts(verification_status(df, keys)).first()) == (11, 4, 7, 2, 2, 36.36)
+    assert tuple(verification_counts(verification_status(df.limit(0), keys)).first()) == (0, 0, 0, 0, 0, None)
