@@ -52,8 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-#: Bytes of the tables read per partition of a Python stage, and what counts as no estimate of a size.
-SPREAD_BYTES, UNKNOWN_BYTES = 64 << 20, 1 << 50
+#: Bytes of the tables read per partition of a Python stage.
+SPREAD_BYTES = 64 << 20
 
 
 def cut(df):
@@ -83,13 +83,18 @@ def ship(spark: SparkSession) -> None:
 def spread(df, *columns):
     """Even partitions for a Python stage, which costs far more per byte than AQE's byte sizes assume.
 
-    Their number grows with the size of the tables read, as far as Spark knows
-    it, and is never below three per core or the session's shuffle partitions.
+    Their number grows with the size of the tables read and with the partitions
+    of what was cut from its lineage, and is never below three per core or the
+    session's shuffle partitions.
     """
     spark = df.sparkSession
     ship(spark)
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    known = sum(x for x in sizes if x < UNKNOWN_BYTES)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism, known // SPREAD_BYTES)
+    size, parts = 0, 0
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.nodeName().startswith("LogicalRelation"):
+            size += int(leaf.stats().sizeInBytes())
+        elif leaf.nodeName() == "LogicalRDD":  # cut from its lineage: its partitions were sized by the data
+            parts = max(parts, leaf.rdd().getNumPartitions())
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism, size // SPREAD_BYTES, parts)
     return df.repartition(n, *columns)
