@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..session import cut
+from ..sources.tables import bounded_broadcast
 from .canonical import town_map
 from .encoding import restore_udf
 from .text import deletions, repair_words, skeleton
@@ -88,7 +89,7 @@ def add_town(df: DataFrame, zipcodes: DataFrame) -> DataFrame:
     """Adds _town: the listed place by postal code, else by the typed name; the folded typed name if unlisted."""
     z = zipcodes.select(F.col("zipcode").alias("_z"), F.col("place").alias("_p")).dropDuplicates(["_z"])
     named = df.select(F.explode(F.array("_town_text", "_town_text2")).alias("value")).where("value is not null").distinct()
-    names = cut(town_map(named, zipcodes))
+    names = bounded_broadcast(town_map(named, zipcodes), MAX_SMALL)
     for key, out in (("_zip", "_p1"), ("_zip2", "_p2")):
         df = df.join(z.select(F.col("_z").alias(key), F.col("_p").alias(out)), key, "left")
     for key, out in (("_town_text", "_p3"), ("_town_text2", "_p4")):
@@ -159,6 +160,8 @@ def near_usual(streets: DataFrame) -> DataFrame:
     return near.groupBy("word").agg(F.collect_list(F.struct("term", "distance")).alias("terms"), F.min(F.struct("distance", -F.col("n"), "term"))["term"].alias("best"))
 
 
+#: Rows of a lookup table that may be broadcast (some megabytes); a longer one is joined by a shuffle.
+MAX_SMALL = 60_000
 #: Letters of the head and of the tail of a stem that are compared with one letter missing.
 EDGE = 6
 
@@ -224,13 +227,10 @@ def same_in_block(rows: DataFrame, streets: DataFrame) -> DataFrame:
     # Blocks and names travel as 64-bit hashes, the order of names as one number.
     block = lambda key: F.xxhash64(key, "_number").alias("block")
     name = F.xxhash64("_street").alias("name")
-    names = rows.select("_site", "_number", "_street", "_town").distinct()
-    lone = names.where("_town is null").select("_site").distinct()
+    lone = bounded_broadcast(rows.where("_town is null").select("_site").distinct(), MAX_SMALL)
     of_site = F.concat(F.lit("?"), "_site")
     of_town = F.concat(F.lit("="), "_town")
-    blocks = cut(
-        names.where("_town is not null").select(block(of_town), name).unionByName(names.join(lone, "_site", "left_semi").select(block(of_site), name)).distinct()
-    )
+    blocks = cut(rows.where("_town is not null").select(block(of_town), name).unionByName(rows.join(lone, "_site", "left_semi").select(block(of_site), name)).distinct())
     rank = F.when(F.col("usual"), F.lit(1 << 62)).otherwise(F.lit(0)) + F.least("sn", F.lit((1 << 31) - 1)) * F.lit(1 << 31) + F.least("n", F.lit((1 << 31) - 1))
     streets = cut(streets.join(near_usual(streets), F.col("_street") == F.col("word"), "left").drop("word").withColumns({"name": name, "rank": rank}))
     forms = lambda worse: streets.select("name", "rank", F.explode(F.transform(rare_words(worse), lambda x: F.xxhash64(x))).alias("form"))
@@ -245,7 +245,7 @@ def same_in_block(rows: DataFrame, streets: DataFrame) -> DataFrame:
         taken = step if taken is None else taken.unionByName(step)
         out = taken.select("block", "b").unionByName(heads.select("block", F.col("a").alias("b")))
         links = links.join(out, ["block", "b"], "left_anti").join(out.withColumnRenamed("b", "a"), ["block", "a"], "left_anti")
-    same = taken.join(streets.select(F.col("name").alias("a"), F.col("_street").alias("_same")), "a").select("block", F.col("b").alias("name"), "_same")
+    same = bounded_broadcast(cut(taken.join(streets.select(F.col("name").alias("a"), F.col("_street").alias("_same")), "a").select("block", F.col("b").alias("name"), "_same")), MAX_SMALL)
     rows = rows.select("*", block(F.coalesce(of_town, of_site)), name).join(same, ["block", "name"], "left")
     return rows.withColumn("_street", F.coalesce("_same", "_street")).drop("_same", "block", "name")
 
@@ -253,8 +253,10 @@ def same_in_block(rows: DataFrame, streets: DataFrame) -> DataFrame:
 def fill_town(df: DataFrame) -> DataFrame:
     """Rows without a town take town and street from rows of their site with the same number and street (as written or as
     resolved), if these agree on one."""
-    told = df.where("_town is not null").select("_site", "_number", F.explode(F.array_distinct(F.array("_raw", "_street"))).alias("_k"), F.struct("_town", "_street").alias("_s"))
+    lone = bounded_broadcast(df.where("_town is null").select("_site").distinct(), MAX_SMALL)
+    told = df.where("_town is not null").join(lone, "_site", "left_semi").select("_site", "_number", F.explode(F.array_distinct(F.array("_raw", "_street"))).alias("_k"), F.struct("_town", "_street").alias("_s"))
     known = told.groupBy("_site", "_number", "_k").agg(F.min("_s").alias("_s"), F.max("_s").alias("_hi")).where("_s = _hi").drop("_hi")
+    known = bounded_broadcast(cut(known), MAX_SMALL)
     df = df.withColumn("_k", F.when(F.col("_town").isNull(), F.col("_street"))).join(known, ["_site", "_number", "_k"], "left")
     return df.withColumn("_street", F.coalesce("_s._street", "_street")).withColumn("_town", F.coalesce("_town", "_s._town")).drop("_s", "_k", "_raw")
 
@@ -276,7 +278,8 @@ def locate(df: DataFrame, id: str, site: str | None, zipcodes: DataFrame, street
     every = cut(add_town(parsed, zipcodes).select("_id", "_site", "_street", "_number", "_town"))
     rows = every.where("_street is not null")
     streets = street_names(rows)
-    rows = rows.join(streets.select("_street", "_name"), "_street").withColumn("_street", F.col("_name")).drop("_name")
+    short = bounded_broadcast(streets.where("_street != _name").select("_street", "_name"), MAX_SMALL)
+    rows = rows.join(short, "_street", "left").withColumn("_street", F.coalesce("_name", "_street")).drop("_name")
     # Short forms written out join the names they stand for.
     whole = streets.groupBy(F.col("_name").alias("_street")).agg(F.sum("n").alias("n"), *[F.max(F.struct(F.col("_street") == F.col("_name"), c))[c].alias(c) for c in ("kind", "stem", "sn", "kn", "total", "usual")])
     rows = fill_town(cut(same_in_block(rows.withColumn("_raw", F.col("_street")), whole)))
