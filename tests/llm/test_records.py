@@ -47,6 +47,17 @@ def test_tokens_without_letters(spark):
     assert scored(spark, [("g", "!!!", 1, 1, True), ("g", "###", 1, 1, True), ("g", "y" * 20_000, 1, 1, True)]).count() == 1
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_steps_shuffle_no_more_than_they_must(spark):
+    # Every exchange is a job, a thread and a plan that the driver holds.
+    rows = spark.createDataFrame([(1, 1, "p1", "b1", "t1")], "id long, site_id long, phone string, building string, town string")
+    assert exchanges(establishments(rows)) <= 8
+    assert exchanges(scored(spark, [("g", "Bau Kurz", 1, 1, True), ("g", "Bau Kunz", 2, 1, True)])) <= 12
+
+
 def test_establishments(spark):
     rows = [(1, 1, "p1", "b1", "t1"), (2, 1, None, "b1", None), (3, 1, None, None, "t2"), (4, 1, "p2", "b2", "t2"), (5, 2, None, None, None), (6, 2, "p3", None, None), (7, 3, None, "b7", "t7"), (8, 3, None, None, "t7"), (9, 1, None, None, None)]
     got = {r.id: r.group for r in establishments(spark.createDataFrame(rows, "id long, site_id long, phone string, building string, town string")).collect()}
